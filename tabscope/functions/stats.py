@@ -8,12 +8,42 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tabscope.functions.columns import as_text, col, dtype_of, present
 
-SKETCH_ACCURACY = 10_000
+SKETCH_ACCURACY = 10_000  # of the opt-in approximate quantiles
+COARSE_PER_OCTAVE = 8
+FINE_SLICES = 1024
+SALTS = 32
 
 
+def spread_join(
+    facts: DataFrame,
+    per_group: DataFrame,
+    on: Sequence[str],
+    spread_by: Sequence[str],
+    bounded: bool = False,
+) -> DataFrame:
+    """Joins rows to their group's few figures without sending a hot group to one task.
+
+    ``bounded`` promises that the schema, not the data, limits ``per_group`` (one row per
+    column, say); only then is it broadcast outright. Otherwise every group's figures are
+    copied once per salt and rows meet them by (group, salt): a group is spread over that
+    many tasks, adaptive execution may split those further, and may still switch to a
+    broadcast when the copies turn out small.
+    """
+    if bounded:
+        return facts.join(F.broadcast(per_group), list(on))
+    salt = F.pmod(F.xxhash64(*[col(c) for c in spread_by]), F.lit(SALTS)).cast("int")
+    copies = per_group.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return facts.withColumn("_salt", salt).join(copies, [*on, "_salt"]).drop("_salt")
+
+
+def _coarse(v: Column) -> Column:
+    """An order-preserving whole number per eighth of an octave, same on every machine."""
+    size = F.floor(F.least(F.log2(F.abs(v)), F.lit(1100.0)) * COARSE_PER_OCTAVE).cast("int") + 10_000
+    return F.when(v == 0, 0).when(v > 0, size).otherwise(-size)
 
 
 def exact_quantiles(
@@ -22,109 +52,88 @@ def exact_quantiles(
     probs: Sequence[float],
     by: Sequence[str],
     bounded_groups: bool = False,
-    accuracy: int = SKETCH_ACCURACY,
 ) -> DataFrame:
-    """Exact, linearly interpolated quantiles of ``value`` per group.
-
-    Three column-pruned scans and no group ever held in one task:
+    """Exact, linearly interpolated quantiles of ``value`` per group: ``by..., n, q``.
 
-    1. a mergeable sketch per group proposes two cut points around every quantile;
-    2. counting the rows up to each cut tells which slice holds each wanted rank;
-    3. only rows of those slices are counted by value and ranked.
+    Selection by counting, in three scans of the grouping and value columns:
 
-    The sketch decides how thin the slices are, never the answer: ranks come from exact
-    counts, so a poor sketch would make step 3 slower but not wrong.
+    1. count by coarse slice of the number line; cumulative counts tell which slices hold
+       the wanted ranks;
+    2. cut those slices finely between their lowest and highest value and count again;
+    3. count the values of the fine slices that hold the ranks, and rank them.
 
-    ``bounded_groups`` states that the number of groups is fixed by the schema (one per
-    column), which makes the per-group frames safe to broadcast. Otherwise the join strategy
-    is left to the optimizer's size checks and its skew handling.
+    Every step is an aggregate that combines before its shuffle, windows run over at most a
+    few thousand counts or over one fine slice's distinct values, and no group is ever held
+    in one task. Counts, minima and maxima do not depend on the order rows arrive in, so a
+    stage recomputed after a lost executor gives the same cuts.
 
-    Returns ``by..., n, q`` with ``q`` an array aligned with ``probs``.
+    ``bounded_groups``: the groups are columns of a schema, so their cuts may be broadcast.
     """
     by = list(by)
     keys = [col(b) for b in by]
-    facts = df.select(*keys, col(value).cast("double").alias("_v")).where(
-        F.col("_v").isNotNull() & ~F.isnan("_v")
+    v, c, n = F.col("_v"), F.col("_c"), F.col("_n")
+    facts = (
+        df.select(*keys, col(value).cast("double").alias("_v"))
+        .where(v.isNotNull() & ~F.isnan(v))
+        .withColumn("_coarse", _coarse(v))
     )
-    margin = 2.0 / accuracy
-    cut_probs = sorted({min(1.0, max(0.0, p + s)) for p in probs for s in (-margin, margin)})
-    k = len(cut_probs)
-    side = F.broadcast if bounded_groups else (lambda d: d)
-
-    sketch = facts.groupBy(*keys).agg(
-        F.count("_v").alias("_n"),
-        F.percentile_approx("_v", cut_probs, accuracy).alias("_cuts"),
-    )
-    sketch = sketch.select(
-        *keys, "_n", *[F.col("_cuts")[i].alias(f"_cut{i}") for i in range(k)]
-    )
-    cut_names = [f"_cut{i}" for i in range(k)]
 
-    upto = (
-        facts.join(side(sketch), by)
-        .groupBy(*keys)
-        .agg(
-            F.first("_n").alias("_n"),
-            *[F.first(c).alias(c) for c in cut_names],
-            *[F.count_if(F.col("_v") <= F.col(c)).alias(f"_upto{i}") for i, c in enumerate(cut_names)],
-        )
-    )
+    # 0-based position of each quantile, and the 1-based ranks on both sides of it
+    positions = [F.lit(float(p)) * (n - 1) for p in probs]
+    ranks = [r for x in positions for r in (F.floor(x) + 1, F.ceil(x) + 1)]
 
-    # 1-based ranks on both sides of each interpolated position
-    def position(p: float) -> Column:
-        return F.lit(float(p)) * (F.col("_n") - 1)
+    def with_ranges(counted: DataFrame, within: list[str], order: str, base: Column) -> DataFrame:
+        """Adds the last rank in each row's count, and the count before it."""
+        running = W.partitionBy(*keys, *within).orderBy(order)
+        last = counted.withColumn("_last", base + F.sum("_c").over(running))
+        return last.withColumn("_before", F.col("_last") - c)
 
-    ranks, rank_names = [], []
-    for j, p in enumerate(probs):
-        ranks += [
-            (F.floor(position(p)) + 1).alias(f"_lo{j}"),
-            (F.ceil(position(p)) + 1).alias(f"_hi{j}"),
-        ]
-        rank_names += [f"_lo{j}", f"_hi{j}"]
-    marks = upto.select("*", *ranks)
-
-    def slice_of(rank: str) -> Column:
-        return reduce(
-            lambda acc, i: acc + F.when(F.col(f"_upto{i}") < F.col(rank), 1).otherwise(0),
-            range(k),
-            F.lit(0),
-        )
+    def holds(rank: Column) -> Column:
+        return (rank > F.col("_before")) & (rank <= F.col("_last"))
 
-    marks = marks.select("*", F.array(*[slice_of(r) for r in rank_names]).alias("_wanted"))
-    before = F.array(F.lit(0).cast("bigint"), *[F.col(f"_upto{i}") for i in range(k)])
-    marks = marks.select("*", before.alias("_before"))
+    wanted = reduce(lambda a, b: a | b, [holds(r) for r in ranks])
 
-    slice_no = reduce(
-        lambda acc, c: acc + F.when(F.col("_v") > F.col(c), 1).otherwise(0), cut_names, F.lit(0)
+    coarse = facts.groupBy(*keys, "_coarse").agg(
+        F.count(F.lit(1)).alias("_c"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi")
     )
-    inside = (
-        facts.join(side(marks), by)
-        .withColumn("_slice", slice_no)
-        .where(F.array_contains("_wanted", F.col("_slice")))
-        .withColumn("_base", F.col("_before")[F.col("_slice")])
-        .groupBy(*keys, "_slice", "_v")
-        .agg(
-            F.count(F.lit(1)).alias("_c"),
-            *[F.first(c).alias(c) for c in ["_n", "_base", *rank_names]],
-        )
+    coarse = with_ranges(coarse, [], "_coarse", F.lit(0)).withColumn(
+        "_n", F.sum("_c").over(W.partitionBy(*keys))
+    )
+    figures = ["_lo", "_hi", "_n"]
+    coarse = coarse.where(wanted).select(
+        *keys, "_coarse", *figures, F.col("_before").alias("_base")
     )
-    running = W.partitionBy(*keys, "_slice").orderBy("_v")
-    ranked = inside.withColumn("_last", F.col("_base") + F.sum("_c").over(running))
-
-    def at(rank: str) -> Column:
-        r = F.col(rank)
-        return F.max(F.when((r <= F.col("_last")) & (r > F.col("_last") - F.col("_c")), F.col("_v")))
 
+    lo, hi = F.col("_lo"), F.col("_hi")
+    fine_no = F.when(hi == lo, F.lit(0)).otherwise(
+        F.least(F.floor((v - lo) / (hi - lo) * FINE_SLICES), F.lit(FINE_SLICES - 1)).cast("int")
+    )
+    fine = (
+        spread_join(facts, coarse, [*by, "_coarse"], ["_v"], bounded_groups)
+        .groupBy(*keys, "_coarse", fine_no.alias("_fine"))
+        .agg(F.count(F.lit(1)).alias("_c"), *[F.first(f).alias(f) for f in [*figures, "_base"]])
+    )
+    fine = with_ranges(fine, ["_coarse"], "_fine", F.col("_base")).where(wanted)
+    fine = fine.select(*keys, "_coarse", "_fine", *figures, F.col("_before").alias("_base"))
+
+    values = (
+        spread_join(facts, fine, [*by, "_coarse"], ["_v"], bounded_groups)
+        .where(F.col("_fine") == fine_no)
+        .groupBy(*keys, "_coarse", "_fine", "_v")
+        .agg(F.count(F.lit(1)).alias("_c"), *[F.first(f).alias(f) for f in ["_n", "_base"]])
+    )
+    ranked = with_ranges(values, ["_coarse", "_fine"], "_v", F.col("_base"))
     picked = ranked.groupBy(*keys).agg(
-        F.first("_n").alias("n"), *[at(r).alias(r) for r in rank_names]
+        F.first("_n").alias("_n"),
+        *[F.max(F.when(holds(r), v)).alias(f"_r{i}") for i, r in enumerate(ranks)],
     )
 
-    def interpolate(j: int, p: float) -> Column:
-        exact = F.lit(float(p)) * (F.col("n") - 1)
-        return F.col(f"_lo{j}") + (F.col(f"_hi{j}") - F.col(f"_lo{j}")) * (exact - F.floor(exact))
+    def interpolate(j: int) -> Column:
+        below, above = F.col(f"_r{2 * j}"), F.col(f"_r{2 * j + 1}")
+        return below + (above - below) * (positions[j] - F.floor(positions[j]))
 
     return picked.select(
-        *keys, "n", F.array(*[interpolate(j, p) for j, p in enumerate(probs)]).alias("q")
+        *keys, n.alias("n"), F.array(*[interpolate(j) for j in range(len(probs))]).alias("q")
     )
 
 
@@ -134,6 +143,28 @@ def long_numbers(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return wide.unpivot([], [col(c) for c in columns], "column", "value")
 
 
+def long_values(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """One row per (column, value) over any columns; whole numbers and fractions keep their
+    type (``whole``, ``real``), everything else is in ``text``."""
+    cells: list[Column] = []
+    for name in columns:
+        dtype = dtype_of(df, name)
+        whole = real = text = None
+        if isinstance(dtype, T.IntegralType):
+            whole = col(name).cast("bigint")
+        elif isinstance(dtype, (T.FloatType, T.DoubleType)):
+            real = present(name, dtype).cast("double")
+        else:
+            text = as_text(name, dtype)
+        cells += [
+            F.lit(name),
+            F.lit(None).cast("bigint") if whole is None else whole,
+            F.lit(None).cast("double") if real is None else real,
+            F.lit(None).cast("string") if text is None else text,
+        ]
+    return df.select(F.stack(F.lit(len(columns)), *cells).alias("column", "whole", "real", "text"))
+
+
 def long_text(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """One row per (column, value) over any columns, in comparable text form."""
     wide = df.select(*[as_text(c, dtype_of(df, c)).alias(c) for c in columns])

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabscope.functions.columns import col, dtype_of, present, ratio, require, require_numeric
-from tabscope.functions.stats import column_quantiles, exact_quantiles
+from tabscope.functions.stats import column_quantiles, exact_quantiles, spread_join
 
 BINS = 20
 QUARTILES = (0.25, 0.5, 0.75)
@@ -110,7 +110,7 @@ def hist(df: DataFrame, y: str, group: str | None = None) -> DataFrame:
             "`group` is not null and v is not null"
         )
         edges = values.groupBy("group").agg(*_range_of(F.col("v")))
-        binned = values.join(edges, "group").select(
+        binned = spread_join(values, edges, ["group"], ["v"]).select(
             "group", _bin(F.col("v"), F.col("lo"), F.col("hi")).alias("bin")
         )
         counted = binned.groupBy("group", "bin").count()
@@ -163,7 +163,8 @@ def _fenced(df: DataFrame, y: str, group: str | None) -> DataFrame:
         values = df.select(_key(df, group).alias("label"), v.alias("v")).where(
             "label is not null and v is not null"
         )
-        joined = values.join(exact_quantiles(values, "v", QUARTILES, by=["label"]), "label")
+        quartiles = exact_quantiles(values, "v", QUARTILES, by=["label"])
+        joined = spread_join(values, quartiles, ["label"], ["v"])
     q1, q3 = F.col("q")[0], F.col("q")[2]
     return joined.select(
         "label",

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabscope.functions.columns import col, dtype_of, present, ratio, require
-from tabscope.functions.stats import long_text
+from tabscope.functions.stats import long_values
 
 
 def dtype_column(df: DataFrame) -> Column:
@@ -23,19 +23,21 @@ def column_counts(df: DataFrame, exact: bool = True) -> DataFrame:
     Approximate (opt-in): one scan, one row shuffled per task.
     """
     if exact:
-        counted = long_text(df, df.columns).groupBy("column", "value").agg(
-            F.count(F.lit(1)).alias("n")
-        )
+        key = ["column", "whole", "real", "text"]
+        counted = long_values(df, df.columns).groupBy(*key).agg(F.count(F.lit(1)).alias("n"))
         # a zero per column, so that an empty table still lists its columns
         every = df.sparkSession.range(1).select(
             F.explode(F.array(*[F.lit(c) for c in df.columns])).alias("column"),
-            F.lit(None).cast("string").alias("value"),
+            F.lit(None).cast("bigint").alias("whole"),
+            F.lit(None).cast("double").alias("real"),
+            F.lit(None).cast("string").alias("text"),
             F.lit(0).cast("bigint").alias("n"),
         )
+        filled = F.col("whole").isNotNull() | F.col("real").isNotNull() | F.col("text").isNotNull()
         return counted.unionByName(every).groupBy("column").agg(
             F.sum("n").alias("total"),
-            F.sum(F.when(F.col("value").isNotNull(), F.col("n")).otherwise(0)).alias("non_null"),
-            F.count("value").alias("unique"),
+            F.sum(F.when(filled, F.col("n")).otherwise(0)).alias("non_null"),
+            F.count_if(filled).alias("unique"),
         )
     cells = []
     for name in df.columns:

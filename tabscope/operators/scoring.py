@@ -73,6 +73,8 @@ REPORT_SIGNS = (
     r"\p{Nd}{4,}",
     r"(?:相关|平均|总计|占比|增长率|同比|环比)",
 )
+# a text without any of these has no match of the pattern at the same place above
+REPORT_SIGN_TRACES = (("%",), ("|",), (), ("相关", "平均", "总计", "占比", "增长率", "同比", "环比"))
 
 RUN_WEIGHTS = (0.7, 0.3)  # average score, execution
 
@@ -298,6 +300,14 @@ def score_charts(df: DataFrame, files: DataFrame | None, key: str = "id") -> Dat
     return _scored(counted, "visualizer", CHART_WEIGHTS, values, n == 0).drop("_existing")
 
 
+def _matches(text: Column, pattern: str, traces: tuple[str, ...]) -> Column:
+    """Number of matches; texts without any of the literal traces are not searched."""
+    found = F.regexp_count(text, F.lit(pattern))
+    if not traces:
+        return found
+    return F.when(reduce(lambda a, b: a | b, [text.contains(t) for t in traces]), found).otherwise(0)
+
+
 def score_reports(df: DataFrame, report: str = "report", charts: str | None = None) -> DataFrame:
     """Markdown reports, the whole text of each; ``charts`` names their chart-list column."""
     text = F.coalesce(F.col(report), F.lit(""))
@@ -306,14 +316,14 @@ def score_reports(df: DataFrame, report: str = "report", charts: str | None = No
     lower = F.lower(text)
     english = _count([lower.contains(s) for s in REPORT_SECTIONS_EN])
     found = F.when(sections < 3, sections + english).otherwise(sections)
-    images = F.regexp_count(text, F.lit(IMAGE_REFERENCE))
+    images = _matches(text, IMAGE_REFERENCE, ("![",))
     references = _up_to(images, 3)
     if charts is not None:
         listed = F.coalesce(F.size(charts), F.lit(0))
         references = F.when(
             listed > 0, clamp(ratio(images.cast("double"), listed.cast("double")))
         ).otherwise(references)
-    signs = [_up_to(F.regexp_count(text, F.lit(p)), 5) for p in REPORT_SIGNS]
+    signs = [_up_to(_matches(text, p, t), 5) for p, t in zip(REPORT_SIGNS, REPORT_SIGN_TRACES)]
     richness = reduce(lambda a, b: a + b, signs, F.lit(0.0)) / F.lit(float(len(signs)))
     values = {
         "length_adequate": F.when(length >= 2000, 1.0)

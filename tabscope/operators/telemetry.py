@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabscope.functions.columns import choice, clamp, ratio, require
+from tabscope.functions.stats import spread_join
 
 # --- fixed values -------------------------------------------------------------------------
 
@@ -55,23 +56,42 @@ MIN_BAR_PCT = 0.5
 # ------------------------------------------------------------------------------------------
 
 
-def trace_summary(spans: DataFrame) -> DataFrame:
-    """Span counts, durations and the slowest and fastest node per trace.
+_SUMMARY = (
+    "total_spans",
+    "successful_spans",
+    "failed_spans",
+    "total_agent_time_ms",
+    "avg_span_duration_ms",
+    "slowest_node",
+    "fastest_node",
+)
+
+
+def traces(spans: DataFrame) -> DataFrame:
+    """One row per trace: its summary, and start, end and length as far as its spans tell.
 
-    Ties go to the earlier span. Everything is an aggregate that combines before the
-    shuffle, so a trace of any length reaches the reducer as one row per task.
+    Ties for the slowest and fastest node go to the earlier span. Everything is an aggregate
+    that combines before the shuffle, so a trace of any length reaches the reducer as one
+    row per task.
     """
-    by_time = F.struct("duration_ms", (-F.col("seq")).alias("r"), "node_name")
-    by_time_up = F.struct("duration_ms", F.col("seq").alias("r"), "node_name")
+    latest_first = F.struct("duration_ms", (-F.col("seq")).alias("r"), "node_name")
+    earliest_first = F.struct("duration_ms", F.col("seq").alias("r"), "node_name")
     return spans.groupBy("trace_id").agg(
         F.count(F.lit(1)).alias("total_spans"),
         F.count_if(F.col("status") == "success").alias("successful_spans"),
         F.count_if(F.col("status") == "error").alias("failed_spans"),
         F.round(F.sum("duration_ms"), 2).alias("total_agent_time_ms"),
         F.round(F.avg("duration_ms"), 2).alias("avg_span_duration_ms"),
-        F.max(by_time)["node_name"].alias("slowest_node"),
-        F.min(by_time_up)["node_name"].alias("fastest_node"),
-    )
+        F.max(latest_first)["node_name"].alias("slowest_node"),
+        F.min(earliest_first)["node_name"].alias("fastest_node"),
+        F.min("start_time").alias("trace_start"),
+        F.max("end_time").alias("trace_end"),
+    ).withColumn("total_duration_ms", (F.col("trace_end") - F.col("trace_start")) * 1000)
+
+
+def trace_summary(spans: DataFrame) -> DataFrame:
+    """Span counts, durations and the slowest and fastest node per trace."""
+    return traces(spans).select("trace_id", *_SUMMARY)
 
 
 def node_durations(spans: DataFrame) -> DataFrame:
@@ -82,19 +102,15 @@ def node_durations(spans: DataFrame) -> DataFrame:
 
 
 def trace_bounds(spans: DataFrame) -> DataFrame:
-    """Start, end and length of each trace as far as its spans tell."""
-    return spans.groupBy("trace_id").agg(
-        F.min("start_time").alias("trace_start"), F.max("end_time").alias("trace_end")
-    ).withColumn(
-        "total_duration_ms", (F.col("trace_end") - F.col("trace_start")) * 1000
-    )
+    """Start, end and length of each trace."""
+    return traces(spans).select("trace_id", "trace_start", "trace_end", "total_duration_ms")
 
 
 def timeline(spans: DataFrame, bounds: DataFrame | None = None) -> DataFrame:
     """Offset, left edge and width of every span's bar, in percent of its trace.
 
-    ``bounds`` holds ``trace_id, trace_start, total_duration_ms``. The join leaves strategy
-    and skewed traces to adaptive execution; traces without length have no bars.
+    ``bounds`` holds ``trace_id, trace_start, total_duration_ms``. Spans meet their trace's
+    bounds by (trace, salt), so a long trace is spread; traces without length have no bars.
     """
     if bounds is None:
         bounds = trace_bounds(spans)
@@ -103,7 +119,7 @@ def timeline(spans: DataFrame, bounds: DataFrame | None = None) -> DataFrame:
     )
     total = F.col("total_duration_ms")
     offset = (F.col("start_time") - F.col("trace_start")) * 1000
-    return spans.join(lengths, "trace_id").select(
+    return spread_join(spans, lengths, ["trace_id"], ["seq"]).select(
         "trace_id",
         "seq",
         "node_name",

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabscope.operators.telemetry import trace_bounds, trace_summary
+from tabscope.operators.telemetry import traces
 
 # Spans per envelope. One trace may hold any share of the table, so it is sent as several
 # envelopes with the same trace id, as OpenTelemetry batch exporters do.
@@ -79,23 +79,20 @@ def otlp_envelopes(
         .groupBy("trace_id", F.floor(F.col("seq") / batch).alias("batch"))
         .agg(F.sort_array(F.collect_list(F.struct("seq", F.to_json(F.struct(*fields)).alias("json")))).alias("_s"))
     )
-    about = (
-        trace_bounds(spans)
-        .join(trace_summary(spans), "trace_id")
-        .select(
-            "trace_id",
-            F.to_json(
-                F.struct(
-                    F.col("trace_start").alias("pipeline_start"),
-                    F.col("trace_end").alias("pipeline_end"),
-                    F.round("total_duration_ms", 2).alias("total_duration_ms"),
-                    F.struct(
-                        "total_spans", "successful_spans", "failed_spans", "total_agent_time_ms",
-                        "avg_span_duration_ms", "slowest_node", "fastest_node",
-                    ).alias("summary"),
-                )
-            ).alias("metadata"),
-        )
+    summary = [
+        "total_spans", "successful_spans", "failed_spans", "total_agent_time_ms",
+        "avg_span_duration_ms", "slowest_node", "fastest_node",
+    ]
+    about = traces(spans).select(
+        "trace_id",
+        F.to_json(
+            F.struct(
+                F.col("trace_start").alias("pipeline_start"),
+                F.col("trace_end").alias("pipeline_end"),
+                F.round("total_duration_ms", 2).alias("total_duration_ms"),
+                F.struct(*summary).alias("summary"),
+            )
+        ).alias("metadata"),
     )
     resource = F.to_json(
         F.create_map(
