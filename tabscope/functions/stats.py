@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -40,10 +38,8 @@ def spread_join(
     return facts.withColumn("_salt", salt).join(copies, [*on, "_salt"]).drop("_salt")
 
 
-def _coarse(v: Column) -> Column:
-    """An order-preserving whole number per eighth of an octave, same on every machine."""
-    size = F.floor(F.least(F.log2(F.abs(v)), F.lit(1100.0)) * COARSE_PER_OCTAVE).cast("int") + 10_000
-    return F.when(v == 0, 0).when(v > 0, size).otherwise(-size)
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
 
 
 def exact_quantiles(
@@ -57,8 +53,8 @@ def exact_quantiles(
 
     Selection by counting, in three scans of the grouping and value columns:
 
-    1. count by coarse slice of the number line; cumulative counts tell which slices hold
-       the wanted ranks;
+    1. count by coarse slice of the number line (an eighth of an octave); cumulative counts
+       tell which slices hold the wanted ranks;
     2. cut those slices finely between their lowest and highest value and count again;
     3. count the values of the fine slices that hold the ranks, and rank them.
 
@@ -67,73 +63,61 @@ def exact_quantiles(
     in one task. Counts, minima and maxima do not depend on the order rows arrive in, so a
     stage recomputed after a lost executor gives the same cuts.
 
-    ``bounded_groups``: the groups are columns of a schema, so their cuts may be broadcast.
+    Rows meet their group's cuts by (group, coarse slice, salt), see ``spread_join``. With
+    ``bounded_groups`` the groups are columns of a schema and the cuts are broadcast.
     """
-    by = list(by)
-    keys = [col(b) for b in by]
-    v, c, n = F.col("_v"), F.col("_c"), F.col("_n")
-    facts = (
-        df.select(*keys, col(value).cast("double").alias("_v"))
-        .where(v.isNotNull() & ~F.isnan(v))
-        .withColumn("_coarse", _coarse(v))
-    )
-
-    # 0-based position of each quantile, and the 1-based ranks on both sides of it
-    positions = [F.lit(float(p)) * (n - 1) for p in probs]
-    ranks = [r for x in positions for r in (F.floor(x) + 1, F.ceil(x) + 1)]
-
-    def with_ranges(counted: DataFrame, within: list[str], order: str, base: Column) -> DataFrame:
-        """Adds the last rank in each row's count, and the count before it."""
-        running = W.partitionBy(*keys, *within).orderBy(order)
-        last = counted.withColumn("_last", base + F.sum("_c").over(running))
-        return last.withColumn("_before", F.col("_last") - c)
-
-    def holds(rank: Column) -> Column:
-        return (rank > F.col("_before")) & (rank <= F.col("_last"))
-
-    wanted = reduce(lambda a, b: a | b, [holds(r) for r in ranks])
-
-    coarse = facts.groupBy(*keys, "_coarse").agg(
-        F.count(F.lit(1)).alias("_c"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi")
-    )
-    coarse = with_ranges(coarse, [], "_coarse", F.lit(0)).withColumn(
-        "_n", F.sum("_c").over(W.partitionBy(*keys))
-    )
-    figures = ["_lo", "_hi", "_n"]
-    coarse = coarse.where(wanted).select(
-        *keys, "_coarse", *figures, F.col("_before").alias("_base")
+    inner = [f"g{i}" for i in range(len(by))]
+    keys = ", ".join(inner)
+    named = ", ".join(f"{g} AS {_quoted(b)}" for g, b in zip(inner, by))
+
+    # 1-based ranks on both sides of each interpolated position
+    positions = [f"{float(p)!r}D * (n - 1)" for p in probs]
+    ranks = [r for x in positions for r in (f"floor({x}) + 1", f"ceil({x}) + 1")]
+    wanted = " OR ".join(f"({r}) BETWEEN base + 1 AND base + c" for r in dict.fromkeys(ranks))
+    at = [f"max(CASE WHEN ({r}) BETWEEN base + 1 AND base + c THEN v END)" for r in ranks]
+    picked = ", ".join(f"{x} AS r{i}" for i, x in enumerate(at))
+    quantiles = ", ".join(
+        f"r{2 * j} + (r{2 * j + 1} - r{2 * j}) * ({x} - floor({x}))" for j, x in enumerate(positions)
     )
 
-    lo, hi = F.col("_lo"), F.col("_hi")
-    fine_no = F.when(hi == lo, F.lit(0)).otherwise(
-        F.least(F.floor((v - lo) / (hi - lo) * FINE_SLICES), F.lit(FINE_SLICES - 1)).cast("int")
-    )
-    fine = (
-        spread_join(facts, coarse, [*by, "_coarse"], ["_v"], bounded_groups)
-        .groupBy(*keys, "_coarse", fine_no.alias("_fine"))
-        .agg(F.count(F.lit(1)).alias("_c"), *[F.first(f).alias(f) for f in [*figures, "_base"]])
-    )
-    fine = with_ranges(fine, ["_coarse"], "_fine", F.col("_base")).where(wanted)
-    fine = fine.select(*keys, "_coarse", "_fine", *figures, F.col("_before").alias("_base"))
-
-    values = (
-        spread_join(facts, fine, [*by, "_coarse"], ["_v"], bounded_groups)
-        .where(F.col("_fine") == fine_no)
-        .groupBy(*keys, "_coarse", "_fine", "_v")
-        .agg(F.count(F.lit(1)).alias("_c"), *[F.first(f).alias(f) for f in ["_n", "_base"]])
-    )
-    ranked = with_ranges(values, ["_coarse", "_fine"], "_v", F.col("_base"))
-    picked = ranked.groupBy(*keys).agg(
-        F.first("_n").alias("_n"),
-        *[F.max(F.when(holds(r), v)).alias(f"_r{i}") for i, r in enumerate(ranks)],
-    )
-
-    def interpolate(j: int) -> Column:
-        below, above = F.col(f"_r{2 * j}"), F.col(f"_r{2 * j + 1}")
-        return below + (above - below) * (positions[j] - F.floor(positions[j]))
-
-    return picked.select(
-        *keys, n.alias("n"), F.array(*[interpolate(j) for j in range(len(probs))]).alias("q")
+    size = f"{10_000} + int(floor(least(log2(abs(v)), 1100D) * {COARSE_PER_OCTAVE}))"
+    coarse = f"CASE WHEN v = 0 THEN 0 WHEN v > 0 THEN {size} ELSE -({size}) END"
+    fine = f"CASE WHEN hi = lo THEN 0 ELSE int(least(floor((v - lo) / (hi - lo) * {FINE_SLICES}), {FINE_SLICES - 1})) END"
+
+    def meet(cuts: str) -> str:
+        """Every row next to the cuts of its group and coarse slice."""
+        same = [*inner, "coarse"]
+        if bounded_groups:
+            on = " AND ".join(f"f.{k} = w.{k}" for k in same)
+            return f"SELECT /*+ BROADCAST(w) */ w.*, f.v FROM facts f JOIN {cuts} w ON {on}"
+        on = " AND ".join(f"f.{k} = w.{k}" for k in [*same, "salt"])
+        return f"""SELECT w.*, f.v FROM (SELECT *, int(pmod(xxhash64(v), {SALTS})) AS salt FROM facts) f
+            JOIN (SELECT *, explode(sequence(0, {SALTS - 1})) AS salt FROM {cuts}) w ON {on}"""
+
+    groups = [col(b).alias(g) for g, b in zip(inner, by)]
+    source = df.select(*groups, col(value).cast("double").alias("v"))
+    return df.sparkSession.sql(
+        f"""
+        WITH facts AS (SELECT {keys}, v, {coarse} AS coarse FROM {{source}} WHERE v IS NOT NULL AND NOT isnan(v)),
+        by_coarse AS (SELECT {keys}, coarse, count(*) AS c, min(v) AS lo, max(v) AS hi
+            FROM facts GROUP BY {keys}, coarse),
+        in_coarse AS (SELECT *, sum(c) OVER (PARTITION BY {keys} ORDER BY coarse) - c AS base,
+            sum(c) OVER (PARTITION BY {keys}) AS n FROM by_coarse),
+        coarse_cuts AS (SELECT {keys}, coarse, lo, hi, n, base AS start FROM in_coarse WHERE {wanted}),
+        by_fine AS (SELECT {keys}, coarse, {fine} AS fine, count(*) AS c,
+            first(lo) AS lo, first(hi) AS hi, first(n) AS n, first(start) AS start
+            FROM ({meet("coarse_cuts")}) GROUP BY {keys}, coarse, {fine}),
+        in_fine AS (SELECT *, start + sum(c) OVER (PARTITION BY {keys}, coarse ORDER BY fine) - c AS base
+            FROM by_fine),
+        fine_cuts AS (SELECT {keys}, coarse, fine, lo, hi, n, base AS start FROM in_fine WHERE {wanted}),
+        by_value AS (SELECT {keys}, coarse, fine, v, count(*) AS c, first(n) AS n, first(start) AS start
+            FROM ({meet("fine_cuts")}) WHERE fine = {fine} GROUP BY {keys}, coarse, fine, v),
+        in_value AS (SELECT *, start + sum(c) OVER (PARTITION BY {keys}, coarse, fine ORDER BY v) - c AS base
+            FROM by_value),
+        picked AS (SELECT {keys}, first(n) AS n, {picked} FROM in_value GROUP BY {keys})
+        SELECT {named}, n, array({quantiles}) AS q FROM picked
+        """,
+        source=source,
     )
 
 
@@ -193,50 +177,37 @@ def approx_column_quantiles(
     )
 
 
-def _one_value(frame: DataFrame, now: bool) -> Column:
-    """The single value of a one-column frame of at most one row.
+# The figures below describe a whole column in one row, so they are computed where a step is
+# declared and enter its plan as constants. A chain of steps then grows by one projection or
+# filter per step, instead of nesting every earlier statistic into each later one, and filter
+# bounds reach the scan.
 
-    As a subquery it keeps the caller's plan lazy. With ``now`` it is computed at once and
-    put in as a constant, which keeps a long chain of steps from nesting every earlier
-    statistic into each later one, and lets the constant reach the scan as a pushed filter.
-    """
-    if not now:
-        return frame.scalar()
-    dtype = frame.schema[0].dataType
-    row = frame.first()
-    value = None if row is None else row[0]
-    if isinstance(value, list):
-        return F.array(*[F.lit(v) for v in value])
-    if isinstance(value, Row):
-        return F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(value, dtype)])
-    return F.lit(value).cast(dtype)
 
+def quantile_values(
+    df: DataFrame, columns: Sequence[str], probs: Sequence[float]
+) -> dict[str, list[float | None]]:
+    """Exact quantiles per column, one row per column; None for columns without values."""
+    none = dict.fromkeys(columns, [None] * len(probs))
+    return none | {r["column"]: r["q"] for r in column_quantiles(df, columns, probs).collect()}
 
-def quantile_scalar(df: DataFrame, column: str, probs: Sequence[float], now: bool = False) -> Column:
-    """The quantiles of one column as one array value."""
-    return _one_value(column_quantiles(df, [column], probs).select("q"), now)
 
+def moments(df: DataFrame, column: str) -> Row:
+    """``mean, std, lo, hi`` of one numeric column."""
+    v = present(column, dtype_of(df, column)).cast("double")
+    return df.agg(
+        F.avg(v).alias("mean"),
+        F.stddev_samp(v).alias("std"),
+        F.min(v).alias("lo"),
+        F.max(v).alias("hi"),
+    ).first()
 
-def mode_scalar(df: DataFrame, column: str, now: bool = False) -> Column:
-    """The smallest of the most frequent values as one value.
+
+def mode_value(df: DataFrame, column: str):
+    """The smallest of the most frequent values.
 
     Counted by value first, so no task holds the set of distinct values.
     """
     value = present(column, dtype_of(df, column))
     counts = df.select(value.alias("_v")).where("_v is not null").groupBy("_v").count()
     best = counts.agg(F.min(F.struct((-F.col("count")).alias("_c"), "_v")).alias("_b"))
-    return _one_value(best.select("_b._v"), now)
-
-
-def moments_scalar(df: DataFrame, column: str, now: bool = False) -> Column:
-    """Struct ``mean, std, lo, hi`` of one numeric column as one value."""
-    v = present(column, dtype_of(df, column)).cast("double")
-    moments = df.agg(
-        F.struct(
-            F.avg(v).alias("mean"),
-            F.stddev_samp(v).alias("std"),
-            F.min(v).alias("lo"),
-            F.max(v).alias("hi"),
-        ).alias("m")
-    )
-    return _one_value(moments, now)
+    return best.select("_b._v").first()[0]

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabscope.functions.columns import col, dtype_of, present, ratio, require, require_numeric
-from tabscope.functions.stats import column_quantiles, exact_quantiles, spread_join
+from tabscope.functions.stats import exact_quantiles, quantile_values, spread_join
 
 BINS = 20
 QUARTILES = (0.25, 0.5, 0.75)
@@ -72,50 +72,58 @@ def scatter(df: DataFrame, x: str, y: str, group: str | None = None) -> DataFram
 
 def _bin(v: Column, lo: Column, hi: Column) -> Column:
     """1-based equal-width bin; a value on an edge starts the next bin, the last is closed."""
+    width = (hi - lo) / BINS
     guess = F.least(F.floor((v - lo) / (hi - lo) * BINS), F.lit(BINS - 1))
-    edge = lambda i: lo + i * ((hi - lo) / BINS)
     fixed = (
-        F.when(v < edge(guess), guess - 1)
-        .when((v >= edge(guess + 1)) & (guess < BINS - 1), guess + 1)
+        F.when(v < lo + guess * width, guess - 1)
+        .when((v >= lo + (guess + 1) * width) & (guess < BINS - 1), guess + 1)
         .otherwise(guess)
     )
     return (fixed + 1).cast("int")
 
 
-def _range_of(v: Column) -> list[Column]:
+def _edges(values: DataFrame, *keys: str) -> DataFrame:
     """Lowest and highest edge; a constant column gets a range one unit wide."""
-    lo, hi = F.min(v), F.max(v)
-    flat = lo == hi
-    return [
-        F.when(flat, lo - 0.5).otherwise(lo).alias("lo"),
-        F.when(flat, hi + 0.5).otherwise(hi).alias("hi"),
-    ]
+    flat = F.col("lo") == F.col("hi")
+    return (
+        values.groupBy(*keys)
+        .agg(F.min("v").alias("lo"), F.max("v").alias("hi"))
+        .where("lo is not null")
+        .select(
+            *keys,
+            F.when(flat, F.col("lo") - 0.5).otherwise(F.col("lo")).alias("lo"),
+            F.when(flat, F.col("hi") + 0.5).otherwise(F.col("hi")).alias("hi"),
+        )
+    )
 
 
 def hist(df: DataFrame, y: str, group: str | None = None) -> DataFrame:
     """20 equal-width bins, empty ones included: ``[group,] bin, lo, hi, count``.
 
-    Grouped, the range is each group's own. Rows shrink to one per (group, bin) before
-    anything is shuffled for counting.
+    Grouped, the range is each group's own. Rows shrink to one per (group, bin) before they
+    are shuffled for counting.
     """
     v = _number(df, y)
     if group is None:
         values = df.select(v.alias("v")).where("v is not null")
-        rng = values.agg(F.struct(*_range_of(F.col("v")))).scalar()
-        counted = values.groupBy(_bin(F.col("v"), rng["lo"], rng["hi"]).alias("bin")).count()
-        edges = values.agg(*_range_of(F.col("v"))).where("lo is not null")
+        edges = _edges(values)
+        found = edges.first()  # one row at most
+        lo, hi = (F.lit(found[c] if found else None).cast("double") for c in ("lo", "hi"))
+        frame = df.sparkSession.range(1 if found else 0).select(lo.alias("lo"), hi.alias("hi"))
+        counted = values.groupBy(_bin(F.col("v"), lo, hi).alias("bin")).count()
         keys = ["bin"]
     else:
         values = df.select(_key(df, group).alias("group"), v.alias("v")).where(
             "`group` is not null and v is not null"
         )
-        edges = values.groupBy("group").agg(*_range_of(F.col("v")))
-        binned = spread_join(values, edges, ["group"], ["v"]).select(
-            "group", _bin(F.col("v"), F.col("lo"), F.col("hi")).alias("bin")
+        frame = _edges(values, "group")
+        counted = (
+            spread_join(values, frame, ["group"], ["v"])
+            .groupBy("group", _bin(F.col("v"), F.col("lo"), F.col("hi")).alias("bin"))
+            .count()
         )
-        counted = binned.groupBy("group", "bin").count()
         keys = ["group", "bin"]
-    frame = edges.withColumn("bin", F.explode(F.sequence(F.lit(1), F.lit(BINS))))
+    frame = frame.withColumn("bin", F.explode(F.sequence(F.lit(1), F.lit(BINS))))
     width = (F.col("hi") - F.col("lo")) / BINS
     return frame.join(counted, keys, "left").select(
         *keys,
@@ -157,7 +165,8 @@ def _fenced(df: DataFrame, y: str, group: str | None) -> DataFrame:
     v = _number(df, y)
     if group is None:
         values = df.select(F.lit(y).alias("label"), v.alias("v")).where("v is not null")
-        q = column_quantiles(values, ["v"], QUARTILES).select("q").scalar()
+        quartiles = quantile_values(values, ["v"], QUARTILES)["v"]
+        q = F.array(*[F.lit(x).cast("double") for x in quartiles])
         joined = values.select("label", "v", q.alias("q"))
     else:
         values = df.select(_key(df, group).alias("label"), v.alias("v")).where(

@@ -1,9 +1,8 @@
 """Imputation, outlier filters, scaling, de-duplication and type conversion.
 
 Every step is described by a ``Change``: a new expression for one column, a condition rows
-must meet, or both. Column statistics enter as one-row subqueries (with ``now`` as constants
-computed at once), so a step is one extra aggregate over the column and then a plain
-projection or filter over the table.
+must meet, or both. The column statistics a step needs are one row, computed when the step is
+declared; the step itself is then a plain projection or filter over the table.
 """
 
 from __future__ import annotations
@@ -23,7 +22,7 @@ from tabscope.functions.columns import (
     require,
     require_numeric,
 )
-from tabscope.functions.stats import mode_scalar, moments_scalar, quantile_scalar
+from tabscope.functions.stats import mode_value, moments, quantile_values
 
 
 @dataclass(frozen=True)
@@ -38,57 +37,60 @@ class Change:
         return df if self.keep is None else df.where(self.keep)
 
 
-def fill_change(df: DataFrame, column: str, strategy: str, now: bool = False) -> Change:
+def fill_change(df: DataFrame, column: str, strategy: str) -> Change:
     strategy = choice(strategy, ("mean", "median", "mode", "drop", "zero"), "strategy")
     dtype = dtype_of(df, column)
     v = present(column, dtype)
     if strategy == "drop":
         return Change(column, keep=v.isNotNull())
     if strategy == "mode":
-        return Change(column, F.coalesce(v, mode_scalar(df, column, now)))
+        return Change(column, F.coalesce(v, F.lit(mode_value(df, column)).cast(dtype)))
     if not is_numeric(dtype):
         raise ValueError(f"strategy {strategy!r} needs a numeric column, {column!r} is not")
     if strategy == "zero":
         return Change(column, F.coalesce(v, F.lit(0).cast(dtype)))
     # averages of whole numbers are fractions, so the filled column is always DOUBLE
     if strategy == "mean":
-        filler = moments_scalar(df, column, now)["mean"]
+        filler = moments(df, column)["mean"]
     else:
-        filler = quantile_scalar(df, column, (0.5,), now)[0]
-    return Change(column, F.coalesce(v.cast("double"), filler))
+        filler = quantile_values(df, [column], (0.5,))[column][0]
+    return Change(column, F.coalesce(v.cast("double"), F.lit(filler).cast("double")))
 
 
 def outlier_change(
-    df: DataFrame,
-    column: str,
-    method: str,
-    threshold: float = 1.5,
-    z: float = 3.0,
-    now: bool = False,
+    df: DataFrame, column: str, method: str, threshold: float = 1.5, z: float = 3.0
 ) -> Change:
     require_numeric(df, column)
     method = choice(method, ("iqr", "zscore"), "method")
     v = present(column, dtype_of(df, column)).cast("double")
     if method == "iqr":
-        q = quantile_scalar(df, column, (0.25, 0.75), now)
-        spread = q[1] - q[0]
-        return Change(column, keep=v.between(q[0] - threshold * spread, q[1] + threshold * spread))
-    m = moments_scalar(df, column, now)
-    near = F.abs(F.try_divide(v - m["mean"], m["std"])) <= z
-    # no spread: nothing is an outlier; an undefined spread (one value) keeps nothing
-    return Change(column, keep=F.when(m["std"] == 0, F.lit(True)).otherwise(near))
-
-
-def normalize_change(df: DataFrame, column: str, method: str, now: bool = False) -> Change:
+        q1, q3 = quantile_values(df, [column], (0.25, 0.75))[column]
+        if q1 is None:
+            return Change(column, keep=F.lit(False))
+        spread = q3 - q1
+        return Change(column, keep=v.between(q1 - threshold * spread, q3 + threshold * spread))
+    m = moments(df, column)
+    if m["std"] == 0:
+        return Change(column)  # no spread: nothing is an outlier
+    if m["std"] is None:
+        return Change(column, keep=F.lit(False))  # nothing can be told from one value
+    return Change(column, keep=F.abs((v - m["mean"]) / m["std"]) <= z)
+
+
+def normalize_change(df: DataFrame, column: str, method: str) -> Change:
     require_numeric(df, column)
     method = choice(method, ("minmax", "standard"), "method")
     v = present(column, dtype_of(df, column)).cast("double")
-    m = moments_scalar(df, column, now)
+    m = moments(df, column)
     if method == "minmax":
-        scaled = F.try_divide(v - m["lo"], m["hi"] - m["lo"])
-        return Change(column, F.when(m["hi"] == m["lo"], v).otherwise(scaled))
-    scaled = F.try_divide(v - m["mean"], m["std"])
-    return Change(column, F.when(m["std"] == 0, v).otherwise(scaled))
+        origin, unit = m["lo"], None if m["lo"] is None else m["hi"] - m["lo"]
+    else:
+        origin, unit = m["mean"], m["std"]
+    if unit == 0:
+        return Change(column, v)
+    if unit is None:
+        return Change(column, F.lit(None).cast("double"))
+    return Change(column, (v - origin) / unit)
 
 
 def convert_change(df: DataFrame, column: str, dtype: str) -> Change:

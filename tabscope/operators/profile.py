@@ -18,7 +18,7 @@ from tabscope.functions.columns import (
     require,
     text_columns,
 )
-from tabscope.functions.stats import approx_column_quantiles, column_quantiles, long_text
+from tabscope.functions.stats import approx_column_quantiles, column_quantiles, long_text, quantile_values
 from tabscope.operators.inspect import column_counts, dtype_column
 
 STATISTICS = ("count", "mean", "std", "min", "25%", "50%", "75%", "max")
@@ -158,24 +158,15 @@ def quality_issues(df: DataFrame, t: float = 1.5) -> DataFrame:
     names = numeric_columns(df)
     if not names:
         return missing
-    fences = (
-        column_quantiles(df, names, (0.25, 0.75))
-        .select("column", F.col("q")[0].alias("q1"), F.col("q")[1].alias("q3"))
-        .select(
-            "column",
-            (F.col("q1") - t * (F.col("q3") - F.col("q1"))).alias("lower"),
-            (F.col("q3") + t * (F.col("q3") - F.col("q1"))).alias("upper"),
-        )
-        # one entry per numeric column of the schema
-        .agg(F.map_from_entries(F.collect_list(F.struct("column", F.struct("lower", "upper")))))
-        .scalar()
-    )
+    quartiles = quantile_values(df, names, (0.25, 0.75))
     total = F.count(F.lit(1))
     cells = []
     for name in names:
         v = present(name, dtype_of(df, name)).cast("double")
-        bound = fences[name]
-        out = F.count_if((v < bound["lower"]) | (v > bound["upper"]))
+        q1, q3 = quartiles[name]
+        if q1 is None:
+            continue
+        out = F.count_if((v < q1 - t * (q3 - q1)) | (v > q3 + t * (q3 - q1)))
         cells.append(
             F.struct(
                 F.lit(name).alias("column"),
@@ -184,5 +175,7 @@ def quality_issues(df: DataFrame, t: float = 1.5) -> DataFrame:
                 F.round(ratio(out, total) * 100, 2).alias("pct"),
             )
         )
+    if not cells:
+        return missing
     outliers = df.agg(F.array(*cells).alias("_all")).select(F.inline("_all")).where("n > 0")
     return missing.unionByName(outliers)

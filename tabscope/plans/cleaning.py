@@ -33,12 +33,12 @@ class PlanRun:
 
 def _change(df: DataFrame, action: str, column: str, params: Mapping[str, Any]) -> Change | None:
     if action == "fill_missing":
-        return fill_change(df, column, params.get("strategy", "mean"), now=True)
+        return fill_change(df, column, params.get("strategy", "mean"))
     if action == "remove_outliers":
         threshold = float(params.get("threshold", 1.5))
-        return outlier_change(df, column, params.get("method", "iqr"), threshold, now=True)
+        return outlier_change(df, column, params.get("method", "iqr"), threshold)
     if action == "normalize_column":
-        return normalize_change(df, column, params.get("method", "minmax"), now=True)
+        return normalize_change(df, column, params.get("method", "minmax"))
     if action == "convert_type":
         return convert_change(df, column, params.get("dtype", "string"))
     return None
