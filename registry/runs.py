@@ -296,16 +296,18 @@ def snk3_spans(spark, sf_dir):
     FROM spans s JOIN summary m ON m.trace_id = s.trace_id GROUP BY s.trace_id, floor(seq / 512)""",
 )
 def snk3_envelopes(spark, sf_dir):
-    payload = F.parse_json("payload")
-    made = otlp.otlp_envelopes(spans(spark, sf_dir)).withColumn("p", payload)
-    names = F.variant_get("p", "$.resourceSpans[0].scopeSpans[0].spans", "array<struct<name: string>>")
+    shape = (
+        "resourceSpans array<struct<scopeSpans: array<struct<spans: array<struct<name: string>>>>>>, "
+        "metadata struct<summary: struct<total_spans: bigint, slowest_node: string>>"
+    )
+    made = otlp.otlp_envelopes(spans(spark, sf_dir)).withColumn("p", F.from_json("payload", shape))
     return made.select(
         "trace_id",
         "batch",
         "n_spans",
-        F.array_min(names["name"]).alias("first_name"),
-        F.variant_get("p", "$.metadata.summary.total_spans", "bigint").alias("total_spans"),
-        F.variant_get("p", "$.metadata.summary.slowest_node", "string").alias("slowest_node"),
+        F.array_min(F.col("p.resourceSpans")[0]["scopeSpans"][0]["spans"]["name"]).alias("first_name"),
+        "p.metadata.summary.total_spans",
+        "p.metadata.summary.slowest_node",
     )
 
 

@@ -262,42 +262,34 @@ def score_analyses(df: DataFrame) -> DataFrame:
     return _scored(df, "analyst", ANALYSIS_WEIGHTS, values, failed | (_count(present) == 0))
 
 
-def _basename(path: Column) -> Column:
-    return F.substring_index(path, "/", -1)
-
-
 def score_charts(df: DataFrame, files: DataFrame | None, key: str = "id") -> DataFrame:
     """Chart lists ``charts ARRAY<STRING>`` against ``files (path)``, the charts on disk.
 
     Existence is an equi-join of the exploded paths with the listing, so neither side has to
     fit anywhere; paths are matched as written. Without a listing nothing exists.
     """
-    n = F.coalesce(F.size("charts"), F.lit(0))
+    n = F.greatest(F.coalesce(F.size("charts"), F.lit(0)), F.lit(0))
+    paths = df.select(key, F.explode("charts").alias("path"))
     if files is None:
-        counted = df.withColumn("_existing", F.lit(0))
+        paths = paths.withColumn("_there", F.lit(0))
     else:
         listed = files.select("path").distinct().withColumn("_there", F.lit(1))
-        existing = (
-            df.select(key, F.explode("charts").alias("path"))
-            .join(listed, "path", "left_semi")
-            .groupBy(key)
-            .agg(F.count(F.lit(1)).alias("_existing"))
-        )
-        counted = df.join(existing, key, "left").withColumn(
-            "_existing", F.coalesce("_existing", F.lit(0))
-        )
-    names = F.transform("charts", lambda p: F.lower(_basename(p)))
-
-    def shows(kind: str) -> Column:
-        return F.coalesce(F.exists(names, lambda b: F.coalesce(b.contains(kind), F.lit(False))), F.lit(False))
-
-    types = _count([shows(kind) for kind in CHART_TYPES])
+        paths = paths.join(listed, "path", "left")
+    name = F.lower(F.substring_index("path", "/", -1))
+    per_list = paths.groupBy(key).agg(
+        F.count_if(F.col("_there") == 1).alias("_existing"),
+        *[F.bool_or(name.contains(kind)).alias(f"_has_{kind}") for kind in CHART_TYPES],
+    )
+    counted = df.join(per_list, key, "left")
+    added = [c for c in per_list.columns if c != key]
+    types = _count([F.coalesce(f"_has_{kind}", F.lit(False)) for kind in CHART_TYPES])
+    existing = F.coalesce("_existing", F.lit(0)).cast("double")
     values = {
         "chart_count": F.when(n.between(3, 5), 1.0).otherwise(clamp(n / F.lit(3.0))),
-        "files_exist": ratio(F.col("_existing").cast("double"), n.cast("double")),
+        "files_exist": ratio(existing, n.cast("double")),
         "type_diversity": F.when(types > 0, clamp(types / F.lit(3.0))).otherwise(0.3),
     }
-    return _scored(counted, "visualizer", CHART_WEIGHTS, values, n == 0).drop("_existing")
+    return _scored(counted, "visualizer", CHART_WEIGHTS, values, n == 0).drop(*added)
 
 
 def _matches(text: Column, pattern: str, traces: tuple[str, ...]) -> Column:
@@ -310,20 +302,30 @@ def _matches(text: Column, pattern: str, traces: tuple[str, ...]) -> Column:
 
 def score_reports(df: DataFrame, report: str = "report", charts: str | None = None) -> DataFrame:
     """Markdown reports, the whole text of each; ``charts`` names their chart-list column."""
-    text = F.coalesce(F.col(report), F.lit(""))
-    length = F.length(text)
-    sections = _count([text.contains(s) for s in REPORT_SECTIONS])
-    lower = F.lower(text)
-    english = _count([lower.contains(s) for s in REPORT_SECTIONS_EN])
-    found = F.when(sections < 3, sections + english).otherwise(sections)
-    images = _matches(text, IMAGE_REFERENCE, ("![",))
+    # measured once per text, in a projection of their own, then weighed
+    text, lower = F.col("_text"), F.col("_lower")
+    texts = df.withColumn("_text", F.coalesce(F.col(report), F.lit("")))
+    texts = texts.withColumn("_lower", F.lower(text))
+    measures = {
+        "_length": F.length(text),
+        "_sections": _count([text.contains(s) for s in REPORT_SECTIONS]),
+        "_english": _count([lower.contains(s) for s in REPORT_SECTIONS_EN]),
+        "_images": _matches(text, IMAGE_REFERENCE, ("![",)),
+        **{
+            f"_sign{i}": _matches(text, p, t)
+            for i, (p, t) in enumerate(zip(REPORT_SIGNS, REPORT_SIGN_TRACES))
+        },
+    }
+    measured = texts.withColumns(measures)
+    length, sections, images = F.col("_length"), F.col("_sections"), F.col("_images")
+    found = F.when(sections < 3, sections + F.col("_english")).otherwise(sections)
     references = _up_to(images, 3)
     if charts is not None:
         listed = F.coalesce(F.size(charts), F.lit(0))
         references = F.when(
             listed > 0, clamp(ratio(images.cast("double"), listed.cast("double")))
         ).otherwise(references)
-    signs = [_up_to(_matches(text, p, t), 5) for p, t in zip(REPORT_SIGNS, REPORT_SIGN_TRACES)]
+    signs = [_up_to(F.col(f"_sign{i}"), 5) for i in range(len(REPORT_SIGNS))]
     richness = reduce(lambda a, b: a + b, signs, F.lit(0.0)) / F.lit(float(len(signs)))
     values = {
         "length_adequate": F.when(length >= 2000, 1.0)
@@ -334,7 +336,8 @@ def score_reports(df: DataFrame, report: str = "report", charts: str | None = No
         "data_richness": clamp(richness),
     }
     void = (text == "") | text.startswith(REPORT_FAILED)
-    return _scored(df, "reporter", REPORT_WEIGHTS, values, void)
+    scored = _scored(measured, "reporter", REPORT_WEIGHTS, values, void)
+    return scored.drop("_text", "_lower", *measures)
 
 
 def score_runs(
@@ -391,26 +394,25 @@ def recommendations(scores: DataFrame, run: str = "run_id") -> DataFrame:
     The rules are a fixed handful and apply row by row, so nothing is joined. A run none of
     whose scores gives rise to advice gets one line saying so.
     """
-    agent = F.col("agent_name")
-    fired = []
-    for name, dimension, cut in ADVICE_RULES:
-        weak = (
-            (F.col("overall_score") < ADVICE_BELOW)
-            & (agent == name)
-            & (F.coalesce(F.col("dimensions")[dimension], F.lit(1.0)) < cut)
-        )
-        fired.append(
-            F.when(
-                weak,
-                F.struct(F.lit(dimension).alias("dimension"), F.lit(ADVICE[dimension]).alias("recommendation")),
-            )
+    weak = {
+        dimension: (F.col("overall_score") < ADVICE_BELOW)
+        & (F.col("agent_name") == agent)
+        & (F.coalesce(F.col("dimensions")[dimension], F.lit(1.0)) < cut)
+        for agent, dimension, cut in ADVICE_RULES
+    }
+    lines = [
+        F.when(
+            fires,
+            F.struct(F.lit(dimension).alias("dimension"), F.lit(ADVICE[dimension]).alias("recommendation")),
         )
-    advised = scores.withColumn("_fired", F.array_compact(F.array(*fired)))
-    given = advised.select(run, "agent_name", F.inline("_fired"))
+        for dimension, fires in weak.items()
+    ]
+    given = scores.select(run, "agent_name", F.inline(F.array(*lines))).where("dimension is not null")
+    any_weak = F.coalesce(reduce(lambda a, b: a | b, weak.values()), F.lit(False))
     content = (
-        advised.groupBy(run)
-        .agg(F.sum(F.size("_fired")).alias("_n"))
-        .where("_n = 0")
+        scores.groupBy(run)
+        .agg(F.bool_or(any_weak).alias("_advised"))
+        .where("not _advised")
         .select(
             run,
             F.lit(None).cast("string").alias("agent_name"),
