@@ -21,21 +21,17 @@ def spread_join(
     per_group: DataFrame,
     on: Sequence[str],
     spread_by: Sequence[str],
-    bounded: bool = False,
+    how: str = "inner",
 ) -> DataFrame:
     """Joins rows to their group's few figures without sending a hot group to one task.
 
-    ``bounded`` promises that the schema, not the data, limits ``per_group`` (one row per
-    column, say); only then is it broadcast outright. Otherwise every group's figures are
-    copied once per salt and rows meet them by (group, salt): a group is spread over that
-    many tasks, adaptive execution may split those further, and may still switch to a
-    broadcast when the copies turn out small.
+    Every group's figures are copied once per salt and rows meet them by (group, salt): a
+    group is spread over that many tasks, adaptive execution may split those further, and may
+    still switch to a broadcast when the copies turn out small. ``how``: inner or left.
     """
-    if bounded:
-        return facts.join(F.broadcast(per_group), list(on))
     salt = F.pmod(F.xxhash64(*[col(c) for c in spread_by]), F.lit(SALTS)).cast("int")
     copies = per_group.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    return facts.withColumn("_salt", salt).join(copies, [*on, "_salt"]).drop("_salt")
+    return facts.withColumn("_salt", salt).join(copies, [*on, "_salt"], how).drop("_salt")
 
 
 def _quoted(name: str) -> str:

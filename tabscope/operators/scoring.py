@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabscope.functions.columns import clamp, ratio
+from tabscope.functions.stats import spread_join
 from tabscope.operators.telemetry import execution_quality
 
 # --- fixed values -------------------------------------------------------------------------
@@ -265,8 +266,9 @@ def score_analyses(df: DataFrame) -> DataFrame:
 def score_charts(df: DataFrame, files: DataFrame | None, key: str = "id") -> DataFrame:
     """Chart lists ``charts ARRAY<STRING>`` against ``files (path)``, the charts on disk.
 
-    Existence is an equi-join of the exploded paths with the listing, so neither side has to
-    fit anywhere; paths are matched as written. Without a listing nothing exists.
+    Existence is an equi-join of the exploded paths with the listing, spread so that a path
+    named in very many lists does not pile up; paths are matched as written. Without a
+    listing nothing exists.
     """
     n = F.greatest(F.coalesce(F.size("charts"), F.lit(0)), F.lit(0))
     paths = df.select(key, F.explode("charts").alias("path"))
@@ -274,7 +276,7 @@ def score_charts(df: DataFrame, files: DataFrame | None, key: str = "id") -> Dat
         paths = paths.withColumn("_there", F.lit(0))
     else:
         listed = files.select("path").distinct().withColumn("_there", F.lit(1))
-        paths = paths.join(listed, "path", "left")
+        paths = spread_join(paths, listed, ["path"], [key], "left")
     name = F.lower(F.substring_index("path", "/", -1))
     per_list = paths.groupBy(key).agg(
         F.count_if(F.col("_there") == 1).alias("_existing"),

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tabscope.functions.stats import spread_join
 from tabscope.operators.telemetry import traces
 
 # Spans per envelope. One trace may hold any share of the table, so it is sent as several
@@ -109,6 +110,6 @@ def otlp_envelopes(
         F.lit(',"spans":['), listed,
         F.lit(']}]}],"metadata":'), F.col("metadata"), F.lit("}"),
     )
-    return gathered.join(about, "trace_id").select(
+    return spread_join(gathered, about, ["trace_id"], ["batch"]).select(
         "trace_id", "batch", F.size("_s").alias("n_spans"), payload.alias("payload")
     )
