@@ -164,7 +164,7 @@ def cht2(spark, sf_dir):
 
 @query(
     "cht2_bar_wide",
-    """SELECT o_orderpriority AS x, round(avg(o_totalprice) FILTER (o_orderstatus = 'F'), 4) AS F,
+    """SELECT o_orderpriority, round(avg(o_totalprice) FILTER (o_orderstatus = 'F'), 4) AS F,
     round(avg(o_totalprice) FILTER (o_orderstatus = 'O'), 4) AS O,
     round(avg(o_totalprice) FILTER (o_orderstatus = 'P'), 4) AS P FROM orders GROUP BY 1""",
 )

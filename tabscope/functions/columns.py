@@ -57,6 +57,14 @@ def present(name: str, dtype: T.DataType) -> Column:
     return c
 
 
+def is_present(name: str, dtype: T.DataType) -> Column:
+    """``present(...)`` is not NULL, as a condition the scan can use."""
+    c = col(name)
+    if isinstance(dtype, (T.FloatType, T.DoubleType)):
+        return c.isNotNull() & ~F.isnan(c)
+    return c.isNotNull()
+
+
 def as_text(name: str, dtype: T.DataType) -> Column:
     """A text form in which two values are equal exactly when the originals are."""
     c = present(name, dtype)

@@ -5,7 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabscope.functions.columns import choice, col, dtype_of, present, require, require_numeric
+from tabscope.functions.columns import (
+    choice,
+    col,
+    dtype_of,
+    is_present,
+    present,
+    require,
+    require_numeric,
+)
 
 
 def group_statistics(
@@ -19,7 +27,6 @@ def group_statistics(
     agg_func = choice(agg_func, ("mean", "sum", "count", "min", "max"), "aggregate")
     if agg_func in ("mean", "sum"):
         require_numeric(df, value_col)
-    key = present(group_col, dtype_of(df, group_col))
     v = present(value_col, dtype_of(df, value_col))
     aggregate = {
         "mean": F.avg(v),
@@ -29,7 +36,7 @@ def group_statistics(
         "max": F.max(v),
     }[agg_func]
     return (
-        df.where(key.isNotNull())
+        df.where(is_present(group_col, dtype_of(df, group_col)))
         .groupBy(col(group_col))
         .agg(aggregate.alias(f"{agg_func}({value_col})"))
     )
@@ -38,9 +45,9 @@ def group_statistics(
 def correlation(df: DataFrame, col_a: str, col_b: str) -> DataFrame:
     """Pearson correlation over complete pairs, with strength and direction; one row."""
     require_numeric(df, col_a, col_b)
-    a = present(col_a, dtype_of(df, col_a)).cast("double")
-    b = present(col_b, dtype_of(df, col_b)).cast("double")
-    pairs = df.select(a.alias("a"), b.alias("b")).where("a is not null and b is not null")
+    a, b = col(col_a).cast("double"), col(col_b).cast("double")
+    both = is_present(col_a, dtype_of(df, col_a)) & is_present(col_b, dtype_of(df, col_b))
+    pairs = df.where(both).select(a.alias("a"), b.alias("b"))
     r = F.col("coefficient")
     return pairs.agg(
         F.try_divide(

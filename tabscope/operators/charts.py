@@ -2,10 +2,20 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabscope.functions.columns import col, dtype_of, present, ratio, require, require_numeric
+from tabscope.functions.columns import (
+    col,
+    dtype_of,
+    is_present,
+    present,
+    ratio,
+    require,
+    require_numeric,
+)
 from tabscope.functions.stats import exact_quantiles, quantile_values, spread_join
 
 BINS = 20
@@ -17,8 +27,9 @@ def _number(df: DataFrame, name: str) -> Column:
     return present(name, dtype_of(df, name)).cast("double")
 
 
-def _key(df: DataFrame, name: str) -> Column:
-    return present(name, dtype_of(df, name))
+def _has(df: DataFrame, *names: str) -> Column:
+    """Condition that all these columns have a value."""
+    return reduce(lambda a, b: a & b, [is_present(n, dtype_of(df, n)) for n in names])
 
 
 def bar(df: DataFrame, x: str, y: str, group: str | None = None) -> DataFrame:
@@ -36,7 +47,7 @@ def bar(df: DataFrame, x: str, y: str, group: str | None = None) -> DataFrame:
         )
     require(df, group)
     return (
-        df.where(_key(df, x).isNotNull() & _key(df, group).isNotNull())
+        df.where(_has(df, x, group))
         .groupBy(col(x).alias("x"), col(group).alias("group"))
         .agg(F.avg(v).alias("mean"))
     )
@@ -44,8 +55,8 @@ def bar(df: DataFrame, x: str, y: str, group: str | None = None) -> DataFrame:
 
 def bar_wide(df: DataFrame, x: str, y: str, group: str, groups: list) -> DataFrame:
     """The grouped bars with one column per listed group value."""
-    long = bar(df, x, y, group)
-    return long.groupBy("x").pivot("group", groups).agg(F.first("mean"))
+    long = bar(df, x, y, group).withColumnRenamed("x", x)
+    return long.groupBy(col(x)).pivot("group", groups).agg(F.first("mean"))
 
 
 def _points(df: DataFrame, x: str, y: str, group: str | None) -> DataFrame:
@@ -53,8 +64,7 @@ def _points(df: DataFrame, x: str, y: str, group: str | None) -> DataFrame:
     columns = [col(x).alias("x"), col(y).alias("y")]
     if group is None:
         return df.select(*columns)
-    key = _key(df, group)
-    return df.where(key.isNotNull()).select(*columns, col(group).alias("group"))
+    return df.where(_has(df, group)).select(*columns, col(group).alias("group"))
 
 
 def line(df: DataFrame, x: str, y: str, group: str | None = None) -> DataFrame:
@@ -65,9 +75,7 @@ def line(df: DataFrame, x: str, y: str, group: str | None = None) -> DataFrame:
 
 def scatter(df: DataFrame, x: str, y: str, group: str | None = None) -> DataFrame:
     """All (x, y[, group]) points that have both coordinates."""
-    points = _points(df, x, y, group)
-    shown = [present(c, dtype_of(points, c)).isNotNull() for c in ("x", "y")]
-    return points.where(shown[0] & shown[1])
+    return _points(df.where(_has(df, x, y)), x, y, group)
 
 
 def _bin(v: Column, lo: Column, hi: Column) -> Column:
@@ -105,7 +113,7 @@ def hist(df: DataFrame, y: str, group: str | None = None) -> DataFrame:
     """
     v = _number(df, y)
     if group is None:
-        values = df.select(v.alias("v")).where("v is not null")
+        values = df.where(_has(df, y)).select(v.alias("v"))
         edges = _edges(values)
         found = edges.first()  # one row at most
         lo, hi = (F.lit(found[c] if found else None).cast("double") for c in ("lo", "hi"))
@@ -113,9 +121,7 @@ def hist(df: DataFrame, y: str, group: str | None = None) -> DataFrame:
         counted = values.groupBy(_bin(F.col("v"), lo, hi).alias("bin")).count()
         keys = ["bin"]
     else:
-        values = df.select(_key(df, group).alias("group"), v.alias("v")).where(
-            "`group` is not null and v is not null"
-        )
+        values = df.where(_has(df, group, y)).select(col(group).alias("group"), v.alias("v"))
         frame = _edges(values, "group")
         counted = (
             spread_join(values, frame, ["group"], ["v"])
@@ -140,9 +146,8 @@ def pie(df: DataFrame, x: str, y: str | None = None, group: str | None = None) -
     """
     if group is None:
         require(df, x)
-        key = _key(df, x)
         slices = (
-            df.where(key.isNotNull())
+            df.where(_has(df, x))
             .groupBy(col(x).alias("label"))
             .agg(F.count(F.lit(1)).alias("value"))
             .orderBy(F.desc("value"), "label")
@@ -152,7 +157,7 @@ def pie(df: DataFrame, x: str, y: str | None = None, group: str | None = None) -
         require(df, group)
         v = _number(df, y)
         slices = (
-            df.where(_key(df, group).isNotNull())
+            df.where(_has(df, group))
             .groupBy(col(group).alias("label"))
             .agg(F.coalesce(F.sum(v), F.lit(0.0)).alias("value"))
         )
@@ -164,14 +169,12 @@ def _fenced(df: DataFrame, y: str, group: str | None) -> DataFrame:
     """Every value next to its group's quartiles and 1.5 IQR fences."""
     v = _number(df, y)
     if group is None:
-        values = df.select(F.lit(y).alias("label"), v.alias("v")).where("v is not null")
+        values = df.where(_has(df, y)).select(F.lit(y).alias("label"), v.alias("v"))
         quartiles = quantile_values(values, ["v"], QUARTILES)["v"]
         q = F.array(*[F.lit(x).cast("double") for x in quartiles])
         joined = values.select("label", "v", q.alias("q"))
     else:
-        values = df.select(_key(df, group).alias("label"), v.alias("v")).where(
-            "label is not null and v is not null"
-        )
+        values = df.where(_has(df, group, y)).select(col(group).alias("label"), v.alias("v"))
         quartiles = exact_quantiles(values, "v", QUARTILES, by=["label"])
         joined = spread_join(values, quartiles, ["label"], ["v"])
     q1, q3 = F.col("q")[0], F.col("q")[2]

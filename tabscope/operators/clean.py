@@ -18,6 +18,7 @@ from tabscope.functions.columns import (
     col,
     dtype_of,
     is_numeric,
+    is_present,
     present,
     require,
     require_numeric,
@@ -42,7 +43,7 @@ def fill_change(df: DataFrame, column: str, strategy: str) -> Change:
     dtype = dtype_of(df, column)
     v = present(column, dtype)
     if strategy == "drop":
-        return Change(column, keep=v.isNotNull())
+        return Change(column, keep=is_present(column, dtype))
     if strategy == "mode":
         return Change(column, F.coalesce(v, F.lit(mode_value(df, column)).cast(dtype)))
     if not is_numeric(dtype):
@@ -68,7 +69,8 @@ def outlier_change(
         if q1 is None:
             return Change(column, keep=F.lit(False))
         spread = q3 - q1
-        return Change(column, keep=v.between(q1 - threshold * spread, q3 + threshold * spread))
+        # the bare column, so that the bounds reach the scan; NaN is above every bound
+        return Change(column, keep=col(column).between(q1 - threshold * spread, q3 + threshold * spread))
     m = moments(df, column)
     if m["std"] == 0:
         return Change(column)  # no spread: nothing is an outlier
