@@ -48,15 +48,22 @@ ANALYSIS_TYPE = (
 # ---
 
 
+_BLANK = " \t\r\n\f\v"
+_END = "tabscope:end-of-text"
+
+
 def _container(text: Column) -> Column:
-    """The trimmed text if it is a JSON object or array, else NULL.
+    """The trimmed text if it is one whole JSON object or array, else NULL.
 
-    Texts that cannot be one are told apart by their first character, without parsing.
+    Texts that cannot be one are told by their first and last character, without parsing.
+    The parser stops after the first value, so the text is parsed as an array's first element
+    with a mark behind it: something after the value moves the mark or spoils the array.
+    (Objects that repeat a key are not accepted; the variant type has no room for them.)
     """
-    bare = F.trim(text, F.lit(" \t\r\n"))
-    return F.when(
-        bare.rlike(r"^[\[{]") & F.try_parse_json(bare).isNotNull(), bare
-    )
+    bare = F.trim(text, F.lit(_BLANK))
+    marked = F.try_parse_json(F.concat(F.lit("["), bare, F.lit(f',"{_END}"]')))
+    whole = F.try_variant_get(marked, "$[1]", "string") == _END
+    return F.when(bare.rlike(r"(?s)^[\[{].*[\]}]$") & whole, bare)
 
 
 def _between(text: Column, opening: str, closing: str) -> Column:
@@ -136,7 +143,7 @@ def artefact_paths(
     message. Paths are reduced by (run, path) before anything else, so no run is gathered.
     """
     last = messages.groupBy(run).agg(F.max_by(text, seq).alias("_text"), F.max(seq).alias("_seq"))
-    matches = F.transform(F.regexp_extract_all("_text", F.lit(_SAVED), F.lit(1)), F.trim)
+    matches = F.transform(F.regexp_extract_all("_text", F.lit(_SAVED), F.lit(1)), lambda p: F.trim(p, F.lit(_BLANK)))
     said = (
         last.select(run, F.col("_seq").alias("seq"), F.posexplode(matches).alias("pos", "path"))
         .where("path <> ''")
