@@ -583,13 +583,13 @@ def sco8(spark, sf_dir):
 
 
 def _percent(d: str) -> str:
-    return f"'{d}: ', round({d} * 100)::INT, '%'"
+    return f"'{d}: ', round(round({d} * 100, 6))::INT, '%'"
 
 
 @query(
     "sco9_score_table",
     f"""{REPORT_SQL}, t AS (SELECT *, {weighted(scoring.REPORT_WEIGHTS)} AS overall FROM d)
-    SELECT doc_id, 'reporter' AS agent_name, round(overall * 100, 1) AS score_pct,
+    SELECT doc_id, 'reporter' AS agent_name, round(round(overall * 100, 6), 1) AS score_pct,
       {GRADE.format(s='overall')} AS grade,
       concat({", ', ', ".join(_percent(d) for d in sorted(scoring.REPORT_WEIGHTS))}) AS dimension_scores FROM t""",
 )

@@ -14,6 +14,7 @@ SKETCH_ACCURACY = 10_000  # of the opt-in approximate quantiles
 COARSE_PER_OCTAVE = 8
 FINE_SLICES = 1024
 SALTS = 32
+HOT_GROUPS = 1000
 
 
 def spread_join(
@@ -25,13 +26,29 @@ def spread_join(
 ) -> DataFrame:
     """Joins rows to their group's few figures without sending a hot group to one task.
 
-    Every group's figures are copied once per salt and rows meet them by (group, salt): a
-    group is spread over that many tasks, adaptive execution may split those further, and may
-    still switch to a broadcast when the copies turn out small. ``how``: inner or left.
+    The ``HOT_GROUPS`` largest groups are looked up first; that list cannot grow, so it is
+    broadcast. Rows of these groups carry a salt and their groups' figures are copied once per
+    salt, all other rows and figures meet under salt 0. A group outside the list holds less
+    than one in ``HOT_GROUPS`` of the rows. ``how``: inner or left.
     """
+    keys = [col(c) for c in on]
+    hot = (
+        facts.groupBy(*keys)
+        .agg(F.count(F.lit(1)).alias("_rows"))
+        .orderBy(F.desc("_rows"), *keys)  # a total order: the list is the same wherever it is used
+        .limit(HOT_GROUPS)
+        .select(*keys, F.lit(True).alias("_hot"))
+    )
     salt = F.pmod(F.xxhash64(*[col(c) for c in spread_by]), F.lit(SALTS)).cast("int")
-    copies = per_group.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    return facts.withColumn("_salt", salt).join(copies, [*on, "_salt"], how).drop("_salt")
+    salts = F.sequence(F.lit(0), F.lit(SALTS - 1))
+    salted = facts.join(F.broadcast(hot), list(on), "left").withColumn(
+        "_salt", F.when(F.col("_hot"), salt).otherwise(0)
+    )
+    copies = per_group.join(F.broadcast(hot), list(on), "left").withColumn(
+        "_salt", F.explode(F.when(F.col("_hot"), salts).otherwise(F.array(F.lit(0))))
+    )
+    joined = salted.drop("_hot").join(copies.drop("_hot"), [*on, "_salt"], how)
+    return joined.drop("_salt")
 
 
 def _quoted(name: str) -> str:
@@ -59,8 +76,9 @@ def exact_quantiles(
     in one task. Counts, minima and maxima do not depend on the order rows arrive in, so a
     stage recomputed after a lost executor gives the same cuts.
 
-    Rows meet their group's cuts by (group, coarse slice, salt), see ``spread_join``. With
-    ``bounded_groups`` the groups are columns of a schema and the cuts are broadcast.
+    Rows meet their slice's cuts by (group, coarse slice), the largest wanted slices salted as
+    in ``spread_join``. With ``bounded_groups`` the groups are columns of a schema, a handful
+    of cuts each, and the cuts are broadcast.
     """
     inner = [f"g{i}" for i in range(len(by))]
     keys = ", ".join(inner)
@@ -80,16 +98,29 @@ def exact_quantiles(
     coarse = f"CASE WHEN v = 0 THEN 0 WHEN v > 0 THEN {size} ELSE -({size}) END"
     fine = f"CASE WHEN hi = lo THEN 0 ELSE int(least(floor((v - lo) / (hi - lo) * {FINE_SLICES}), {FINE_SLICES - 1})) END"
 
+    def same(a: str, b: str) -> str:
+        return " AND ".join(f"{a}.{k} = {b}.{k}" for k in [*inner, "coarse"])
+
     def meet(cuts: str) -> str:
-        """Every row next to the cuts of its group and coarse slice."""
-        same = [*inner, "coarse"]
+        """Every row of a wanted slice next to the slice's cuts."""
         if bounded_groups:
-            on = " AND ".join(f"f.{k} = w.{k}" for k in same)
-            return f"SELECT /*+ BROADCAST(w) */ w.*, f.v FROM facts f JOIN {cuts} w ON {on}"
-        on = " AND ".join(f"f.{k} = w.{k}" for k in [*same, "salt"])
-        return f"""SELECT w.*, f.v FROM (SELECT *, int(pmod(xxhash64(v), {SALTS})) AS salt FROM facts) f
-            JOIN (SELECT *, explode(sequence(0, {SALTS - 1})) AS salt FROM {cuts}) w ON {on}"""
-
+            return f"SELECT /*+ BROADCAST(w) */ w.*, f.v FROM facts f JOIN {cuts} w ON {same('f', 'w')}"
+        return f"""
+            SELECT w.*, f.v
+            FROM (SELECT /*+ BROADCAST(hot) */ facts.*,
+                    CASE WHEN hot.coarse IS NULL THEN 0 ELSE int(pmod(xxhash64(v), {SALTS})) END AS salt
+                  FROM facts LEFT JOIN hot ON {same('facts', 'hot')}) f
+            JOIN (SELECT /*+ BROADCAST(hot) */ cuts.*, explode(
+                    CASE WHEN hot.coarse IS NULL THEN array(0) ELSE sequence(0, {SALTS - 1}) END) AS salt
+                  FROM {cuts} cuts LEFT JOIN hot ON {same('cuts', 'hot')}) w
+            ON {same('f', 'w')} AND f.salt = w.salt"""
+
+    hot = (
+        ""
+        if bounded_groups
+        else f"hot AS (SELECT {keys}, coarse FROM in_coarse WHERE {wanted} "
+        f"ORDER BY c DESC, {keys}, coarse LIMIT {HOT_GROUPS}),"
+    )
     groups = [col(b).alias(g) for g, b in zip(inner, by)]
     source = df.select(*groups, col(value).cast("double").alias("v"))
     return df.sparkSession.sql(
@@ -99,6 +130,7 @@ def exact_quantiles(
             FROM facts GROUP BY {keys}, coarse),
         in_coarse AS (SELECT *, sum(c) OVER (PARTITION BY {keys} ORDER BY coarse) - c AS base,
             sum(c) OVER (PARTITION BY {keys}) AS n FROM by_coarse),
+        {hot}
         coarse_cuts AS (SELECT {keys}, coarse, lo, hi, n, base AS start FROM in_coarse WHERE {wanted}),
         by_fine AS (SELECT {keys}, coarse, {fine} AS fine, count(*) AS c,
             first(lo) AS lo, first(hi) AS hi, first(n) AS n, first(start) AS start

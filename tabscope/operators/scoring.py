@@ -427,17 +427,22 @@ def recommendations(scores: DataFrame, run: str = "run_id") -> DataFrame:
 
 def score_table(scores: DataFrame) -> DataFrame:
     """Scores for reading: percentages and the dimensions as one text, in name order."""
+
+    def percent(share: Column, digits: int) -> Column:
+        # sums that miss a half by float noise are put back on it before rounding
+        return F.round(F.round(share * 100, 6), digits)
+
     names = F.array_sort(F.map_keys("dimensions"))
     shown = F.transform(
         names,
         lambda k: F.concat(
-            k, F.lit(": "), F.round(F.col("dimensions")[k] * 100, 0).cast("int").cast("string"), F.lit("%")
+            k, F.lit(": "), percent(F.col("dimensions")[k], 0).cast("int").cast("string"), F.lit("%")
         ),
     )
     kept = [c for c in scores.columns if c not in ("overall_score", "dimensions", "grade")]
     return scores.select(
         *kept,
-        F.round(F.col("overall_score") * 100, 1).alias("score_pct"),
+        percent(F.col("overall_score"), 1).alias("score_pct"),
         "grade",
         F.array_join(shown, ", ").alias("dimension_scores"),
     )

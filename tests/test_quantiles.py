@@ -1,7 +1,8 @@
 import numpy as np
 import pytest
 
-from tabscope.functions.stats import SALTS, column_quantiles, exact_quantiles, quantile_values
+from tabscope.functions import stats
+from tabscope.functions.stats import column_quantiles, exact_quantiles, quantile_values, spread_join
 from tests.conftest import plan_of
 
 PROBS = (0.0, 0.25, 0.5, 0.75, 1.0)
@@ -40,7 +41,9 @@ def test_several_columns_skip_missing(spark):
     assert counts == {"a": 4, "b": 2}
 
 
-def test_groups_with_a_hot_one(spark):
+@pytest.mark.parametrize("hot_groups", [1, 1000])
+def test_groups_with_a_hot_one(spark, monkeypatch, hot_groups):
+    monkeypatch.setattr(stats, "HOT_GROUPS", hot_groups)
     rng = np.random.default_rng(4)
     groups = {"hot": rng.exponential(100, 6000), "b": rng.normal(-50, 1, 700), "c": np.array([1.0])}
     rows = [(g, float(v)) for g, vs in groups.items() for v in vs]
@@ -50,6 +53,16 @@ def test_groups_with_a_hot_one(spark):
         assert r["q"] == pytest.approx(list(np.quantile(groups[r["g"]], PROBS)), rel=1e-12)
 
 
+@pytest.mark.parametrize("how", ["inner", "left"])
+@pytest.mark.parametrize("hot_groups", [1, 2, 1000])
+def test_spread_join_is_a_join(spark, monkeypatch, how, hot_groups):
+    monkeypatch.setattr(stats, "HOT_GROUPS", hot_groups)
+    facts = spark.range(5000).selectExpr("id", "CASE WHEN id % 3 = 0 THEN 'hot' WHEN id % 1000 = 1 THEN NULL ELSE string(id % 40) END AS g")
+    figures = spark.sql("SELECT * FROM VALUES ('hot', 1), ('5', 2), ('nowhere', 3) AS t(g, x)")
+    got = sorted(map(tuple, spread_join(facts, figures, ["g"], ["id"], how).select("id", "g", "x").collect()))
+    assert got == sorted(map(tuple, facts.join(figures, "g", how).select("id", "g", "x").collect()))
+
+
 def test_two_keys_and_awkward_names(spark):
     rows = [("a", i % 2, float(i)) for i in range(100)]
     df = frame(spark, rows, "`v` string, `n` int, `c` double")
@@ -57,10 +70,7 @@ def test_two_keys_and_awkward_names(spark):
     assert done == {0: 49.0, 1: 50.0}
 
 
-def test_rows_meet_cuts_by_salt_or_broadcast(spark):
+def test_plans_have_no_nested_loops(spark):
     df = frame(spark, [("a", 1.0), ("b", 2.0)])
-    grouped = plan_of(exact_quantiles(df, "x", (0.5,), by=["g"]))
-    assert "salt" in grouped and str(SALTS) in grouped
-    assert "BroadcastHashJoin" in plan_of(column_quantiles(df, ["x"], (0.5,)))
-    for plan in (grouped, plan_of(column_quantiles(df, ["x"], (0.5,)))):
-        assert "NestedLoop" not in plan and "Cartesian" not in plan
+    for plan in (exact_quantiles(df, "x", (0.5,), by=["g"]), column_quantiles(df, ["x"], (0.5,))):
+        assert "NestedLoop" not in plan_of(plan) and "Cartesian" not in plan_of(plan)
