@@ -65,6 +65,11 @@ def src2(spark, sf_dir):
     return inspect.load_info(table(spark, sf_dir, "documents"))
 
 
+@query("src2_head", "SELECT * FROM customer ORDER BY c_custkey LIMIT 3")
+def src2_head(spark, sf_dir):
+    return inspect.head(table(spark, sf_dir, "customer"), 3, "c_custkey")
+
+
 @query(
     "src3_views",
     """WITH top AS (SELECT v, count(*) c, row_number() OVER (ORDER BY count(*) DESC, v) r

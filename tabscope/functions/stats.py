@@ -76,9 +76,9 @@ def exact_quantiles(
     in one task. Counts, minima and maxima do not depend on the order rows arrive in, so a
     stage recomputed after a lost executor gives the same cuts.
 
-    Rows meet their slice's cuts by (group, coarse slice), the largest wanted slices salted as
-    in ``spread_join``. With ``bounded_groups`` the groups are columns of a schema, a handful
-    of cuts each, and the cuts are broadcast.
+    Rows meet their slice's cuts by (group, coarse slice, salt): a group has a handful of cuts,
+    so each is simply copied once per salt. With ``bounded_groups`` the groups are columns of a
+    schema and the cuts are broadcast.
     """
     inner = [f"g{i}" for i in range(len(by))]
     keys = ", ".join(inner)
@@ -98,29 +98,16 @@ def exact_quantiles(
     coarse = f"CASE WHEN v = 0 THEN 0 WHEN v > 0 THEN {size} ELSE -({size}) END"
     fine = f"CASE WHEN hi = lo THEN 0 ELSE int(least(floor((v - lo) / (hi - lo) * {FINE_SLICES}), {FINE_SLICES - 1})) END"
 
-    def same(a: str, b: str) -> str:
-        return " AND ".join(f"{a}.{k} = {b}.{k}" for k in [*inner, "coarse"])
-
     def meet(cuts: str) -> str:
         """Every row of a wanted slice next to the slice's cuts."""
+        same = [*inner, "coarse"]
         if bounded_groups:
-            return f"SELECT /*+ BROADCAST(w) */ w.*, f.v FROM facts f JOIN {cuts} w ON {same('f', 'w')}"
-        return f"""
-            SELECT w.*, f.v
-            FROM (SELECT /*+ BROADCAST(hot) */ facts.*,
-                    CASE WHEN hot.coarse IS NULL THEN 0 ELSE int(pmod(xxhash64(v), {SALTS})) END AS salt
-                  FROM facts LEFT JOIN hot ON {same('facts', 'hot')}) f
-            JOIN (SELECT /*+ BROADCAST(hot) */ cuts.*, explode(
-                    CASE WHEN hot.coarse IS NULL THEN array(0) ELSE sequence(0, {SALTS - 1}) END) AS salt
-                  FROM {cuts} cuts LEFT JOIN hot ON {same('cuts', 'hot')}) w
-            ON {same('f', 'w')} AND f.salt = w.salt"""
+            on = " AND ".join(f"f.{k} = w.{k}" for k in same)
+            return f"SELECT /*+ BROADCAST(w) */ w.*, f.v FROM facts f JOIN {cuts} w ON {on}"
+        on = " AND ".join(f"f.{k} = w.{k}" for k in [*same, "salt"])
+        return f"""SELECT w.*, f.v FROM (SELECT *, int(pmod(xxhash64(v), {SALTS})) AS salt FROM facts) f
+            JOIN (SELECT *, explode(sequence(0, {SALTS - 1})) AS salt FROM {cuts}) w ON {on}"""
 
-    hot = (
-        ""
-        if bounded_groups
-        else f"hot AS (SELECT {keys}, coarse FROM in_coarse WHERE {wanted} "
-        f"ORDER BY c DESC, {keys}, coarse LIMIT {HOT_GROUPS}),"
-    )
     groups = [col(b).alias(g) for g, b in zip(inner, by)]
     source = df.select(*groups, col(value).cast("double").alias("v"))
     return df.sparkSession.sql(
@@ -130,7 +117,6 @@ def exact_quantiles(
             FROM facts GROUP BY {keys}, coarse),
         in_coarse AS (SELECT *, sum(c) OVER (PARTITION BY {keys} ORDER BY coarse) - c AS base,
             sum(c) OVER (PARTITION BY {keys}) AS n FROM by_coarse),
-        {hot}
         coarse_cuts AS (SELECT {keys}, coarse, lo, hi, n, base AS start FROM in_coarse WHERE {wanted}),
         by_fine AS (SELECT {keys}, coarse, {fine} AS fine, count(*) AS c,
             first(lo) AS lo, first(hi) AS hi, first(n) AS n, first(start) AS start

@@ -12,10 +12,10 @@ from pyspark.sql import functions as F
 RESULT_CAP = 100
 
 # Parsing the text inside a subquery already refuses every statement that is not a query.
-# These remain: statement chaining, and functions that reach out of SQL.
+# These remain: statement chaining, functions that reach out of SQL, and USING other than
+# before a column list, which would run a script.
 _REFUSED = re.compile(
-    r";|\b(?:try_)?reflect\s*\(|\bjava_method\s*\(|\braise_error\s*\(|\bread_files\s*\(",
-    re.IGNORECASE,
+    r";|\b(?:try_)?reflect\s*\(|\bjava_method\s*\(|\busing\b(?!\s*\()", re.IGNORECASE
 )
 _FILES_AS_TABLES = "spark.sql.runSQLOnFiles"
 

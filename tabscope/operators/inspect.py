@@ -90,9 +90,14 @@ def load_info(df: DataFrame) -> DataFrame:
     )
 
 
-def head(df: DataFrame, n: int = 5) -> DataFrame:
-    """Any ``n`` rows as a preview; a Spark table has no row order of its own."""
-    return df.limit(n)
+def head(df: DataFrame, n: int = 5, order_by: str | list[str] | None = None) -> DataFrame:
+    """The first ``n`` rows by ``order_by``; any ``n`` rows without it, as a Spark table has no
+    row order of its own."""
+    if order_by is None:
+        return df.limit(n)
+    keys = [order_by] if isinstance(order_by, str) else list(order_by)
+    require(df, *keys)
+    return df.orderBy(*[col(k) for k in keys]).limit(n)
 
 
 def sample_rows(df: DataFrame, key: str | list[str], n: int = 5, seed: int = 42) -> DataFrame:

@@ -13,6 +13,8 @@ REFUSED = [
     "SELECT reflect('java.lang.System', 'exit', 0) FROM df",
     "SELECT java_method ('java.util.UUID', 'randomUUID') FROM df",
     "SELECT try_reflect('java.util.UUID', 'randomUUID') FROM df",
+    "SELECT TRANSFORM(name) USING 'cat' AS (n) FROM df",
+    "SELECT TRANSFORM(name) USING/**/'cat' AS (n) FROM df",
     "SELECT * FROM csv.`/etc/passwd`",
     "SELECT * FROM text.`/etc/passwd`",
     "SELECT nope FROM df",
@@ -51,5 +53,6 @@ def test_setting_is_restored(spark, people):
 
 def test_several_tables(spark, people):
     cities = spark.createDataFrame([("Beijing", "north")], "city string, region string")
-    sql = "SELECT p.name FROM p LEFT SEMI JOIN c ON p.city = c.city"
-    assert safe_query(spark, {"p": people, "c": cities}, sql).count() == 2
+    for sql in ("SELECT p.name FROM p LEFT SEMI JOIN c ON p.city = c.city",
+                "SELECT name, region FROM p JOIN c USING (city)"):
+        assert safe_query(spark, {"p": people, "c": cities}, sql).count() == 2
