@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -12,6 +12,7 @@ from tabscope.functions.columns import (
     as_text,
     col,
     dtype_of,
+    is_present,
     numeric_columns,
     present,
     ratio,
@@ -115,10 +116,12 @@ def value_distribution(df: DataFrame, column: str, top_n: int = 10) -> DataFrame
     whole = counted.agg(
         F.struct(F.sum("count").alias("rows"), F.count("value").alias("unique"))
     ).scalar()
+    # the missing value goes last and out after the limit: a filter before it would be pushed
+    # into the scan and keep this branch from sharing the counts with the totals
     return (
-        counted.where("value is not null")
-        .orderBy(F.desc("count"), "value")
+        counted.orderBy(F.col("value").isNull(), F.desc("count"), "value")
         .limit(top_n)
+        .where("value is not null")
         .select(
             "value",
             "count",
@@ -148,34 +151,29 @@ def quick_profile(df: DataFrame, exact: bool = True) -> DataFrame:
 
 
 def quality_issues(df: DataFrame, t: float = 1.5) -> DataFrame:
-    """``column, issue, n, pct``: columns with missing values, and IQR outliers if numeric."""
-    missing = missing_summary(df).where("null_count > 0").select(
-        "column",
-        F.lit("missing_values").alias("issue"),
-        F.col("null_count").alias("n"),
-        F.col("null_pct").alias("pct"),
-    )
+    """``column, issue, n, pct``: columns with missing values, and IQR outliers if numeric.
+
+    One scan counts all issues of all columns, after the quartiles of the numeric ones.
+    """
     names = numeric_columns(df)
-    if not names:
-        return missing
-    quartiles = quantile_values(df, names, (0.25, 0.75))
+    quartiles = quantile_values(df, names, (0.25, 0.75)) if names else {}
     total = F.count(F.lit(1))
     cells = []
-    for name in names:
-        v = present(name, dtype_of(df, name)).cast("double")
-        q1, q3 = quartiles[name]
-        if q1 is None:
-            continue
-        out = F.count_if((v < q1 - t * (q3 - q1)) | (v > q3 + t * (q3 - q1)))
+
+    def count(name: str, issue: str, n: Column) -> None:
+        pct = F.round(ratio(n, total) * 100, 2)
         cells.append(
             F.struct(
-                F.lit(name).alias("column"),
-                F.lit("iqr_outliers").alias("issue"),
-                out.alias("n"),
-                F.round(ratio(out, total) * 100, 2).alias("pct"),
+                F.lit(name).alias("column"), F.lit(issue).alias("issue"), n.alias("n"), pct.alias("pct")
             )
         )
-    if not cells:
-        return missing
-    outliers = df.agg(F.array(*cells).alias("_all")).select(F.inline("_all")).where("n > 0")
-    return missing.unionByName(outliers)
+
+    for name in df.columns:
+        count(name, "missing_values", F.count_if(~is_present(name, dtype_of(df, name))))
+    for name, (q1, q3) in quartiles.items():
+        if q1 is None:
+            continue
+        v = present(name, dtype_of(df, name)).cast("double")
+        outside = (v < q1 - t * (q3 - q1)) | (v > q3 + t * (q3 - q1))
+        count(name, "iqr_outliers", F.count_if(outside))
+    return df.agg(F.array(*cells).alias("_all")).select(F.inline("_all")).where("n > 0")
