@@ -290,7 +290,7 @@ def snk3_spans(spark, sf_dir):
 
 @query(
     "snk3_otlp_envelopes",
-    f"""WITH {SUMMARY} SELECT s.trace_id, floor(seq / 512)::BIGINT AS batch, count(*) AS n_spans,
+    f"""WITH {SUMMARY} SELECT s.trace_id, floor(seq / 512)::BIGINT AS batch, count(*)::INTEGER AS n_spans,
       min(concat('tabscope.', node_name)) AS first_name, any_value(total_spans) AS total_spans,
       any_value(slowest_node) AS slowest_node
     FROM spans s JOIN summary m ON m.trace_id = s.trace_id GROUP BY s.trace_id, floor(seq / 512)""",

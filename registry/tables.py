@@ -210,7 +210,7 @@ def pro2(spark, sf_dir):
     union_all(
         [
             f"""SELECT * FROM (SELECT '{c}' AS "column", {c} AS value, count(*) AS "count",
-            row_number() OVER (ORDER BY count(*) DESC, {c}) AS "rank" FROM part GROUP BY {c})
+            (row_number() OVER (ORDER BY count(*) DESC, {c}))::INTEGER AS "rank" FROM part GROUP BY {c})
             WHERE "rank" <= 5"""
             for c in ("p_name", "p_brand", "p_type")
         ]

@@ -100,7 +100,7 @@ adhoc(
 adhoc(
     "qry11_ranking",
     """SELECT * FROM (SELECT c_mktsegment, o_orderkey, o_totalprice,
-      rank() OVER (PARTITION BY c_mktsegment ORDER BY o_totalprice DESC) AS place
+      CAST(rank() OVER (PARTITION BY c_mktsegment ORDER BY o_totalprice DESC) AS INTEGER) AS place
       FROM orders JOIN customer ON o_custkey = c_custkey) t WHERE place <= 3""",
     "orders",
     "customer",
@@ -110,7 +110,7 @@ adhoc(
     "qry12_analytic",
     """WITH daily AS (SELECT user_id, CAST(ts AS DATE) AS day, sum(value) AS total
       FROM events GROUP BY user_id, CAST(ts AS DATE))
-    SELECT user_id, day, round(total, 4) AS total,
+    SELECT user_id, CAST(day AS STRING) AS day, round(total, 4) AS total,
       round(total - lag(total) OVER (PARTITION BY user_id ORDER BY day), 4) AS change,
       round(sum(total) OVER (PARTITION BY user_id ORDER BY day
         ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 4) AS running,
@@ -134,7 +134,7 @@ def qry13(spark, sf_dir):
 
 adhoc(
     "qry14_text_and_dates",
-    """SELECT year(o_orderdate) AS y, month(o_orderdate) AS m, upper(substring(o_orderpriority, 3)) AS priority,
+    """SELECT CAST(year(o_orderdate) AS INTEGER) AS y, CAST(month(o_orderdate) AS INTEGER) AS m, upper(substring(o_orderpriority, 3)) AS priority,
     count(*) AS n, round(avg(o_totalprice), 4) AS mean_price FROM orders
     GROUP BY year(o_orderdate), month(o_orderdate), upper(substring(o_orderpriority, 3))""",
     "orders",

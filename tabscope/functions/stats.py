@@ -15,6 +15,7 @@ COARSE_PER_OCTAVE = 8
 FINE_SLICES = 1024
 SALTS = 32
 HOT_GROUPS = 1000
+ONE_TASK_VALUES = 250_000
 
 
 def spread_join(
@@ -200,9 +201,20 @@ def approx_column_quantiles(
 def quantile_values(
     df: DataFrame, columns: Sequence[str], probs: Sequence[float]
 ) -> dict[str, list[float | None]]:
-    """Exact quantiles per column, one row per column; None for columns without values."""
-    none = dict.fromkeys(columns, [None] * len(probs))
-    return none | {r["column"]: r["q"] for r in column_quantiles(df, columns, probs).collect()}
+    """Exact quantiles per column, one row per column; None for columns without values.
+
+    A table is counted first: up to ``ONE_TASK_VALUES`` values fit into the aggregate that
+    keeps them all, beyond that they are selected by counting.
+    """
+    names = list(columns)
+    values = [present(c, dtype_of(df, c)).cast("double") for c in names]
+    sizes = df.agg(*[F.count(v).alias(f"n{i}") for i, v in enumerate(values)]).first()
+    quantiles = dict.fromkeys(names, [None] * len(probs))
+    if sum(sizes) <= ONE_TASK_VALUES:
+        wanted = F.array(*[F.lit(float(p)) for p in probs])
+        found = df.agg(*[F.percentile(v, wanted).alias(f"q{i}") for i, v in enumerate(values)]).first()
+        return quantiles | {c: q for c, q in zip(names, found) if q is not None}
+    return quantiles | {r["column"]: r["q"] for r in column_quantiles(df, names, probs).collect()}
 
 
 def moments(df: DataFrame, column: str) -> Row:

@@ -25,13 +25,17 @@ def frame(spark, values, schema="g string, x double"):
         ("dense in one slice", 1.0 + np.arange(2500) * 1e-9),
     ],
 )
-def test_matches_numpy(spark, name, values):
+def test_matches_numpy(spark, monkeypatch, name, values):
     df = spark.createDataFrame([(float(v),) for v in values], "x double")
-    q = quantile_values(df, ["x"], PROBS)["x"]
-    assert q == pytest.approx(list(np.quantile(values, PROBS)), rel=1e-12)
+    for one_task in (250_000, 0):
+        monkeypatch.setattr(stats, "ONE_TASK_VALUES", one_task)
+        q = quantile_values(df, ["x"], PROBS)["x"]
+        assert q == pytest.approx(list(np.quantile(values, PROBS)), rel=1e-12)
 
 
-def test_several_columns_skip_missing(spark):
+@pytest.mark.parametrize("one_task", [250_000, 0])
+def test_several_columns_skip_missing(spark, monkeypatch, one_task):
+    monkeypatch.setattr(stats, "ONE_TASK_VALUES", one_task)
     df = spark.createDataFrame(
         [(1, 10.0, None), (2, None, None), (3, float("nan"), None), (4, 20.0, None)],
         "a int, b double, c double",

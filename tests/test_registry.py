@@ -3,7 +3,7 @@
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
-from tests.conftest import SF
+from tests.conftest import SF, plan_of
 from tools.check import compare, connection
 
 
@@ -14,8 +14,17 @@ def duck():
 
 @pytest.mark.parametrize("name", list(queries()))
 def test_query_matches_sql(spark, duck, name):
-    verdict, _ = compare(spark, duck, name, queries()[name], oracle_sql()[name], SF)
+    built = []
+
+    def query(session, sf_dir):
+        built.append(queries()[name](session, sf_dir))
+        return built[0]
+
+    verdict, _ = compare(spark, duck, name, query, oracle_sql()[name], SF)
     assert verdict.startswith("ok"), verdict
+    plan = plan_of(built[0])
+    for unwanted in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython"):
+        assert unwanted not in plan
 
 
 def test_every_query_has_sql():
