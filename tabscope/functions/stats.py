@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -42,8 +43,9 @@ def spread_join(
     )
     salt = F.pmod(F.xxhash64(*[col(c) for c in spread_by]), F.lit(SALTS)).cast("int")
     salts = F.sequence(F.lit(0), F.lit(SALTS - 1))
+    unmatched = reduce(lambda a, b: a | b, [k.isNull() for k in keys])  # matches nothing, so any salt
     salted = facts.join(F.broadcast(hot), list(on), "left").withColumn(
-        "_salt", F.when(F.col("_hot"), salt).otherwise(0)
+        "_salt", F.when(F.col("_hot") | unmatched, salt).otherwise(0)
     )
     copies = per_group.join(F.broadcast(hot), list(on), "left").withColumn(
         "_salt", F.explode(F.when(F.col("_hot"), salts).otherwise(F.array(F.lit(0))))
