@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from registry.base import GAPPED_EVENTS, GAPPED_LINEITEM, gapped_events, gapped_lineitem, query, rounded, table
 from tabscope.operators import charts
 from tabscope.operators.adhoc import safe_query, safe_query_count

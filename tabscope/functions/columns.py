@@ -7,9 +7,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+def quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
 def col(name: str) -> Column:
     """Reference a top-level column by its exact name, dots and backticks included."""
-    return F.col("`" + name.replace("`", "``") + "`")
+    return F.col(quoted(name))
 
 
 def require(df: DataFrame, *names: str) -> None:

@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Row
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -13,7 +13,7 @@ from tabscope.functions.columns import as_text, col, dtype_of, present
 
 SKETCH_ACCURACY = 10_000  # of the opt-in approximate quantiles
 COARSE_PER_OCTAVE = 8
-FINE_SLICES = 1024
+FINE_SLICES = 65_536
 SALTS = 32
 HOT_GROUPS = 1000
 ONE_TASK_VALUES = 250_000
@@ -54,10 +54,6 @@ def spread_join(
     return joined.drop("_salt")
 
 
-def _quoted(name: str) -> str:
-    return "`" + name.replace("`", "``") + "`"
-
-
 def exact_quantiles(
     df: DataFrame,
     value: str,
@@ -74,10 +70,10 @@ def exact_quantiles(
     2. cut those slices finely between their lowest and highest value and count again;
     3. count the values of the fine slices that hold the ranks, and rank them.
 
-    Every step is an aggregate that combines before its shuffle, windows run over at most a
-    few thousand counts or over one fine slice's distinct values, and no group is ever held
-    in one task. Counts, minima and maxima do not depend on the order rows arrive in, so a
-    stage recomputed after a lost executor gives the same cuts.
+    Every step is an aggregate that combines before its shuffle, windows run over one group's
+    slices (tens of thousands at most) or over one fine slice's distinct values, and no group
+    is ever held in one task. Counts, minima and maxima do not depend on the order rows arrive
+    in, so a stage recomputed after a lost executor gives the same cuts.
 
     Rows meet their slice's cuts by (group, coarse slice, salt): a group has a handful of cuts,
     so each is simply copied once per salt. With ``bounded_groups`` the groups are columns of a
@@ -85,7 +81,6 @@ def exact_quantiles(
     """
     inner = [f"g{i}" for i in range(len(by))]
     keys = ", ".join(inner)
-    named = ", ".join(f"{g} AS {_quoted(b)}" for g, b in zip(inner, by))
 
     # 1-based ranks on both sides of each interpolated position
     positions = [f"{float(p)!r}D * (n - 1)" for p in probs]
@@ -113,7 +108,7 @@ def exact_quantiles(
 
     groups = [col(b).alias(g) for g, b in zip(inner, by)]
     source = df.select(*groups, col(value).cast("double").alias("v"))
-    return df.sparkSession.sql(
+    result = df.sparkSession.sql(
         f"""
         WITH facts AS (SELECT {keys}, v, {coarse} AS coarse FROM {{source}} WHERE v IS NOT NULL AND NOT isnan(v)),
         by_coarse AS (SELECT {keys}, coarse, count(*) AS c, min(v) AS lo, max(v) AS hi
@@ -132,10 +127,11 @@ def exact_quantiles(
         in_value AS (SELECT *, start + sum(c) OVER (PARTITION BY {keys}, coarse, fine ORDER BY v) - c AS base
             FROM by_value),
         picked AS (SELECT {keys}, first(n) AS n, {picked} FROM in_value GROUP BY {keys})
-        SELECT {named}, n, array({quantiles}) AS q FROM picked
+        SELECT {keys}, n, array({quantiles}) AS q FROM picked
         """,
         source=source,
     )
+    return result.select(*[F.col(g).alias(b) for g, b in zip(inner, by)], "n", "q")
 
 
 def long_numbers(df: DataFrame, columns: Sequence[str]) -> DataFrame:

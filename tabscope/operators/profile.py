@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 
 from tabscope.functions.columns import (
     as_text,
-    col,
     dtype_of,
     is_present,
     numeric_columns,

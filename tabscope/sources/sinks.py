@@ -22,6 +22,15 @@ def write_scores_json(scores: DataFrame, path: str) -> None:
     score_records(scores).write.mode("overwrite").text(path)
 
 
+def write_evaluation_json(
+    scores: DataFrame, run_scores: DataFrame, recommendations: DataFrame, path: str
+) -> None:
+    """A whole evaluation: ``scores``, ``runs`` and ``recommendations`` below ``path``."""
+    write_scores_json(scores, f"{path}/scores")
+    run_scores.write.mode("overwrite").json(f"{path}/runs")
+    recommendations.write.mode("overwrite").json(f"{path}/recommendations")
+
+
 def span_records(spans: DataFrame) -> DataFrame:
     """Spans as they are exported, with the trace id kept apart for partitioned writing."""
     fields = [

@@ -2,7 +2,7 @@ import json
 
 import pytest
 
-from tabscope.operators import telemetry
+from tabscope.operators import scoring, telemetry
 from tabscope.sources import otlp, sinks
 from tests.conftest import keyed
 
@@ -193,3 +193,8 @@ def test_sinks(spark, spans, tmp_path):
     sinks.write_scores_json(scores, str(tmp_path / "scores"))
     line = json.loads(spark.read.text(str(tmp_path / "scores")).first()[0])
     assert line == {"id": "x", "overall_score": 0.123, "grade": "F", "dimensions": {"a": 0.988}}
+    agents = scores.selectExpr("id AS run_id", "'scout' AS agent_name", "overall_score", "grade", "dimensions")
+    sinks.write_evaluation_json(
+        agents, scoring.score_runs(agents), scoring.recommendations(agents), str(tmp_path / "all"))
+    for part in ("scores", "runs", "recommendations"):
+        assert spark.read.json(str(tmp_path / "all" / part)).count() == 1
