@@ -28,16 +28,20 @@ def _cleaned(name: str, na_values: Iterable[str]) -> Column:
     return F.when(~c.isin(*na_values), c)
 
 
-def infer_types(df: DataFrame, na_values: Iterable[str] = NA_VALUES) -> T.StructType:
+def infer_types(
+    df: DataFrame, na_values: Iterable[str] = NA_VALUES, surplus: str | None = None
+) -> T.StructType:
     """BIGINT, DOUBLE, BOOLEAN or STRING per text column, from one aggregate over the table.
 
     Whole numbers need every value present to be BIGINT and become DOUBLE otherwise; truth
-    values with gaps stay text; a column without any value is DOUBLE; dates stay text.
+    values with gaps stay text; a column without any value is DOUBLE; dates stay text. A value
+    in the column ``surplus`` means a row had more fields than the header, which is an error.
     """
-    if not df.columns:
+    names = [c for c in df.columns if c != surplus]
+    if not names:
         raise ValueError("the table has no columns")
-    counts = []
-    for name in df.columns:
+    counts = [] if surplus is None else [F.count(col(surplus)).alias(surplus)]
+    for name in names:
         c = _cleaned(name, na_values)
         whole = c.rlike(_WHOLE) & c.try_cast("bigint").isNotNull()
         counts.append(
@@ -50,8 +54,10 @@ def infer_types(df: DataFrame, na_values: Iterable[str] = NA_VALUES) -> T.Struct
             ).alias(name)
         )
     seen = df.agg(*counts).first()  # one row, as wide as the schema
+    if surplus is not None and seen[surplus]:
+        raise ValueError(f"{seen[surplus]} rows have more fields than the header")
     fields = []
-    for name in df.columns:
+    for name in names:
         n = seen[name]
         if n["filled"] == 0:
             # a header without rows says nothing about types
@@ -93,8 +99,9 @@ def read_csv(
 ) -> DataFrame:
     """A CSV file or folder with a header row.
 
-    A given ``schema`` saves the typing scan. Files are split between tasks unless
-    ``multi_line`` says that quoted fields may contain line breaks.
+    A given ``schema`` saves the typing scan, and with it the check for rows with too many
+    fields; rows with too few are filled with missing values. Files are split between tasks
+    unless ``multi_line`` says that quoted fields may contain line breaks.
     """
     reader = (
         spark.read.option("header", True)
@@ -111,7 +118,12 @@ def read_csv(
     if not raw.columns:
         raise ValueError(f"file is empty: {path}")
     if schema is None:
-        return typed(raw, na_values)
+        # two columns past the header: one to see surplus fields, and one never asked for, so
+        # that the reader always picks columns and does not take short rows for broken ones
+        names = [*raw.columns, "_surplus", "_unread"]
+        text = T.StructType([T.StructField(n, T.StringType()) for n in names])
+        checked = reader.schema(text).csv(path).drop("_unread")
+        return apply_types(checked, infer_types(checked, na_values, "_surplus"), na_values)
     if isinstance(schema, str):
         schema = T.StructType.fromDDL(schema)
     return normalize_nan(apply_types(raw, schema, na_values))

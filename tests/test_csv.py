@@ -72,6 +72,21 @@ def test_empty_and_missing_files(spark, write, tmp_path):
     assert bare.columns == ["a", "b"] and bare.count() == 0
 
 
+def test_uneven_rows(spark, write):
+    short = csvfile.read_csv(spark, write("a,b,c\n1,x,2.5\n2\n3,y,\n"))
+    assert types(short) == {"a": "bigint", "b": "string", "c": "double"}
+    assert [tuple(r) for r in short.orderBy("a").collect()] == [(1, "x", 2.5), (2, None, None), (3, "y", None)]
+    with pytest.raises(ValueError, match="more fields"):
+        csvfile.read_csv(spark, write("a,b\n1,2\n3,4,5\n", "long.csv"))
+
+
+def test_folder_of_files(spark, tmp_path):
+    for i in range(3):
+        (tmp_path / f"part{i}.csv").write_text(f"a,b\n{i},{i}.5\n")
+    df = csvfile.read_csv(spark, str(tmp_path))
+    assert types(df) == {"a": "bigint", "b": "double"} and sorted(column(df, "b")) == [0.5, 1.5, 2.5]
+
+
 def test_normalize_nan(spark):
     df = spark.createDataFrame([(float("nan"), 1), (2.0, 2)], "x double, k int")
     assert column(csvfile.normalize_nan(df), "x") == [None, 2.0]
