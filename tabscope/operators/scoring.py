@@ -182,6 +182,7 @@ def score_profiles(df: DataFrame) -> DataFrame:
         )
         nulls = F.greatest(nulls, F.lit(0))
     text = F.to_json(F.struct(*[F.col(f) for f in named])) if named else F.lit("{}")
+    text = F.replace(text, F.lit('":null'), F.lit('":'))  # an absent value is not a word
     mentions = reduce(lambda a, b: a | b, [text.contains(w) for w in QUALITY_WORDS])
     found = issues + nulls
 

@@ -32,6 +32,8 @@ def test_profile(spark):
         ("SELECT map('a', 0) AS missing_values", (0.2, 0.5, 0.1, 0.1)),
         ("SELECT map('a', 'b') AS basic_info", (0.2, 0.2, 0.1, 0.1)),
         ("SELECT map('a', 'no quality') AS basic_info", (0.2, 0.5, 0.1, 0.1)),
+        ("SELECT map('a', string(NULL)) AS basic_info", (0.2, 0.2, 0.1, 0.1)),
+        ("SELECT map('a', 'null') AS basic_info", (0.2, 0.5, 0.1, 0.1)),
         ("SELECT CAST(NULL AS map<string,string>) AS basic_info", (0, 0, 0, 0)),
         ("SELECT map('a', 'b') AS basic_info, 'failed' AS error", (0, 0, 0, 0)),
     ],
