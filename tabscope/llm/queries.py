@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabscope.llm import exactdedup, mixing
+from tabscope.llm import bpe, exactdedup, mixing
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -80,3 +81,15 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     both = order.select(*keys, "taken").unionByName(none.select(*keys, "taken"))
     taken = both.groupBy(*keys).agg(F.sum("taken").alias("taken"))
     return taken.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
+
+
+@query("op10_bpe")
+def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("word_bpe_49k.json")
+    coded = bpe.encode(table(spark, sf_dir, "documents"), path)
+    return coded.select(
+        F.col("id").alias("doc_id"),
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
