@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabscope.llm import bpe, exactdedup, mixing
+from tabscope.llm import bpe, exactdedup, langid, mixing, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -83,6 +83,38 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return taken.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
 
 
+def remainder(id_col: str, parts: int):
+    """crc32 of the id as text, modulo ``parts``; a null id counts as empty text."""
+    return F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit(""))) % parts
+
+
+def language_model(docs: DataFrame) -> langid.Model:
+    """Learns from the documents with a language whose remainder modulo 4 is not 2."""
+    rows = docs.where("lang IS NOT NULL").where(remainder("doc_id", 4) != 2)
+    return langid.fit(rows.selectExpr("doc_id AS id", "text", "lang"))
+
+
+@query("op2_language_id")
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = langid.identify(docs, language_model(docs))
+    return found.select(
+        F.col("id").alias("doc_id"), (remainder("id", 4) == 2).alias("held_out"), "lang_pred", "score"
+    )
+
+
+@query("op8_toxicity")
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    known = labels.where(remainder("doc_id", 5) != 0).selectExpr("doc_id AS id", "toxic AS label")
+    model = toxicity.fit(docs.selectExpr("doc_id AS id", "text").join(known, "id"))
+    scored = toxicity.score(docs, model)
+    return scored.select(
+        F.col("id").alias("doc_id"), (remainder("id", 5) == 0).alias("held_out"), "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
 @query("op10_bpe")
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("word_bpe_49k.json")
