@@ -48,12 +48,10 @@ def components(edges: DataFrame, purpose: str = "links") -> DataFrame:
     """
     pairs = edges.where("a <> b").selectExpr("greatest(a, b) AS a", "least(a, b) AS b").distinct()
     pairs = written(pairs, purpose)
-    while True:
-        large = _star(pairs, both=True)
-        small = written(_star(large, both=False), purpose)
-        moved = pairs.exceptAll(small).limit(1).count() or small.exceptAll(pairs).limit(1).count()
-        pairs = small
-        if not moved:
+    state = None
+    while (before := state) != (state := _state(pairs)):
+        pairs = written(_star(_star(pairs, both=True), both=False), purpose)
+        if not state[0]:
             break
     # every edge (a, b) now runs from a member to its component's smallest node
     return pairs.selectExpr("a AS node", "b AS component").unionByName(
@@ -61,6 +59,13 @@ def components(edges: DataFrame, purpose: str = "links") -> DataFrame:
     )
 
 
+def _state(pairs: DataFrame) -> tuple:
+    """Number and digest of the rows, which are distinct; in any order."""
+    digest = F.xxhash64("a", "b")
+    row = pairs.agg(F.count(F.lit(1)), F.bit_xor(digest), F.sum(digest.cast("decimal(38,0)"))).first()
+    return tuple(row)
+
+
 def _star(pairs: DataFrame, both: bool) -> DataFrame:
     """One star operation over rows (a, b) with a > b.
 
