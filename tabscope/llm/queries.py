@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabscope.llm import bpe, exactdedup, langid, mixing, simhash, toxicity
+from tabscope.llm import bpe, crosspolytope, exactdedup, langid, mixing, simhash, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -103,6 +103,12 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op4_embedding_dedup")
+def op4_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = crosspolytope.near_duplicates(table(spark, sf_dir, "embeddings"))
+    return found.withColumnRenamed("id", "vec_id")
+
+
 @query("op7_simhash")
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
