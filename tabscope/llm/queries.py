@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabscope.llm import bpe, crosspolytope, exactdedup, langid, mixing, simhash, toxicity
+from tabscope.llm import bpe, crosspolytope, exactdedup, langid, mixing, secrets, simhash, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -103,6 +103,23 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op3_secrets")
+def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.scan(table(spark, sf_dir, "documents"))
+
+    def number(kind: int):
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
+
+    base = F.filter("spans", lambda s: s["kind"] < 3)
+    return found.select(
+        F.col("id").alias("doc_id"),
+        number(0).alias("n_assign"), number(1).alias("n_access"), number(2).alias("n_hex"),
+        F.sha2(secrets.as_text(base), 256).alias("base_sha256"),
+        secrets.as_text(F.col("spans")).alias("spans"),
+        F.size(F.filter("spans", lambda s: s["live"])).cast("long").alias("n_live"),
+    )
+
+
 @query("op4_embedding_dedup")
 def op4_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = crosspolytope.near_duplicates(table(spark, sf_dir, "embeddings"))
