@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabscope.llm import bpe, crosspolytope, exactdedup, langid, mixing, secrets, simhash, toxicity
+from tabscope.llm import bpe, crosspolytope, exactdedup, htmltext, langid, mixing, secrets, simhash, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -29,6 +29,14 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+@query("op1_html_text")
+def op1_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = htmltext.extract(table(spark, sf_dir, "pages"))
+    return found.select(
+        F.col("id").alias("page_id"), "url", "text", F.length("text").cast("long").alias("n_chars")
+    )
+
+
 @query(
     "op5_exact_dedup",
     """WITH rows AS (SELECT doc_id, sha256(coalesce(text, '')) AS text_sha256 FROM documents),
