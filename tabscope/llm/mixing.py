@@ -25,7 +25,8 @@ def source_targets(sizes: DataFrame, share: float = 1.5, epochs: int = EPOCHS) -
     times its source's size and the excess is dealt again by weight until none is above. In
     the end every source has the same level of words per weight, but for those that stop
     below it: in the order of the level at which they stop, a source stops if the budget less
-    what the ones before it hold is too much for the weights that are left. One row per
+    what the ones before it hold is too much for the weights that are left. From the first that
+    does not stop on, these levels only fall, so the highest of them is the common one. One row per
     source goes through these windows.
     """
     stops = f"({epochs} * source_size)"
@@ -40,7 +41,7 @@ def source_targets(sizes: DataFrame, share: float = 1.5, epochs: int = EPOCHS) -
         F.coalesce(F.sum("weight").over(before), F.lit(0)).alias("spent"),
     ).withColumn("level", F.expr(f"(all_size * {share}D - held) / (all_weight - spent)"))
     stopped = levels.withColumn("stops", F.expr(f"{stops} <= level * weight"))
-    free = stopped.withColumn("free_level", F.min(F.expr("CASE WHEN NOT stops THEN level END")).over(everything))
+    free = stopped.withColumn("free_level", F.max(F.expr("CASE WHEN NOT stops THEN level END")).over(everything))
     return free.selectExpr(
         "source", "source_size", "weight",
         f"CASE WHEN stops THEN double({stops}) ELSE free_level * weight END AS target",

@@ -69,7 +69,7 @@ levels AS (
 targets AS (
   SELECT source, source_size,
          CASE WHEN 2 * source_size <= level * weight THEN (2 * source_size)::DOUBLE
-              ELSE min(CASE WHEN 2 * source_size > level * weight THEN level END) OVER () * weight END AS target
+              ELSE max(CASE WHEN 2 * source_size > level * weight THEN level END) OVER () * weight END AS target
   FROM levels),
 served AS (
   SELECT doc_id, size, source_size, target,
