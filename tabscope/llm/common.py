@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -35,6 +35,22 @@ def text_of(column: str | Column) -> Column:
     return F.coalesce(F.col(column) if isinstance(column, str) else column, F.lit(""))
 
 
+def draw(rows: DataFrame, group: str, limit: Column) -> DataFrame:
+    """At most ``limit`` ids of each group, in the order of a digest of the id: rows (id, group).
+
+    Ids are first thinned by their digest to about four times the limit, from the counted size of
+    the group, so that ranking them is little work whatever the size.
+    """
+    ids = rows.select("id", group)
+    sizes = ids.groupBy(group).agg(F.count(F.lit(1)).alias("_n"))
+    place = F.pmod(F.xxhash64("id"), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    few = ids.join(sizes, group).withColumn("_limit", limit)
+    few = few.where(place * F.col("_n") < F.col("_limit") * 4.0).select("id", group, "_limit").distinct()
+    order = Window.partitionBy(group).orderBy(F.xxhash64("id"), "id")
+    ranked = few.withColumn("_rank", F.row_number().over(order))
+    return ranked.where(F.col("_rank") <= F.col("_limit")).select("id", group)
+
+
 def components(edges: DataFrame, purpose: str = "links") -> DataFrame:
     """Connected components of undirected edges (a, b), as rows (node, component).
 

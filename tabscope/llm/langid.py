@@ -7,10 +7,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from tabscope.llm.batches import chunks, texts
+from tabscope.llm.common import draw
 
 UNKNOWN = "und"
 ORDERS = (1, 2, 3)  # lengths of the strings whose presence is compared
@@ -102,9 +104,7 @@ def fit(labelled: DataFrame, rows_per_language: int = ROWS) -> Model:
     multiplied into one matrix, places by languages.
     """
     labelled = labelled.where("lang IS NOT NULL")
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id")
-    ranked = labelled.select("id", "lang").distinct().withColumn("rank", F.row_number().over(order))
-    drawn = ranked.where(F.col("rank") <= rows_per_language).select("id", "lang")
+    drawn = draw(labelled, "lang", F.lit(rows_per_language))  # bounded for each language
     chosen = labelled.join(F.broadcast(drawn), ["id", "lang"], "left_semi")
     chosen = chosen.select(F.xxhash64("id").alias("key"), "lang", F.coalesce("text", F.lit("")).alias("text"))
 
@@ -189,6 +189,20 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
     return rows.mapInArrow(run, f"id {kind}, lang_pred string, score double")
 
 
+def identify_rows(docs: DataFrame, model: Model, name: str, text_col: str = "text") -> DataFrame:
+    """The documents with all their columns and one more, the language found."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        presence = Presence()
+        for batch in chunks(batches, text_col):
+            names = []
+            for held, known in presence.blocks(texts(batch, text_col)):
+                names += _best(unit(held), known, model)[0]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(names, pa.string())], [*batch.schema.names, name])
+
+    return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField(name, StringType())]))
+
+
 def _best(rows: np.ndarray, known: np.ndarray, model: Model) -> tuple[list[str], np.ndarray]:
     if not model.languages:
         return [UNKNOWN] * len(rows), np.zeros(len(rows))

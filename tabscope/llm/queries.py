@@ -146,7 +146,7 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     known = labels.where(remainder("doc_id", 5) != 0).selectExpr("doc_id AS id", "toxic AS label")
-    model = toxicity.fit(docs.selectExpr("doc_id AS id", "text").join(known, "id"))
+    model = toxicity.fit(docs.selectExpr("doc_id AS id", "text"), known)
     scored = toxicity.score(docs, model)
     return scored.select(
         F.col("id").alias("doc_id"), (remainder("id", 5) == 0).alias("held_out"), "score",
@@ -175,3 +175,10 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
+
+
+@query("pipeline")
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline  # it builds on this module
+
+    return corpus_pipeline.run(spark, sf_dir)

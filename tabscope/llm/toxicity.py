@@ -9,10 +9,11 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import zstandard as zstd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabscope.llm.batches import chunks, texts
+from tabscope.llm.common import draw, written
 
 WINDOW = 64  # bytes of a window, cut at white space
 GRAM = 5  # bytes of the strings that are counted, and of the shortest match
@@ -175,29 +176,27 @@ def calibrate(model: Model, features: np.ndarray, labels: np.ndarray) -> None:
         model.weights = model.weights - np.linalg.solve(bend, slope)
 
 
-def _draw(rows: DataFrame, limits: dict[int, int]) -> DataFrame:
-    """At most so many rows of each label, in the order of a digest of the id."""
-    order = Window.partitionBy("label").orderBy(F.xxhash64("id"), "id")
-    ranked = rows.select("id", "label").distinct().withColumn("rank", F.row_number().over(order))
-    wanted = F.lit(False)
-    for label, limit in limits.items():
-        wanted = wanted | ((F.col("label") == label) & (F.col("rank") <= limit))
-    return rows.join(F.broadcast(ranked.where(wanted).select("id", "label")), ["id", "label"], "left_semi")
+def fit(docs: DataFrame, labels: DataFrame) -> Model:
+    """Trains the model on documents (id, text) and labels (id, label), 1 for toxic, 0 for ordinary.
 
-
-def fit(labelled: DataFrame) -> Model:
-    """Trains the model on rows (id, text, label), label 1 for toxic and 0 for ordinary.
-
-    The dictionaries are made on the driver from FIT_ROWS texts of at most FIT_CHARS
-    characters. The threshold is calibrated on up to CALIBRATION_ROWS other rows of each label; their
+    The ids are drawn from the labels, and only these few documents are fetched. The
+    dictionaries are made on the driver from up to FIT_ROWS of their texts, of which those over
+    FIT_CHARS characters are left out. The threshold is calibrated on up to CALIBRATION_ROWS other rows of each label; their
     whole texts are compressed in tasks and six numbers a row come back. Both bounds are
     constants. Which rows are drawn depends on their ids alone. Without rows of both labels
     every text scores 1 or 0, as the only label has it (0 without any).
     """
-    labelled = labelled.where("label IN (0, 1)").withColumn("text", F.coalesce("text", F.lit("")))
+    labels = labels.where("label IN (0, 1)")
     third = F.pmod(F.xxhash64(F.lit("calibration"), "id"), F.lit(3)) == 0
-    pool = labelled.where(~third).where(F.length("text") <= FIT_CHARS)
-    drawn = _draw(pool, dict(enumerate(FIT_ROWS))).select("text", "label").collect()
+    docs = docs.select("id", F.coalesce("text", F.lit("")).alias("text"))
+
+    def some(pool: DataFrame, limit: Column) -> DataFrame:
+        # bounded by the limits: at most so many ids of two labels
+        return docs.join(F.broadcast(written(draw(pool, "label", limit), "toxicity-rows")), "id")
+
+    limit = F.when(F.col("label") == 1, FIT_ROWS[1]).otherwise(FIT_ROWS[0])
+    drawn = some(labels.where(~third), limit).where(F.length("text") <= FIT_CHARS).collect()
+    drawn.sort(key=lambda r: (r["id"], r["text"]))
     ordinary = [fold(r["text"]) for r in drawn if r["label"] == 0]
     toxic = [fold(r["text"]) for r in drawn if r["label"] == 1]
     tail = np.random.default_rng(3).integers(128, 256, 48, dtype=np.uint8).tobytes()
@@ -219,7 +218,7 @@ def fit(labelled: DataFrame) -> Model:
             found = [scorer.features(t) for t in texts(batch, "text")]
             yield pa.RecordBatch.from_arrays([pa.array(found, pa.list_(pa.float64())), batch.column("label")], ["f", "label"])
 
-    chosen = _draw(labelled.where(third), {0: CALIBRATION_ROWS, 1: CALIBRATION_ROWS}).select("text", "label")
+    chosen = some(labels.where(third), F.lit(CALIBRATION_ROWS)).select("text", "label")
     rows = chosen.mapInArrow(measure, "f array<double>, label int").collect()
     labels = np.array([r["label"] for r in rows], float)
     if labels.size == 0 or labels.min() == labels.max():
