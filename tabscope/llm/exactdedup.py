@@ -18,7 +18,7 @@ class DigestIndex:
     finds the earlier digests. Because it is bucketed, joins with it never shuffle it."""
 
     def __init__(self, spark: SparkSession, path: str, buckets: int = BUCKETS):
-        self.spark, self.buckets = spark, buckets
+        self.spark, self.path, self.buckets = spark, path, buckets
         self.table = "digest_index_" + hashlib.sha256(path.encode()).hexdigest()[:24]
         spark.sql(
             f"CREATE TABLE IF NOT EXISTS {self.table} (digest BINARY, keep_id BIGINT) USING parquet "
