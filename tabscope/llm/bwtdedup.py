@@ -16,8 +16,8 @@ from tabscope.llm.common import written
 LENGTH = 200  # bytes of a repeated string
 GRAM = 32  # bytes of the strings whose smallest digest names a window
 REACH = 1 << 20  # places told apart in one stretch of a text
-MERGE_BYTES = 2 << 20  # text merged at once; whole names only
-HOT_BYTES = 8 << 20  # names with more text than this are counted by window instead
+MERGE_BYTES = 1 << 20  # text merged at once; whole names only
+HOT_BYTES = 4 << 20  # names with more text than this are counted by window instead
 NONE = 0xFFFF  # stands for no pair of bytes; never occurs in UTF-8
 ONE, TWO = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 
@@ -126,7 +126,7 @@ def cut_up(docs: DataFrame, kind: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         digest = xxhash.xxh3_64_intdigest
-        for batch in chunks(batches, "text", 1 << 20):
+        for batch in chunks(batches, "text", 1 << 19):
             parts, whose, digests = [], [], []
             for k, text in enumerate(texts(batch, "text")):
                 raw = text.encode()
@@ -239,26 +239,23 @@ def repeated_spans(docs: DataFrame, kind: str) -> DataFrame:
     docs: rows (id, mark, text).
     """
     rows = written(cut_up(docs, kind), "bwt-stretches")
-    # a name that stands for one stretch only has nothing repeated
-    names = rows.groupBy("name").agg(F.count(F.lit(1)).alias("times")).where("times > 1")
-    shared = rows.join(names.select("name"), "name", "left_semi")
-    classes = shared.groupBy("name", "digest").agg(
-        F.count(F.lit(1)).alias("copies"), F.min(F.struct("id", "mark", "start", "windows")).alias("one")
+    # equal stretches are combined before they are shuffled and before anything meets by name alone;
+    # any one of them stands for the others
+    classes = rows.groupBy("name", "digest").agg(
+        F.count(F.lit(1)).alias("copies"), *[F.first(c).alias(c) for c in ("id", "mark", "start", "windows")]
     )
     classes = written(classes, "bwt-classes")
     per_name = classes.groupBy("name").agg(
-        F.count(F.lit(1)).alias("kinds"), F.sum(F.col("one.windows") + LENGTH - 1).alias("bytes")
+        F.count(F.lit(1)).alias("kinds"), F.sum(F.col("windows") + LENGTH - 1).alias("bytes")
     )
-    unlike = per_name.where("kinds > 1")
-    compared = classes.join(unlike.select("name", "bytes"), "name")
-    wanted = compared.select("one.id", "one.mark", "one.start", "one.windows", "name", "digest")
+    unlike = written(per_name.where("kinds > 1").select("name", "bytes"), "bwt-names")
+    wanted = classes.join(unlike.select("name"), "name", "left_semi")
     pieces = written(texts_of(docs, wanted), "bwt-pieces")
     hot = written(unlike.where(F.col("bytes") > HOT_BYTES).select("name"), "bwt-hot")
     parts = merged(pieces.join(hot, "name", "left_anti")).unionByName(counted(pieces.join(hot, "name", "left_semi")))
     parts = written(parts, "bwt-runs")
-    single = classes.where("copies = 1").select("name", "digest")
-    some = parts.join(single, ["name", "digest"], "left_semi")
-    every = classes.where("copies > 1").select("name", "digest", F.lit(0).alias("at"), F.col("one.windows").alias("n"))
+    every = classes.where("copies > 1").select("name", "digest", F.lit(0).alias("at"), F.col("windows").alias("n"))
+    some = parts.join(every.select("name", "digest"), ["name", "digest"], "left_anti")
     hits = written(some.unionByName(every), "bwt-hits")
     found = rows.join(hits, ["name", "digest"]).select("id", "mark", (F.col("start") + F.col("at")).alias("first"), "n")
     return found.groupBy("id", "mark").agg(F.collect_list(F.struct("first", "n")).alias("found"))
@@ -274,7 +271,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     1. The windows of each text are cut into stretches by a digest of their content, so
        that equal windows have the same name; names, digests and places are shuffled, not texts.
-       Names that occur once are done with, and stretches that are equal as a whole are repeated.
+       Stretches that are equal as a whole are repeated; a name of one kind of stretch is done with.
     2. Where unlike stretches share a name, the text of one copy of each is fetched and
        the transforms of a name's pieces are merged to find the windows in common.
     3. The covered runs go to their documents, which are read and cut.
