@@ -101,6 +101,26 @@ def tel5_stream(spark, sf_dir):
     return progress.latest_progress(spark.read.parquet(f"{folder}/out"))
 
 
+# the default weights, over spans of nodes that count and of nodes that do not
+DEFAULT_NODES = """CASE node_name WHEN 'view' THEN 'upload' WHEN 'click' THEN 'scout' WHEN 'signup' THEN 'human_review'
+    WHEN 'purchase' THEN 'cleaner_execute' ELSE 'done' END"""
+
+
+@query(
+    "tel5_stage_progress_default",
+    f"""WITH {SPANS}, r AS (SELECT {RUNS} AS trace_id, seq, {DEFAULT_NODES} AS node_name FROM spans),
+    done AS (SELECT DISTINCT trace_id, node_name FROM r),
+    gained AS (SELECT trace_id, least(sum(CASE node_name WHEN 'scout' THEN 15 WHEN 'human_review' THEN 2
+      WHEN 'cleaner_execute' THEN 10 ELSE 0 END), 95)::INTEGER AS progress FROM done GROUP BY trace_id),
+    last AS (SELECT trace_id, arg_max(node_name, seq) AS node_name FROM r GROUP BY trace_id)
+    SELECT trace_id, progress, CASE node_name WHEN 'scout' THEN 'cleaner_plan' WHEN 'cleaner_execute'
+      THEN 'analyst' ELSE node_name END AS current_stage FROM gained JOIN last USING (trace_id)""",
+)
+def tel5_default(spark, sf_dir):
+    named = spans(spark, sf_dir).withColumn("node_name", F.expr(DEFAULT_NODES))
+    return telemetry.stage_progress(runs_by_hour(named))
+
+
 SPAN_COLUMNS = [
     "user_id AS trace_id",
     "event_id AS seq",

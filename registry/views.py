@@ -40,7 +40,7 @@ def qry2_count(spark, sf_dir):
     return safe_query_count(spark, table(spark, sf_dir, "orders"), BIG_ORDERS)
 
 
-adhoc("qry3_filter", "SELECT * FROM part WHERE p_retailprice > 1000", "part")
+adhoc("qry3_filter", "SELECT * FROM part WHERE p_size > 25 AND p_retailprice < 950", "part")
 adhoc(
     "qry4_group_sum",
     "SELECT c_mktsegment, round(sum(c_acctbal), 4) AS balance FROM customer GROUP BY c_mktsegment",
@@ -76,14 +76,14 @@ adhoc(
 adhoc(
     "qry8_semi",
     """SELECT c_custkey, c_name FROM customer c
-    WHERE EXISTS (SELECT 1 FROM orders o WHERE o.o_custkey = c.c_custkey)""",
+    WHERE EXISTS (SELECT 1 FROM orders o WHERE o.o_custkey = c.c_custkey AND o.o_totalprice > 300000)""",
     "customer",
     "orders",
 )
 adhoc(
     "qry8_anti",
     """SELECT c_custkey, c_name FROM customer c
-    WHERE NOT EXISTS (SELECT 1 FROM orders o WHERE o.o_custkey = c.c_custkey)""",
+    WHERE NOT EXISTS (SELECT 1 FROM orders o WHERE o.o_custkey = c.c_custkey AND o.o_totalprice > 300000)""",
     "customer",
     "orders",
 )

@@ -2,41 +2,97 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Mapping
 
+from py4j.java_gateway import JavaObject
+from py4j.protocol import Py4JError
 from pyspark.errors import AnalysisException, ParseException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 RESULT_CAP = 100
 
-# Parsing the text inside a subquery already refuses every statement that is not a query.
-# These remain: statement chaining, functions that reach out of SQL, and USING other than
-# before a column list, which would run a script.
-_REFUSED = re.compile(
-    r";|\b(?:try_)?reflect\s*\(|\bjava_method\s*\(|\busing\b(?!\s*\()", re.IGNORECASE
-)
-_FILES_AS_TABLES = "spark.sql.runSQLOnFiles"
+# functions that leave SQL for any method of the virtual machine
+_REFLECTIVE = {"reflect", "java_method", "try_reflect"}
+
+
+def _parts(node):
+    """A parsed query's nodes: plans, expressions, and what is nested in them."""
+    waiting = [node]
+    while waiting:
+        this = waiting.pop()
+        if not isinstance(this, JavaObject):
+            continue
+        kind = this.getClass().getName()
+        if kind.startswith(("scala.collection.", "scala.Some")):
+            each = this.iterator()
+            while each.hasNext():
+                waiting.append(each.next())
+        elif kind.startswith(("scala.Tuple", "org.apache.spark.sql.catalyst.")):
+            yield kind.rpartition(".")[2], this
+            try:
+                waiting += [this.productElement(i) for i in range(this.productArity())]
+            except Py4JError:  # no case class, so nothing is nested in it
+                pass
+
+
+def _sequence(items) -> list:
+    each, found = items.iterator(), []
+    while each.hasNext():
+        found.append(each.next())
+    return found
+
+
+def _check(spark: SparkSession, sql: str, allowed: set[str]) -> None:
+    """Refuses all that a parsed query could reach but the given tables, before it is analysed."""
+    plan = spark._jsparkSession.sessionState().sqlParser().parsePlan(sql)
+    relations, known = [], {name.lower() for name in allowed}
+    for kind, node in _parts(plan):
+        if kind == "UnresolvedRelation":
+            relations.append(_sequence(node.multipartIdentifier()))
+        elif kind == "UnresolvedWith":
+            for pair in _sequence(node.cteRelations()):
+                known.add(pair.productElement(0).lower())
+        elif kind == "UnresolvedFunction" and _sequence(node.nameParts())[-1].lower() in _REFLECTIVE:
+            raise ValueError("query rejected: reflection")
+        elif kind in ("ScriptTransformation", "PlanWithUnresolvedIdentifier", "ExpressionWithUnresolvedIdentifier"):
+            raise ValueError(f"query rejected: {kind}")
+    for parts in relations:
+        if len(parts) != 1 or parts[0].lower() not in known:
+            raise ValueError(f"query rejected: {'.'.join(parts)} is not a given table")
 
 
 def checked_query(
     spark: SparkSession, tables: DataFrame | Mapping[str, DataFrame], sql: str
 ) -> DataFrame:
-    """The whole result of one read-only query; a single table is named ``df``."""
-    if _REFUSED.search(sql):
-        raise ValueError("query rejected: only a single read-only expression is allowed")
+    """The whole result of one read-only query; a single table is named ``df``.
+
+    The query must parse inside a subquery, which refuses every statement that is not a
+    query, and chained ones. What it names is decided on the parsed plan: relations must be among the
+    given tables or its own WITH, and scripts, reflection and computed names are refused however they
+    are spelled. Views of the caller's that have the same names are put back.
+    """
     named = {"df": tables} if isinstance(tables, DataFrame) else dict(tables)
-    for name, table in named.items():
-        table.createOrReplaceTempView(name)
-    before = spark.conf.get(_FILES_AS_TABLES, "true")
-    spark.conf.set(_FILES_AS_TABLES, "false")
+    whole = f"SELECT * FROM (\n{sql}\n)"
+    earlier: dict[str, DataFrame] = {}
     try:
-        return spark.sql(f"SELECT * FROM (\n{sql}\n)")
+        _check(spark, whole, set(named))
+        earlier = {n: spark.table(n) for n in named if _is_view(spark, n)}
+        for name, table in named.items():
+            table.createOrReplaceTempView(name)
+        return spark.sql(whole)
     except (ParseException, AnalysisException) as exc:
         raise ValueError(f"query rejected: {exc}") from exc
     finally:
-        spark.conf.set(_FILES_AS_TABLES, before)
+        for name in named:
+            if name in earlier:
+                earlier[name].createOrReplaceTempView(name)
+            else:
+                spark.catalog.dropTempView(name)
+
+
+def _is_view(spark: SparkSession, name: str) -> bool:
+    return any(t.isTemporary and t.name == name.lower() for t in spark.catalog.listTables(pattern=name))
 
 
 def safe_query(

@@ -32,6 +32,8 @@ STAGE_WEIGHTS = {
 # stages that leave a span, in running order
 SPAN_STAGES = ("scout", "cleaner_plan", "cleaner_execute", "analyst", "visualizer", "reporter")
 PROGRESS_CAP = 95
+# nodes whose spans complete the stage of the same name
+COUNTED_NODES = ("scout", "cleaner_plan", "human_review", "cleaner_execute", "analyst", "visualizer", "reporter")
 
 # dollars per 1000 tokens: model -> (input, output)
 PRICES = {
@@ -141,15 +143,21 @@ def stage_progress(
     weights: Mapping[str, int] = STAGE_WEIGHTS,
     order: Sequence[str] = SPAN_STAGES,
     by: Sequence[str] = ("trace_id",),
+    counted: Sequence[str] | None = None,
 ) -> DataFrame:
     """``trace_id, progress, current_stage`` from the spans completed so far.
 
+    counted: the nodes that complete a stage, by default COUNTED_NODES, or every node with a
+    weight where other weights are given.
+
     Distinct completed stages are kept as one bit each, so a run's state is a single number
     that combines before the shuffle; the same aggregate runs on a stream in update mode.
     The stage after the last completed one is current; the final stage stays current, and a
     node outside the order is current itself.
     """
-    stages = [s for s in weights if weights[s]]
+    if counted is None:
+        counted = COUNTED_NODES if weights is STAGE_WEIGHTS else list(weights)
+    stages = [s for s in weights if weights[s] and s in counted]
     if len(stages) > 62:
         raise ValueError("at most 62 stages")
     bit = F.lit(0).cast("bigint")

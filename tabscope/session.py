@@ -2,23 +2,18 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
 
 def shared_dir(spark: SparkSession, purpose: str) -> str:
-    """A fresh path below the folder the cluster names in ``spark.checkpoint.dir``.
-
-    Only a local session may go without that setting; it then gets a scratch folder.
-    """
+    """A fresh path below the folder the cluster names in ``spark.checkpoint.dir``; without
+    that setting, below the warehouse, which is shared as well."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         base = spark.sparkContext.getCheckpointDir()
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-        base = tempfile.mkdtemp(prefix="tabscope-")
+        base = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints"
         spark.sparkContext.setCheckpointDir(base)
     return f"{base.rstrip('/')}/tabscope/{purpose}-{uuid.uuid4().hex}"

@@ -17,6 +17,14 @@ REFUSED = [
     "SELECT TRANSFORM(name) USING/**/'cat' AS (n) FROM df",
     "SELECT * FROM csv.`/etc/passwd`",
     "SELECT * FROM text.`/etc/passwd`",
+    "SELECT `reflect`('java.lang.Math', 'abs', -1) FROM df",
+    "SELECT reflect/**/('java.lang.System', 'getProperty', 'user.name') FROM df",
+    "SELECT IDENTIFIER('ref' || 'lect')('java.lang.Math', 'abs', -1) FROM df",
+    "SELECT * FROM IDENTIFIER('secret_' || 'other')",
+    "SELECT * FROM secret_other",
+    "SELECT * FROM df WHERE EXISTS (SELECT 1 FROM secret_other)",
+    "WITH a AS (SELECT * FROM secret_other) SELECT * FROM a",
+    "SELECT * FROM global_temp.anything",
     "SELECT nope FROM df",
     "SELEC * FROM df",
 ]
@@ -24,6 +32,7 @@ REFUSED = [
 
 @pytest.mark.parametrize("sql", REFUSED)
 def test_refused(spark, people, sql):
+    spark.range(1).createOrReplaceTempView("secret_other")
     with pytest.raises(ValueError):
         safe_query(spark, people, sql)
 
@@ -44,11 +53,20 @@ def test_cap(spark):
     assert safe_query_count(spark, many, "SELECT * FROM df WHERE id < 5").first().asDict() == {"row_count": 5, "truncated": False}
 
 
-def test_setting_is_restored(spark, people):
-    before = spark.conf.get("spark.sql.runSQLOnFiles")
+def test_harmless_text(spark, people):
+    assert safe_query(spark, people, "SELECT 'a;b' AS x, 'paid using card' AS y, 'reflect(' AS z FROM df").count() == 5
+    assert safe_query(spark, people, "WITH old AS (SELECT * FROM df WHERE age > 30) SELECT count(*) AS n FROM old").first()["n"] == 2
+
+
+def test_views_are_restored(spark, people):
+    spark.range(3).createOrReplaceTempView("df")
+    assert safe_query(spark, people, "SELECT * FROM df").count() == 5
     with pytest.raises(ValueError):
-        safe_query(spark, people, "SELECT * FROM csv.`/etc/passwd`")
-    assert spark.conf.get("spark.sql.runSQLOnFiles") == before
+        safe_query(spark, people, "SELECT nope FROM df")
+    assert spark.table("df").count() == 3
+    spark.catalog.dropTempView("df")
+    safe_query(spark, people, "SELECT * FROM df")
+    assert not spark.catalog.tableExists("df")
 
 
 def test_several_tables(spark, people):

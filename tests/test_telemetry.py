@@ -74,7 +74,8 @@ def test_progress(spark):
     assert progress("scout", "cleaner_plan", "cleaner_execute", "analyst", "visualizer", "reporter") == (90, "reporter")
     assert progress("quality_gate") == (0, "quality_gate")
     everything = [s for s in telemetry.STAGE_WEIGHTS]
-    assert progress(*everything)[0] == 95
+    assert progress(*everything)[0] == 92
+    assert progress("upload", "health_check", "done")[0] == 0
 
 
 def test_tokens(spark):
