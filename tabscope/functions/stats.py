@@ -14,9 +14,9 @@ from tabscope.functions.columns import as_text, col, dtype_of, present
 SKETCH_ACCURACY = 10_000  # of the opt-in approximate quantiles
 COARSE_PER_OCTAVE = 8
 FINE_SLICES = 65_536
+FINE_LEVELS = 4
 SALTS = 32
 HOT_GROUPS = 1000
-ONE_TASK_VALUES = 250_000
 
 
 def spread_join(
@@ -63,21 +63,21 @@ def exact_quantiles(
 ) -> DataFrame:
     """Exact, linearly interpolated quantiles of ``value`` per group: ``by..., n, q``.
 
-    Selection by counting, in three scans of the grouping and value columns:
-
-    1. count by coarse slice of the number line (an eighth of an octave); cumulative counts
-       tell which slices hold the wanted ranks;
-    2. cut those slices finely between their lowest and highest value and count again;
-    3. count the values of the fine slices that hold the ranks, and rank them.
+    Equal values of a group are counted first, in one scan; the rest works on these counts and
+    selects by counting: cumulative counts by coarse slice of the number line (an eighth of an
+    octave) tell which slices hold the wanted ranks; these are cut finely between their lowest
+    and highest value and counted again, FINE_LEVELS times. An eighth of an octave holds fewer
+    than 2 ** 49 doubles and a level divides by 2 ** 16, so in the end a slice is one
+    value, however tight a cluster it lies in.
 
     Every step is an aggregate that combines before its shuffle, windows run over one group's
-    slices (tens of thousands at most) or over one fine slice's distinct values, and no group
-    is ever held in one task. Counts, minima and maxima do not depend on the order rows arrive
-    in, so a stage recomputed after a lost executor gives the same cuts.
+    slices (tens of thousands at most), and no group is ever held in one task, whatever its size: there is one
+    path for every table. Counts, minima and maxima do not depend on the order rows arrive in, so a stage
+    recomputed after a lost executor gives the same cuts.
 
-    Rows meet their slice's cuts by (group, coarse slice, salt): a group has a handful of cuts,
-    so each is simply copied once per salt. With ``bounded_groups`` the groups are columns of a
-    schema and the cuts are broadcast.
+    Distinct values meet their slice's cuts by (group, coarse slice, salt): a group has a handful of cuts,
+    so each is simply copied once per salt, and distinct values spread evenly over the salts. With
+    ``bounded_groups`` the groups are columns of a schema and the cuts are broadcast.
     """
     inner = [f"g{i}" for i in range(len(by))]
     keys = ", ".join(inner)
@@ -95,38 +95,40 @@ def exact_quantiles(
     size = f"{10_000} + int(floor(least(log2(abs(v)), 1100D) * {COARSE_PER_OCTAVE}))"
     coarse = f"CASE WHEN v = 0 THEN 0 WHEN v > 0 THEN {size} ELSE -({size}) END"
     fine = f"CASE WHEN hi = lo THEN 0 ELSE int(least(floor((v - lo) / (hi - lo) * {FINE_SLICES}), {FINE_SLICES - 1})) END"
+    salts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def meet(cuts: str) -> str:
-        """Every row of a wanted slice next to the slice's cuts."""
-        same = [*inner, "coarse"]
+        """Every value of a wanted slice next to the slice's cuts."""
+        on = " AND ".join(f"f.{k} = w.{k}" for k in [*inner, "coarse"]) + " AND f.v BETWEEN w.lo AND w.hi"
+        columns = "w.*, f.v, f.c"
         if bounded_groups:
-            on = " AND ".join(f"f.{k} = w.{k}" for k in same)
-            return f"SELECT /*+ BROADCAST(w) */ w.*, f.v FROM facts f JOIN {cuts} w ON {on}"
-        on = " AND ".join(f"f.{k} = w.{k}" for k in [*same, "salt"])
-        return f"""SELECT w.*, f.v FROM (SELECT *, int(pmod(xxhash64(v), {SALTS})) AS salt FROM facts) f
-            JOIN (SELECT *, explode(sequence(0, {SALTS - 1})) AS salt FROM {cuts}) w ON {on}"""
-
+            return f"SELECT /*+ BROADCAST(w) */ {columns} FROM counts f JOIN {cuts} w ON {on}"
+        return f"""SELECT {columns} FROM (SELECT *, int(pmod(xxhash64(v), {salts})) AS salt FROM counts) f
+            JOIN (SELECT *, explode(sequence(0, {salts - 1})) AS salt FROM {cuts}) w ON {on} AND f.salt = w.salt"""
+
+    steps, cuts = [], "cuts0"
+    for level in range(1, FINE_LEVELS + 1):
+        steps.append(f"""by{level} AS (SELECT {keys}, coarse, lo AS outer_lo, {fine} AS fine, sum(c) AS c,
+            min(v) AS lo, max(v) AS hi, first(n) AS n, first(start) AS start
+            FROM ({meet(cuts)}) GROUP BY {keys}, coarse, lo, {fine}),
+        in{level} AS (SELECT *, start + sum(c) OVER (PARTITION BY {keys}, coarse, outer_lo ORDER BY fine) - c AS base
+            FROM by{level}),
+        cuts{level} AS (SELECT {keys}, coarse, lo, hi, n, base AS start, base, c FROM in{level} WHERE {wanted})""")
+        # the counts of the level go no further than its ranks
+        steps.append(f"next{level} AS (SELECT {keys}, coarse, lo, hi, n, start FROM cuts{level})")
+        cuts = f"next{level}"
     groups = [col(b).alias(g) for g, b in zip(inner, by)]
     source = df.select(*groups, col(value).cast("double").alias("v"))
     result = df.sparkSession.sql(
         f"""
-        WITH facts AS (SELECT {keys}, v, {coarse} AS coarse FROM {{source}} WHERE v IS NOT NULL AND NOT isnan(v)),
-        by_coarse AS (SELECT {keys}, coarse, count(*) AS c, min(v) AS lo, max(v) AS hi
-            FROM facts GROUP BY {keys}, coarse),
-        in_coarse AS (SELECT *, sum(c) OVER (PARTITION BY {keys} ORDER BY coarse) - c AS base,
-            sum(c) OVER (PARTITION BY {keys}) AS n FROM by_coarse),
-        coarse_cuts AS (SELECT {keys}, coarse, lo, hi, n, base AS start FROM in_coarse WHERE {wanted}),
-        by_fine AS (SELECT {keys}, coarse, {fine} AS fine, count(*) AS c,
-            first(lo) AS lo, first(hi) AS hi, first(n) AS n, first(start) AS start
-            FROM ({meet("coarse_cuts")}) GROUP BY {keys}, coarse, {fine}),
-        in_fine AS (SELECT *, start + sum(c) OVER (PARTITION BY {keys}, coarse ORDER BY fine) - c AS base
-            FROM by_fine),
-        fine_cuts AS (SELECT {keys}, coarse, fine, lo, hi, n, base AS start FROM in_fine WHERE {wanted}),
-        by_value AS (SELECT {keys}, coarse, fine, v, count(*) AS c, first(n) AS n, first(start) AS start
-            FROM ({meet("fine_cuts")}) WHERE fine = {fine} GROUP BY {keys}, coarse, fine, v),
-        in_value AS (SELECT *, start + sum(c) OVER (PARTITION BY {keys}, coarse, fine ORDER BY v) - c AS base
-            FROM by_value),
-        picked AS (SELECT {keys}, first(n) AS n, {picked} FROM in_value GROUP BY {keys})
+        WITH facts AS (SELECT {keys}, v + 0D AS v FROM {{source}} WHERE v IS NOT NULL AND NOT isnan(v)),
+        counts AS (SELECT {keys}, v, {coarse} AS coarse, count(*) AS c FROM facts GROUP BY {keys}, v),
+        by0 AS (SELECT {keys}, coarse, sum(c) AS c, min(v) AS lo, max(v) AS hi FROM counts GROUP BY {keys}, coarse),
+        in0 AS (SELECT *, sum(c) OVER (PARTITION BY {keys} ORDER BY coarse) - c AS base,
+            sum(c) OVER (PARTITION BY {keys}) AS n FROM by0),
+        cuts0 AS (SELECT {keys}, coarse, lo, hi, n, base AS start FROM in0 WHERE {wanted}),
+        {", ".join(steps)},
+        picked AS (SELECT {keys}, first(n) AS n, {picked} FROM (SELECT *, lo AS v FROM cuts{FINE_LEVELS}) GROUP BY {keys})
         SELECT {keys}, n, array({quantiles}) AS q FROM picked
         """,
         source=source,
@@ -199,19 +201,9 @@ def approx_column_quantiles(
 def quantile_values(
     df: DataFrame, columns: Sequence[str], probs: Sequence[float]
 ) -> dict[str, list[float | None]]:
-    """Exact quantiles per column, one row per column; None for columns without values.
-
-    A table is counted first: up to ``ONE_TASK_VALUES`` values fit into the aggregate that
-    keeps them all, beyond that they are selected by counting.
-    """
+    """Exact quantiles per column, one row per column; None for columns without values."""
     names = list(columns)
-    values = [present(c, dtype_of(df, c)).cast("double") for c in names]
-    sizes = df.agg(*[F.count(v).alias(f"n{i}") for i, v in enumerate(values)]).first()
     quantiles = dict.fromkeys(names, [None] * len(probs))
-    if sum(sizes) <= ONE_TASK_VALUES:
-        wanted = F.array(*[F.lit(float(p)) for p in probs])
-        found = df.agg(*[F.percentile(v, wanted).alias(f"q{i}") for i, v in enumerate(values)]).first()
-        return quantiles | {c: q for c, q in zip(names, found) if q is not None}
     return quantiles | {r["column"]: r["q"] for r in column_quantiles(df, names, probs).collect()}
 
 

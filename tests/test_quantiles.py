@@ -23,19 +23,16 @@ def frame(spark, values, schema="g string, x double"):
         ("two", np.array([1.0, 2.0])),
         ("signs and zeros", np.array([-1e300, -5.0, -0.0, 0.0, 1e-300, 5.0, 1e300])),
         ("dense in one slice", 1.0 + np.arange(2500) * 1e-9),
+        ("neighbours and an outlier", np.r_[1.0 + np.arange(2000) * 2.0**-52, 1.08]),
     ],
 )
-def test_matches_numpy(spark, monkeypatch, name, values):
+def test_matches_numpy(spark, name, values):
     df = spark.createDataFrame([(float(v),) for v in values], "x double")
-    for one_task in (250_000, 0):
-        monkeypatch.setattr(stats, "ONE_TASK_VALUES", one_task)
-        q = quantile_values(df, ["x"], PROBS)["x"]
-        assert q == pytest.approx(list(np.quantile(values, PROBS)), rel=1e-12)
+    q = quantile_values(df, ["x"], PROBS)["x"]
+    assert q == pytest.approx(list(np.quantile(values, PROBS)), rel=1e-12)
 
 
-@pytest.mark.parametrize("one_task", [250_000, 0])
-def test_several_columns_skip_missing(spark, monkeypatch, one_task):
-    monkeypatch.setattr(stats, "ONE_TASK_VALUES", one_task)
+def test_several_columns_skip_missing(spark):
     df = spark.createDataFrame(
         [(1, 10.0, None), (2, None, None), (3, float("nan"), None), (4, 20.0, None)],
         "a int, b double, c double",
@@ -49,7 +46,7 @@ def test_several_columns_skip_missing(spark, monkeypatch, one_task):
 def test_groups_with_a_hot_one(spark, monkeypatch, hot_groups):
     monkeypatch.setattr(stats, "HOT_GROUPS", hot_groups)
     rng = np.random.default_rng(4)
-    groups = {"hot": rng.exponential(100, 6000), "b": rng.normal(-50, 1, 700), "c": np.array([1.0])}
+    groups = {"hot": rng.exponential(100, 6000), "zeros": np.r_[np.zeros(4000), 1.0, -1.0], "b": rng.normal(-50, 1, 700), "c": np.array([1.0])}
     rows = [(g, float(v)) for g, vs in groups.items() for v in vs]
     done = exact_quantiles(frame(spark, rows), "x", PROBS, by=["g"]).collect()
     assert {r["g"]: r["n"] for r in done} == {g: len(v) for g, v in groups.items()}
