@@ -264,16 +264,16 @@ def tel12(spark, sf_dir):
 
 @query(
     "tel13_quality_gate",
-    """WITH s AS (SELECT conv_id, turn, least(length(text)::DOUBLE / 1000::DOUBLE, 1) AS score FROM conversations),
-    p AS (SELECT *, lag(score) OVER (PARTITION BY conv_id ORDER BY turn) AS previous FROM s)
-    SELECT conv_id, turn, score, previous, CASE WHEN score >= 0.6 OR turn >= 2 OR score <= previous
+    """WITH s AS (SELECT conv_id, 2 * turn AS turn, least(length(text)::DOUBLE / 1000::DOUBLE, 1) AS score FROM conversations),
+    p AS (SELECT *, lag(score) OVER (PARTITION BY conv_id ORDER BY turn, score) AS previous FROM s)
+    SELECT conv_id, turn, score, previous, CASE WHEN score >= 0.6 OR turn >= 9 OR score <= previous
       THEN 'quality_ok' ELSE 'needs_reclean' END AS decision FROM p""",
 )
 def tel13(spark, sf_dir):
     scores = table(spark, sf_dir, "conversations").selectExpr(
-        "conv_id", "turn", "least(length(text) / 1000D, 1D) AS score"
+        "conv_id", "2 * turn AS turn", "least(length(text) / 1000D, 1D) AS score"  # iterations with gaps
     )
-    return telemetry.quality_gate(scores, "conv_id", "turn", "score")
+    return telemetry.quality_gate(scores, "conv_id", "turn", "score", max_iterations=9)
 
 
 # --- exports ------------------------------------------------------------------------------

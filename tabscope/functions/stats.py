@@ -29,8 +29,8 @@ def spread_join(
     """Joins rows to their group's few figures without sending a hot group to one task.
 
     The ``HOT_GROUPS`` largest groups are looked up first; that list cannot grow, so it is
-    broadcast. Rows of these groups carry a salt and their groups' figures are copied once per
-    salt, all other rows and figures meet under salt 0. A group outside the list holds less
+    broadcast. Rows of these groups carry a salt, one of as many as the shuffle has partitions, and their
+    groups' figures are copied once per salt, all other rows and figures meet under salt 0. A group outside the list holds less
     than one in ``HOT_GROUPS`` of the rows. ``how``: inner or left.
     """
     keys = [col(c) for c in on]
@@ -41,8 +41,9 @@ def spread_join(
         .limit(HOT_GROUPS)
         .select(*keys, F.lit(True).alias("_hot"))
     )
-    salt = F.pmod(F.xxhash64(*[col(c) for c in spread_by]), F.lit(SALTS)).cast("int")
-    salts = F.sequence(F.lit(0), F.lit(SALTS - 1))
+    number = max(SALTS, int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    salt = F.pmod(F.xxhash64(*[col(c) for c in spread_by]), F.lit(number)).cast("int")
+    salts = F.sequence(F.lit(0), F.lit(number - 1))
     unmatched = reduce(lambda a, b: a | b, [k.isNull() for k in keys])  # matches nothing, so any salt
     salted = facts.join(F.broadcast(hot), list(on), "left").withColumn(
         "_salt", F.when(F.col("_hot") | unmatched, salt).otherwise(0)

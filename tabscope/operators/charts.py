@@ -123,10 +123,12 @@ def hist(df: DataFrame, y: str, group: str | None = None) -> DataFrame:
     else:
         values = df.where(_has(df, group, y)).select(col(group).alias("group"), v.alias("v"))
         frame = _edges(values, "group")
+        # equal values first, so that a frequent one is a single row wherever it is sent
+        alike = values.groupBy("group", "v").agg(F.count(F.lit(1)).alias("times"))
         counted = (
-            spread_join(values, frame, ["group"], ["v"])
+            spread_join(alike, frame, ["group"], ["v"])
             .groupBy("group", _bin(F.col("v"), F.col("lo"), F.col("hi")).alias("bin"))
-            .count()
+            .agg(F.sum("times").alias("count"))
         )
         keys = ["group", "bin"]
     frame = frame.withColumn("bin", F.explode(F.sequence(F.lit(1), F.lit(BINS))))

@@ -121,10 +121,25 @@ def normalize_column(df: DataFrame, column: str, method: str = "minmax") -> Data
 
 
 def drop_duplicates(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """One row per distinct combination; which of the equal rows stays is arbitrary."""
-    if columns:
-        require(df, *columns)
-    return df.dropDuplicates(list(columns) if columns else df.columns)
+    """One row per distinct combination: of rows alike in ``columns`` the smallest one stays.
+
+    Rows are compared by their other columns from left to right, missing values first, as one
+    combining aggregate, so that repeated runs keep the same rows. Columns without an order
+    are compared as JSON.
+    """
+    if not columns:
+        return df.dropDuplicates(df.columns)
+    require(df, *columns)
+    others = [c for c in df.columns if c not in columns]
+    if not others:
+        return df.dropDuplicates(list(columns))
+    plain = [F.to_json(col(c)) if "map<" in dtype_of(df, c).simpleString() else col(c) for c in others]
+    order = F.struct(*[p.alias(f"o{i}") for i, p in enumerate(plain)])
+    row = F.struct(*[col(c).alias(f"v{i}") for i, c in enumerate(others)])
+    keys = [col(c).alias(f"k{i}") for i, c in enumerate(columns)]
+    first = df.groupBy(*keys).agg(F.min_by(row, order).alias("_row"))
+    named = {c: F.col(f"k{i}") for i, c in enumerate(columns)} | {c: F.col(f"_row.v{i}") for i, c in enumerate(others)}
+    return first.select(*[named[c].alias(c) for c in df.columns])
 
 
 def convert_type(df: DataFrame, column: str, dtype: str) -> DataFrame:

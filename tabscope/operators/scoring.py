@@ -269,22 +269,23 @@ def score_charts(df: DataFrame, files: DataFrame | None, key: str = "id") -> Dat
 
     Existence is an equi-join of the exploded paths with the listing, spread so that a path
     named in very many lists does not pile up; paths are matched as written. Without a
-    listing nothing exists.
+    listing nothing exists. Equal lists are looked up once, whatever ids they belong to.
     """
     n = F.greatest(F.coalesce(F.size("charts"), F.lit(0)), F.lit(0))
-    paths = df.select(key, F.explode("charts").alias("path"))
+    lists = df.select("charts").distinct()
+    paths = lists.select("charts", F.explode("charts").alias("path"))
     if files is None:
         paths = paths.withColumn("_there", F.lit(0))
     else:
         listed = files.select("path").distinct().withColumn("_there", F.lit(1))
-        paths = spread_join(paths, listed, ["path"], [key], "left")
+        paths = spread_join(paths, listed, ["path"], ["charts"], "left")
     name = F.lower(F.substring_index("path", "/", -1))
-    per_list = paths.groupBy(key).agg(
+    per_list = paths.groupBy("charts").agg(
         F.count_if(F.col("_there") == 1).alias("_existing"),
         *[F.bool_or(name.contains(kind)).alias(f"_has_{kind}") for kind in CHART_TYPES],
     )
-    counted = df.join(per_list, key, "left")
-    added = [c for c in per_list.columns if c != key]
+    added = [c for c in per_list.columns if c != "charts"]
+    counted = df.join(per_list, "charts", "left").select(*df.columns, *added)
     types = _count([F.coalesce(f"_has_{kind}", F.lit(False)) for kind in CHART_TYPES])
     existing = F.coalesce("_existing", F.lit(0)).cast("double")
     values = {

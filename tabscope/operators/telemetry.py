@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabscope.functions.columns import choice, clamp, ratio, require
@@ -383,20 +383,19 @@ def quality_gate(
     """``run, iteration, score, previous, decision`` for every scored iteration from 0 on.
 
     Passes when the score reaches the threshold, when the iteration limit is reached, or when
-    the score did not improve on the iteration before; otherwise the run cleans again. The
-    previous score comes from an equi-join on (run, iteration), which spreads even one run
-    with very many iterations, where a window would put that run into one task.
+    the score did not improve on the last iteration recorded before; otherwise the run cleans
+    again. A run has a handful of iterations, so the window holds little; of a repeated iteration
+    the lower score comes first.
     """
+    earlier = Window.partitionBy(run).orderBy(iteration, score)
     now = scores.select(F.col(run), F.col(iteration), F.col(score))
-    earlier = scores.select(
-        F.col(run), (F.col(iteration) + 1).alias(iteration), F.col(score).alias("previous")
-    )
+    now = now.withColumn("previous", F.lag(score).over(earlier))
     decided = (
         (F.col(score) >= threshold)
         | (F.col(iteration) >= max_iterations)
         | F.coalesce(F.col(score) <= F.col("previous"), F.lit(False))
     )
-    return now.join(earlier, [run, iteration], "left").select(
+    return now.select(
         run,
         iteration,
         score,

@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from functools import reduce
 from typing import Any
 
+from pyspark.errors import AnalysisException, ParseException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -79,8 +80,9 @@ def run_plan(df: DataFrame, steps: Sequence[Mapping[str, Any]]) -> PlanRun:
                 entries, depth = [], 0
                 continue
             change = _change(clean, action, column, params)
-        except ValueError as exc:
-            entries.append((number, column, action, f"failed: {exc}", depth, depth))
+        except (ValueError, TypeError, ParseException, AnalysisException) as exc:
+            reason = str(exc).partition("\n")[0]
+            entries.append((number, column, action, f"failed: {reason}", depth, depth))
             continue
         if change is None:
             entries.append((number, column, action, "skipped", depth, depth))

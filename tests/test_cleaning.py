@@ -155,3 +155,10 @@ def test_bounds_reach_the_scan(spark, tmp_path):
     df = spark.read.parquet(path)
     assert "GreaterThanOrEqual(x," in plan_of(clean.remove_outliers(df, "x", "iqr"))
     assert "PushedFilters: [IsNotNull(x)" in plan_of(clean.fill_missing(df, "x", "drop"))
+
+
+def test_the_smallest_of_alike_rows_stays(spark):
+    rows = [(1, "b", 2.0), (1, "a", 9.0), (1, "a", 3.0), (2, None, 1.0), (2, "a", 0.0), (None, "x", None)]
+    df = spark.createDataFrame(rows, "k int, s string, x double").repartition(5)
+    kept = clean.drop_duplicates(df, ["k"]).collect()
+    assert sorted(map(tuple, kept), key=repr) == sorted([(1, "a", 3.0), (2, None, 1.0), (None, "x", None)], key=repr)

@@ -141,3 +141,12 @@ def test_grades_and_table(spark):
     scored = spark.sql("SELECT 'a' AS id, 'scout' AS agent_name, 0.8461D AS overall_score, 'B' AS grade, map('y', 0.5D, 'x', 1.0D) AS dimensions")
     row = only(scoring.score_table(scored))
     assert (row["score_pct"], row["dimension_scores"]) == (84.6, "x: 100%, y: 50%")
+
+
+def test_charts_of_repeated_ids(spark):
+    lists = [("a", ["x/bar_1.png", "y.png"]), ("a", ["z.png"]), ("a", ["x/bar_1.png", "y.png"]), ("b", None)]
+    df = spark.createDataFrame(lists, "id string, charts array<string>")
+    files = spark.createDataFrame([("x/bar_1.png",), ("z.png",)], "path string")
+    rows = scoring.score_charts(df, files).collect()
+    assert len(rows) == 4
+    assert sorted(r["dimensions"]["files_exist"] for r in rows) == [0.0, 0.5, 0.5, 1.0]
