@@ -16,7 +16,8 @@ from tabscope.llm import bpe, exactdedup, langid, mixing, simhash
 from tabscope.llm.common import written
 from tabscope.llm.queries import language_model
 
-KEY = "__llm_key"  # a column of our own, named so that it clashes with none
+KEY = "__llm_key"  # columns of our own, named so that they clash with none
+ROW = "__llm_row"
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -54,11 +55,11 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that the mix takes, once for every time it takes them, whole or in part,
     sorted by their virtual finish times."""
     key = F.concat_ws(":", F.col("doc_id").cast("string"), F.hex(F.xxhash64("text", "source")))
-    keyed = docs.withColumn(KEY, key)
-    _, order = mixing.mix(keyed, id_col=KEY)
-    taken = order.select(F.col("id").alias("_taken"), F.col("finish").alias("_finish"), F.col("epoch").alias("_epoch"))
-    copies = keyed.alias("d").join(taken.hint("merge").alias("t"), F.col(f"d.{KEY}") == F.col("t._taken"))
-    keys = [F.col("t._finish"), F.col(f"d.{KEY}"), F.col("t._epoch")]
+    keyed = written(docs.withColumn(ROW, F.monotonically_increasing_id()), "mix-rows").withColumn(KEY, key)
+    _, order = mixing.mix(keyed, id_col=KEY, row_col=ROW)
+    taken = order.select(F.col("row").alias("_taken"), F.col("finish").alias("_finish"), F.col("epoch").alias("_epoch"))
+    copies = keyed.alias("d").join(taken.hint("merge").alias("t"), F.col(f"d.{ROW}") == F.col("t._taken"))
+    keys = [F.col("t._finish"), F.col(f"d.{KEY}"), F.col("t._epoch"), F.col(f"d.{ROW}")]
     ordered = copies.repartitionByRange(*keys).sortWithinPartitions(*keys)
     return ordered.select(*[F.col("d.`" + c.replace("`", "``") + "`") for c in docs.columns])
 

@@ -58,7 +58,7 @@ def cycle_weights(sizes: DataFrame, weights: tuple[int, ...] = (3, 1, 2)) -> Dat
 def schedule(rows: DataFrame, targets: DataFrame, epochs: int = EPOCHS) -> DataFrame:
     """Every copy of every document with its virtual finish time.
 
-    rows: (id, source, size). targets: (source, source_size, target). Returns for each row and
+    rows: (row, id, source, size), ``row`` a number of its own for each. targets: (source, source_size, target). Returns for each row and
     epoch the columns of both, ``epoch``, ``before`` (words of its source served before it, in the
     shuffled order, epoch after epoch), ``finish`` = (before + size) / target, and ``taken``:
     the words of the copy that are served by virtual time 1, when each source has had its target
@@ -66,8 +66,8 @@ def schedule(rows: DataFrame, targets: DataFrame, epochs: int = EPOCHS) -> DataF
     targets, so this is the truncation of the global order at the budget; the copy that a
     source has in service then is cut.
 
-    The shuffle is by the digest of the id, then id and size; it depends on nothing else, so reruns
-    agree. Running sums are taken per source and slice of the digest's range, then over
+    The shuffle is by the digest of the id, then id and size, so reruns agree; rows alike in
+    all of these and the source are interchangeable and follow each other by row number. Running sums are taken per source and slice of the digest's range, then over
     the slices: a source with a third of all rows is 4096 small windows.
     """
     # the first three hexadecimal digits number the 4096 slices in the order of the digest
@@ -79,7 +79,7 @@ def schedule(rows: DataFrame, targets: DataFrame, epochs: int = EPOCHS) -> DataF
     facts = slices.alias("s").join(
         targets.alias("t"), F.expr("s.source <=> t.source"), "inner"
     ).selectExpr("s.source AS of", "s.slice AS part", "s.offset", "t.source_size", "t.target")
-    within = Window.partitionBy("source", "slice").orderBy("place", "id", "size").rowsBetween(
+    within = Window.partitionBy("source", "slice").orderBy("place", "id", "size", "row").rowsBetween(
         Window.unboundedPreceding, -1
     )
     inside = place.withColumn("inside", F.coalesce(F.sum("size").over(within), F.lit(0)))
@@ -87,7 +87,7 @@ def schedule(rows: DataFrame, targets: DataFrame, epochs: int = EPOCHS) -> DataF
     copies = served.withColumn("epoch", F.explode(F.sequence(F.lit(0), F.lit(epochs - 1))))
     copies = copies.withColumn("before", F.expr("epoch * source_size + offset + inside"))
     return copies.selectExpr(
-        "id", "source", "size", "source_size", "target", "place", "epoch", "before",
+        "row", "id", "source", "size", "source_size", "target", "place", "epoch", "before",
         "CASE WHEN target > 0 THEN (before + size) / target ELSE double('Infinity') END AS finish",
         "least(size, greatest(0L, bigint(floor(target)) - before)) AS taken",
     )
@@ -95,7 +95,7 @@ def schedule(rows: DataFrame, targets: DataFrame, epochs: int = EPOCHS) -> DataF
 
 def in_order(copies: DataFrame) -> DataFrame:
     """The copies that the mix takes, sorted by virtual finish time over all partitions."""
-    keys = ["finish", "source", "place", "id", "epoch"]
+    keys = ["finish", "source", "place", "id", "epoch", "row"]
     return copies.where("taken > 0").repartitionByRange(*keys).sortWithinPartitions(*keys)
 
 
@@ -106,19 +106,22 @@ def mix(
     id_col: str = "doc_id",
     text_col: str = "text",
     source_col: str = "source",
+    row_col: str | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Mixes documents: (copies, order).
 
     ``copies`` has one row per document and epoch (see ``schedule``), ``order`` the copies that
     are taken, in the order of their virtual finish times, which is the order of the mix.
-    weigh: adds a column ``weight`` to the rows (source, source_size).
+    weigh: adds a column ``weight`` to the rows (source, source_size). Both tables name the input
+    row by ``row``: a written number that differs for every row, taken from ``row_col`` if given.
 
     Null texts and empty ones have size 0 and are never taken; null is a source of its own;
     repeated rows are documents like any other; a table without words gives targets of 0. Texts
-    are read once, to count their words; only (id, source, size) is moved.
+    are read once, to count their words; only (row, id, source, size) is moved.
     """
+    row = F.col(row_col) if row_col else F.monotonically_increasing_id()
     rows = docs.select(
-        F.col(id_col).alias("id"), F.col(source_col).alias("source"), words(F.col(text_col)).alias("size")
+        row.alias("row"), F.col(id_col).alias("id"), F.col(source_col).alias("source"), words(F.col(text_col)).alias("size")
     )
     rows = written(rows, "mix-sizes")
     sizes = rows.groupBy("source").agg(F.sum("size").alias("source_size"))

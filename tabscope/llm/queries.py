@@ -85,7 +85,7 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     copies, order = mixing.mix(table(spark, sf_dir, "documents"))
     # documents that the mix leaves out have no copy in its order
     none = copies.where("epoch = 0").withColumn("taken", F.lit(0).cast("long"))
-    keys = ["id", "source", "size", "source_size", "target"]
+    keys = ["row", "id", "size", "source_size", "target"]  # a row of its own, not only its figures
     both = order.select(*keys, "taken").unionByName(none.select(*keys, "taken"))
     taken = both.groupBy(*keys).agg(F.sum("taken").alias("taken"))
     return taken.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")

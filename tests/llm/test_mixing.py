@@ -1,9 +1,14 @@
 """Source mixing against a plain resharing loop and a plain queue."""
 
+from collections import Counter
+
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from tabscope.llm import mixing
+from tabscope.llm.queries import ORACLES, QUERIES
 
 
 def resharing(sizes, weights, share=1.5, cap=2):
@@ -77,3 +82,28 @@ def test_words_and_empty(spark):
     empty = spark.createDataFrame([], "doc_id bigint, text string, source string")
     copies, order = mixing.mix(empty)
     assert copies.count() == 0 and order.count() == 0
+
+
+REPEATED = [(1, "a b c", "s")] * 3 + [(1, "d e f", "s"), (2, "x y", "s"), (2, "x y", "t")]
+REPEATED += [(None, "p q", "s")] * 2 + [(None, "r t", "s"), (None, "r t", None), (4, None, "t"), (4, None, "t")]
+DOCS = "doc_id bigint, text string, source string"
+
+
+def test_repeated_rows_stay_rows(spark, tmp_path):
+    spark.createDataFrame(REPEATED, DOCS).write.parquet(f"{tmp_path}/documents.parquet")
+    found = sorted((tuple(r) for r in QUERIES["op6_mixing"](spark, str(tmp_path)).collect()), key=repr)
+    with duckdb.connect() as con:
+        con.execute(f"CREATE VIEW documents AS FROM '{tmp_path}/documents.parquet/*.parquet'")
+        wanted = con.execute(ORACLES["op6_mixing"]).fetchall()
+    assert found == sorted(wanted, key=repr) and len(found) == len(REPEATED)
+    assert all(taken <= 2 * size for _, size, _, _, taken in found)
+
+
+def test_stage_takes_a_row_twice_at_most(spark):
+    docs = spark.createDataFrame(REPEATED, DOCS)
+    copies = Counter(tuple(r) for r in corpus_pipeline.mix_sources(spark, docs, "").collect())
+    held = Counter(REPEATED)
+    assert set(copies) <= set(held) and all(n <= 2 * held[r] for r, n in copies.items())
+    words = sum(n * len((text or "").split()) for (_, text, _), n in copies.items())
+    targets = {(r["source"], r["target"]) for r in mixing.mix(docs)[0].collect()}
+    assert words >= sum(int(target) for _, target in targets)
