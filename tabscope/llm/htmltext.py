@@ -34,8 +34,21 @@ FRAME_NAME = re.compile(
     re.I,
 )
 NAMED = frozenset("div section ul ol dl p table span header aside li".split())
+# what a start tag ends: the tags whose nearest open one it closes, within the element that holds them
+BLOCK = frozenset(
+    "address article aside blockquote center details dialog dd dir div dl dt fieldset figcaption figure footer form "
+    "h1 h2 h3 h4 h5 h6 header hgroup hr li main menu nav ol p pre search section summary table ul".split()
+)
+ENDS = {"li": "li", "dt": "dt dd", "dd": "dt dd", "td": "td th", "th": "td th", "tr": "tr", "option": "option", "optgroup": "option optgroup"}
+ENDS |= dict.fromkeys(("thead", "tbody", "tfoot"), "thead tbody tfoot tr td th")
+ENDS = {tag: frozenset(closed.split()) for tag, closed in ENDS.items()}
+LISTED = frozenset("li dt dd".split())
+HOLDS = frozenset("table select datalist".split())  # no cell, row or option outside is closed from inside
+HOLDS_P = frozenset("table caption td th button object template".split())
 MARKUP = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<({RAW})\b(?:\"[^\"]*\"|'[^']*'|[^\"'>])*>.*?(?:</\1\s*>|\Z)"
+    # an empty drawing or formula holds nothing, not the rest of the page
+    r"<(?:svg|math)\b(?:\"[^\"]*\"|'[^']*'|[^\"'>])*/>"
+    rf"|<!--.*?(?:-->|\Z)|<({RAW})\b(?:\"[^\"]*\"|'[^']*'|[^\"'>])*>.*?(?:</\1\s*>|\Z)"
     r"|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^\"'>])*)>|<[!?][^>]*>",
     re.S | re.I,
 )
@@ -61,12 +74,33 @@ def is_frame(tag: str, attributes: str) -> bool:
     return False
 
 
+def implied_end(opened: list[tuple[str, str]], tag: str) -> int:
+    """Where the stack of open elements is cut by the start of ``tag``; its length, if nowhere."""
+    cut = len(opened)
+    if tag in ENDS:
+        for k in range(len(opened) - 1, -1, -1):
+            other = opened[k][0]
+            if other in ENDS[tag]:
+                cut = k
+                if tag not in ("tbody", "thead", "tfoot", "optgroup"):
+                    break
+            elif other in HOLDS or tag in LISTED and other not in INLINE and other not in ("address", "div", "p"):
+                break
+    if tag in BLOCK:
+        for k in range(cut - 1, -1, -1):
+            if opened[k][0] == "p":
+                return k
+            if opened[k][0] in HOLDS_P or opened[k][0] in BLOCK:
+                break  # the start of that block has ended any p around it
+    return cut
+
+
 def blocks(page: str) -> list[tuple[str, str]]:
     """The page's blocks in order, as (kind, text): ``main`` inside an article or main element,
     ``frame`` in elements that are for the site, ``plain`` elsewhere.
 
-    Elements left open end with the element around them; an end tag without a start is
-    ignored. Character references are decoded, white space inside a block is one space, and
+    Elements left open end with the element around them, and paragraphs, items, cells, rows and
+    options at the start tag that implies their end; an end tag without a start is ignored. Character references are decoded, white space inside a block is one space, and
     empty blocks are left out. Scripts, styles, comments and the like hold no text.
     """
     found: list[tuple[str, str]] = []
@@ -104,6 +138,10 @@ def blocks(page: str) -> list[tuple[str, str]]:
                 if not inline:
                     close_block()
             continue
+        cut = implied_end(opened, tag)
+        if cut < len(opened):
+            close_block()
+            del opened[cut:]
         kind = opened[-1][1] if opened else "plain"
         inside = kind
         if kind != "frame":

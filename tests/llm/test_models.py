@@ -149,6 +149,24 @@ PAGES = [
 ]
 
 
+LEGAL = [
+    ('<article><p>one <svg class="i"/> two</p><p>three</p></article>', "one two three"),
+    ("<article><p>one <math/>two</p><svg a='/'><text>no</text></svg><p>three</article>", "one two three"),
+    ('<article><p class="notice">no<p>one<p>two</article>', "one two"),
+    ('<article><p class="notice">no <b>no<h2>one</h2>two</article>', "one two"),
+    ('<article><ul><li class="menu">no<li>one<ul><li class="share">no</ul>two</ul>three</article>', "one two three"),
+    ('<article><li class="menu"><div>no<ul><li>no</ul>no</div><li>one</article>', "one"),
+    ('<article><dl><dt hidden>no<dd>one<dd hidden>no<dt>two</dl></article>', "one two"),
+    ('<article><table><tr hidden><td>no<td>no<tr><td hidden>no<td>one<table><tr><td>two</table>three<tbody><tr><td>four</table></article>', "one two three four"),
+    ('<article><table><tr><td hidden><p>no<table><tr><td>no</table>no<td>one</table></article>', "one"),
+]
+
+
+@pytest.mark.parametrize("page, wanted", LEGAL)
+def test_tags_left_out(page, wanted):
+    assert " ".join(text for kind, text in htmltext.blocks(page) if kind == "main") == wanted
+
+
 def test_pages(spark):
     rows = [(i, f"http://h{i}.org/p", page, "x") for i, (page, _) in enumerate(PAGES)]
     df = spark.createDataFrame(rows, "page_id bigint, url string, html string, text string")
