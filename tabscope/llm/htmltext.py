@@ -1,20 +1,27 @@
-"""Main text of web pages: markup for what it says, a host's suffix array for what it does not."""
+"""Main text of web pages: markup for what it says, a host's suffix arrays for what it does not."""
 
 from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabscope.llm.batches import chunks, texts
+from tabscope.llm.batches import CHUNK_BYTES, chunks, texts
 from tabscope.llm.common import written
 
 LONG = 8  # words of a repeated run, a power of two
+# A run is the host's if LEAST pages and one page in SHARE have it, or COMMON pages where more care is due. What is on
+# every second page as well, COMMON at least, is the host's on any page.
+LEAST, SHARE, COMMON = 2, 5, 5
+DEALT = 128  # pages of a host that are searched together, where it has more
+HOT_HOSTS = 1000  # hosts whose pages are dealt to several tasks; any other has under 0.1 % of the pages
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
 # fixed values: elements by what they are for
@@ -160,22 +167,23 @@ def blocks(page: str) -> list[tuple[str, str]]:
 
 
 def parse(pages: DataFrame, id_col: str, url_col: str, html_col: str) -> DataFrame:
-    """One row per page: row, id, url, host, text of its main element (null if it has none),
-    ``plain`` blocks to decide on in that case, ``around``: all blocks outside the main element."""
+    """One row per page: row, id, url, site (a digest of the host), ``main``: whether it has a main element,
+    ``own``: the blocks inside it, or the ``plain`` ones if it has none, ``around``: the other blocks. Each block
+    is a line."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chunks(batches, "html"):
-            main, plain, around = [], [], []
+            main, own, around = [], [], []
             for page in texts(batch, "html"):
                 parts = blocks(page)
-                own = [t for kind, t in parts if kind == "main"]
-                main.append(" ".join(own) if own else None)
-                plain.append([] if own else [t for kind, t in parts if kind == "plain"])
-                around.append([t for kind, t in parts if kind != "main"])
+                main.append(any(kind == "main" for kind, _ in parts))
+                wanted = "main" if main[-1] else "plain"
+                own.append("\n".join(t for kind, t in parts if kind == wanted))
+                around.append("\n".join(t for kind, t in parts if kind != wanted))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(c) for c in ("row", "id", "url", "host")]
-                + [pa.array(main, pa.string()), pa.array(plain, pa.list_(pa.string())), pa.array(around, pa.list_(pa.string()))],
-                ["row", "id", "url", "host", "text", "plain", "around"],
+                [batch.column(c) for c in ("row", "id", "url", "site")]
+                + [pa.array(main, pa.bool_()), pa.array(own, pa.string()), pa.array(around, pa.string())],
+                ["row", "id", "url", "site", "main", "own", "around"],
             )
 
     kind = pages.schema[id_col].dataType.simpleString()
@@ -183,10 +191,10 @@ def parse(pages: DataFrame, id_col: str, url_col: str, html_col: str) -> DataFra
         F.monotonically_increasing_id().alias("row"),
         F.col(id_col).alias("id"),
         F.col(url_col).alias("url"),
-        F.coalesce(F.try_parse_url(F.col(url_col), F.lit("HOST")), F.lit("")).alias("host"),
+        F.xxhash64(F.coalesce(F.try_parse_url(F.col(url_col), F.lit("HOST")), F.lit(""))).alias("site"),
         F.col(html_col).alias("html"),
     )
-    schema = f"row bigint, id {kind}, url string, host string, text string, plain array<string>, around array<string>"
+    schema = f"row bigint, id {kind}, url string, site bigint, main boolean, own string, around string"
     return rows.mapInArrow(run, schema)
 
 
@@ -194,7 +202,9 @@ def word_keys(words: list[str]) -> np.ndarray:
     """A 64-bit number for each word, the same in every task."""
     import xxhash
 
-    return np.array([xxhash.xxh64_intdigest(w) for w in words], np.uint64)
+    coded = pa.array(words, pa.string()).dictionary_encode()
+    keys = np.array([xxhash.xxh64_intdigest(w) for w in coded.dictionary.to_pylist()], np.uint64)
+    return keys[coded.indices.to_numpy()]
 
 
 def classes_to(keys: np.ndarray, ends: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
@@ -227,88 +237,221 @@ def window_keys(keys: np.ndarray, starts: np.ndarray, depth: int) -> np.ndarray:
     return mixed.view(np.int64)
 
 
-def repeated_runs(parsed: DataFrame) -> DataFrame:
-    """Rows (host, run): runs of LONG words found on two distinct pages of a host at least.
+def page_words(pages: list[tuple[str, ...]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The words of the pages' streams, one after the other: key, end of its stream, page."""
+    streams = [text.split() for page in pages for text in page]
+    sizes = np.array([len(s) for s in streams], np.int64)
+    owner = np.repeat(np.arange(len(pages)), [len(page) for page in pages])
+    keys = word_keys(list(chain.from_iterable(streams)))
+    return keys, np.repeat(np.cumsum(sizes), sizes), np.repeat(owner, sizes)
 
-    Tasks concatenate the word streams of their pages and sort the suffixes; neighbours with
-    LONG words in common are one class, which is returned once a host, with the lowest and
-    the highest page. Merging these by host and run makes the result that of one suffix array over
-    all pages of the host, however the pages were dealt; a host with very many pages is no
-    task of its own.
-    """
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            hosts, pages = batch.column("host").to_pylist(), batch.column("row").to_numpy()
-            streams = [" ".join(b).split() for b in batch.column("around").to_pylist()]
-            sizes = np.array([len(s) for s in streams], np.int64)
-            if not sizes.sum():
-                continue
-            keys = word_keys([w for s in streams for w in s])
-            owner = np.repeat(np.arange(len(streams)), sizes)
-            order, rank = classes_to(keys, np.cumsum(sizes)[owner], LONG)
-            numbers = {h: k for k, h in enumerate(dict.fromkeys(hosts))}
-            host = np.array([numbers[h] for h in hosts], np.int64)[owner[order]]
-            by = np.lexsort((host, rank))
-            order, rank, host = order[by], rank[by], host[by]
-            if not len(order):
-                continue
-            first = np.flatnonzero(np.r_[True, (rank[1:] != rank[:-1]) | (host[1:] != host[:-1])])
-            page = pages[owner[order]]
-            names = list(numbers)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([names[h] for h in host[first]], pa.string()),
-                    pa.array(window_keys(keys, order[first], LONG)),
-                    pa.array(np.minimum.reduceat(page, first)),
-                    pa.array(np.maximum.reduceat(page, first)),
-                ],
-                ["host", "run", "low", "high"],
-            )
+def is_short(block: str) -> bool:
+    return bool(block) and block.count(" ") < LONG - 1
+
+
+def block_key(block: str) -> int:
+    """A 64-bit number for a short block; the line end keeps it apart from a word."""
+    import xxhash
+
+    return int(np.uint64(xxhash.xxh64_intdigest(block + "\n")).view(np.int64))
 
-    streams = parsed.where(F.size("around") > 0).select("row", "host", "around")
-    found = streams.mapInArrow(run, "host string, run bigint, low bigint, high bigint")
-    merged = found.groupBy("host", "run").agg(F.min("low").alias("low"), F.max("high").alias("high"))
-    return merged.where("low < high").select("host", "run")
 
+def searched(main: bool, own: str, around: str) -> tuple[str, ...]:
+    """The streams of a page in which runs are counted."""
+    return (around,) if main else (own, around)
+
+
+def short_keys(main: bool, own: str, around: str) -> set[int]:
+    """The short blocks of a page; those inside a main element are its headings and items."""
+    return {block_key(b) for text in ((around,) if main else (own, around)) for b in text.split("\n") if is_short(b)}
+
+
+def counted(pages: list[tuple[bool, str, str]], least: int) -> tuple[np.ndarray, np.ndarray]:
+    """Runs of LONG words, and short blocks, that ``least`` of the pages have: keys, and number of distinct pages.
+
+    Sorts the suffixes of the pages' streams; neighbours with LONG words in common are one class.
+    """
+    found = Counter(chain.from_iterable(short_keys(*page) for page in pages))
+    few = [(key, n) for key, n in found.items() if n >= least]
+    runs, numbers = [np.array([key for key, _ in few], np.int64)], [np.array([n for _, n in few], np.int64)]
+    keys, ends, owner = page_words([searched(*page) for page in pages])
+    order, rank = classes_to(keys, ends, LONG) if len(keys) else (keys, keys)
+    if len(order):
+        other = np.r_[True, rank[1:] != rank[:-1]]
+        page = owner[order]  # ascends inside a class
+        n = np.add.reduceat((other | np.r_[True, page[1:] != page[:-1]]).astype(np.int64), np.flatnonzero(other))
+        runs.append(window_keys(keys, order[np.flatnonzero(other)[n >= least]], LONG))
+        numbers.append(n[n >= least])
+    return np.concatenate(runs), np.concatenate(numbers)
+
+
+def group_runs(parsed: DataFrame, sizes: DataFrame) -> DataFrame:
+    """Rows (site, run, n, whole): what one page in SHARE of a group of a host's pages has.
+
+    The pages of a host are searched together, those of a hot one in groups of about DEALT. A run that one page
+    in SHARE of the host has is had by one in SHARE of some group, however they are dealt: none is missed.
+    ``whole``: the group is all of the host, and n, the number of distinct pages with the run, is final.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group: list[tuple[bool, str, str]] = []
+        at, held, cut = None, 0, False
 
-def unique_text(parsed: DataFrame, repeated: DataFrame) -> DataFrame:
-    """Rows (row, text) for pages without a main element: their plain blocks without the words
-    that a repeated run covers. A page all of whose words are covered is a copy of another page and
-    keeps its blocks."""
+        def search(whole: bool) -> Iterator[pa.RecordBatch]:
+            if whole and len(group) < LEAST:
+                return
+            runs, n = counted(group, max(LEAST if whole else 1, -(-len(group) // SHARE)))
+            columns = [np.full(len(runs), at[0], np.int64), runs, n, np.full(len(runs), whole)]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["site", "run", "n", "whole"])
 
-    def starts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row, host, plain in zip(*(batch.column(c).to_pylist() for c in ("row", "host", "plain"))):
-                keys = word_keys(" ".join(plain).split())
-                at = np.arange(max(0, len(keys) - LONG + 1))
+            for site, salt, parts, *page in zip(
+                *(batch.column(c).to_pylist() for c in ("site", "salt", "parts", "main", "own", "around"))
+            ):
+                if group and at != (site, salt, parts):
+                    yield from search(at[2] == 1 and not cut)
+                    group, held, cut = [], 0, False
+                elif held > 2 * CHUNK_BYTES:
+                    yield from search(False)
+                    group, held, cut = [], 0, True
+                at = (site, salt, parts)
+                group.append(tuple(page))
+                held += len(page[1]) + len(page[2])
+        if group:
+            yield from search(at[2] == 1 and not cut)
+
+    hot = sizes.where(F.col("pages") > DEALT).orderBy(F.desc("pages"), "site").limit(HOT_HOSTS)
+    hot = hot.select("site", F.ceil(F.col("pages") / DEALT).alias("parts"))
+    sized = parsed.select("row", "site", "main", "own", "around").join(F.broadcast(hot), "site", "left")
+    sized = sized.withColumn("parts", F.coalesce("parts", F.lit(1)).cast("bigint"))
+    dealt = sized.withColumn("salt", F.pmod(F.xxhash64("row"), "parts")).drop("row")
+    together = dealt.repartition("site", "salt").sortWithinPartitions("site", "salt")
+    return together.mapInArrow(run, "site bigint, run bigint, n bigint, whole boolean")
+
+
+def by_site(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray, pa.Scalar]]:
+    """For each host of the batch: site, its rows, and the list that came with them."""
+    sites = batch.column("site").to_numpy()
+    for site in np.unique(sites):
+        rows = np.flatnonzero(sites == site)
+        yield int(site), rows, batch.column("list")[int(rows[0])]
+
+
+def count_runs(parsed: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Rows (site, run, n): distinct pages with each of the runs of ``wanted``, rows (site, list)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in chunks(chunks(batches, "own"), "around"):
+            pages = list(zip(*(batch.column(c).to_pylist() for c in ("main", "own", "around"))))
+            for site, rows, listed in by_site(batch):
+                runs = np.sort(listed.values.to_numpy())
+                own = [pages[k] for k in rows]
+                keys, ends, owner = page_words([searched(*page) for page in own])
+                starts = np.flatnonzero(np.arange(len(keys)) + LONG <= ends)
+                found = window_keys(keys, starts, LONG)
+                hit = np.isin(found, runs)
+                # a page counts once for a run
+                by = np.lexsort((owner[starts[hit]], found[hit]))
+                run, page = found[hit][by], owner[starts[hit]][by]
+                new = np.r_[True, (run[1:] != run[:-1]) | (page[1:] != page[:-1])][: len(run)]
+                short = list(chain.from_iterable(short_keys(*page) for page in own))
+                short = np.array(short, np.int64)
+                names, n = np.unique(np.r_[run[new], short[np.isin(short, runs)]], return_counts=True)
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(np.full(len(at), row)),
-                        pa.array([host] * len(at), pa.string()),
-                        pa.array(window_keys(keys, at, LONG)),
-                        pa.array(at.astype(np.int32)),
-                    ],
-                    ["row", "host", "run", "at"],
+                    [pa.array(np.full(len(names), site, np.int64)), pa.array(names), pa.array(n.astype(np.int64))],
+                    ["site", "run", "n"],
                 )
 
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            kept = []
-            for plain, covered in zip(batch.column("plain").to_pylist(), batch.column("covered").to_pylist()):
-                words = " ".join(plain).split()
-                gone = np.zeros(len(words) + LONG, bool)
-                for at in covered or []:
-                    gone[at : at + LONG] = True
-                rest = [w for w, g in zip(words, gone) if not g]
-                kept.append(" ".join(rest or words))
-            yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(kept, pa.string())], ["row", "text"])
-
-    loose = parsed.where("text IS NULL AND size(plain) > 0").select("row", "host", "plain")
-    windows = loose.mapInArrow(starts, "row bigint, host string, run bigint, at int")
-    hits = windows.join(repeated, ["host", "run"], "left_semi").groupBy("row")
-    covered = hits.agg(F.collect_list("at").alias("covered"))
-    return loose.join(covered, "row", "left").select("row", "plain", "covered").mapInArrow(cut, "row bigint, text string")
+    each = parsed.select("site", "main", "own", "around").join(wanted, "site")
+    found = each.mapInArrow(run, "site bigint, run bigint, n bigint")
+    return found.groupBy("site", "run").agg(F.sum("n").alias("n"))
+
+
+def repeated_runs(parsed: DataFrame) -> DataFrame:
+    """Rows (site, list): runs of LONG words, and short blocks, that a share of the host's pages has.
+
+    list: structs of the run and its level: 1 from LEAST pages and one in SHARE on, 2 from COMMON pages on, 3 if
+    every second page has it as well. Runs of hosts that are searched in groups are counted once more over all pages.
+    """
+    sizes = written(parsed.groupBy("site").agg(F.count(F.lit(1)).alias("pages")), "pages-hosts")
+    found = written(group_runs(parsed, sizes), "pages-runs")
+    open_ones = found.where("NOT whole").select("site", "run").distinct()
+    wanted = written(open_ones.groupBy("site").agg(F.collect_list("run").alias("list")), "pages-wanted")
+    counts = found.where("whole").select("site", "run", "n").unionByName(count_runs(parsed, wanted))
+    shared = counts.join(sizes, "site").where(f"n >= {LEAST} AND n * {SHARE} >= pages")
+    level = f"CASE WHEN n < {COMMON} THEN 1 WHEN n * 2 < pages THEN 2 ELSE 3 END"
+    listed = shared.select("site", F.struct("run", F.expr(level).alias("level")).alias("one"))
+    return listed.groupBy("site").agg(F.collect_list("one").alias("list"))
+
+
+def without(words: list[str], levels: np.ndarray, short: np.ndarray, least: int) -> list[str]:
+    """The words of a page that are its own.
+
+    levels: the level of the run from each word on. short: words of short blocks that are the host's. Where runs of the
+    level ``least`` cover more than half of the page, it is a near copy or mostly boilerplate, and only those
+    of level 3 are cut. A stretch of more than half of the page is its body and stays, and so does a page
+    that nothing would be left of.
+    """
+
+    def covered(level: int) -> np.ndarray:
+        gone = short.copy()
+        at = np.flatnonzero(levels >= level)
+        for k in range(LONG):
+            gone[at + k] = True
+        return gone
+
+    gone = covered(least)
+    if 2 * gone.sum() > len(words):
+        gone = covered(3)
+    edges = np.flatnonzero(np.diff(np.r_[False, gone, False]))
+    for start, end in zip(edges[::2], edges[1::2]):
+        if 2 * (end - start) > len(words):
+            gone[start:end] = False
+    return [w for w, g in zip(words, gone) if not g] or words
+
+
+def own_text(parsed: DataFrame, repeated: DataFrame) -> DataFrame:
+    """Rows (id, url, text): the own blocks of every page without what is the host's."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in chunks(batches, "own"):
+            main, own = batch.column("main").to_pylist(), batch.column("own").to_pylist()
+            text = [page.replace("\n", " ") for page in own]
+            for _, rows, listed in by_site(batch):
+                rows = [k for k in rows.tolist() if own[k] and not main[k]]
+                if not listed.is_valid or not rows:
+                    continue
+                runs, level = (listed.values.field(c).to_numpy() for c in ("run", "level"))
+                by = np.argsort(runs)
+                runs, level = runs[by], level[by]
+                common = set(runs[level == 3].tolist())
+                keys, ends, _ = page_words([(own[k],) for k in rows])
+                starts = np.flatnonzero(np.arange(len(keys)) + LONG <= ends)
+                names = window_keys(keys, starts, LONG)
+                place = np.minimum(np.searchsorted(runs, names), len(runs) - 1)
+                levels = np.zeros(len(keys), np.int64)
+                levels[starts] = np.where(runs[place] == names, level[place], 0)
+                at = 0
+                for k in rows:
+                    words = text[k].split(" ")
+                    short = np.zeros(len(words), bool)
+                    start = 0
+                    for block in own[k].split("\n"):
+                        end = start + block.count(" ") + 1
+                        short[start:end] = not main[k] and is_short(block) and block_key(block) in common
+                        start = end
+                    mine = levels[at : at + len(words)]
+                    at += len(words)
+                    if mine.any() or short.any():
+                        text[k] = " ".join(without(words, mine, short, 2 if main[k] else 1))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("id"), batch.column("url"), pa.array(text, pa.string())], ["id", "url", "text"]
+            )
+
+    kind = parsed.schema["id"].dataType.simpleString()
+    each = parsed.select("id", "url", "site", "main", "own").join(repeated, "site", "left")
+    return each.mapInArrow(run, f"id {kind}, url string, text string")
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
@@ -316,13 +459,11 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
 
     Where markup names the article, its blocks are the text, without what is for the site
     (menus, headers, footers, sidebars, notices, adverts, forms, comments). On other pages the
-    blocks that are not so marked are cut by the host's suffix array: words covered by a run
-    of LONG words that another page of the host has as well, marked or not, are boilerplate, and the
-    unique runs stay. Blocks are joined by one space in page order. Null and empty pages give an
-    empty text, pages without a host are one host, repeated rows are pages like any other.
+    blocks that are not so marked are cut by the host's suffix arrays: words covered by a run of LONG words that
+    LEAST pages of the host and one in SHARE have, marked or not, are boilerplate, and so is a shorter block that COMMON
+    pages and every second one have; ``without`` tells what stays on near copies. Blocks are joined by one
+    space in page order. Null and empty pages give an empty text, pages without a host are one host, repeated rows
+    are pages like any other.
     """
     parsed = written(parse(pages, id_col, url_col, html_col), "pages-parsed")
-    repeated = written(repeated_runs(parsed), "pages-repeated")
-    rest = written(unique_text(parsed, repeated), "pages-unique").withColumnRenamed("text", "_rest")
-    done = parsed.select("row", "id", "url", "text").join(rest, "row", "left")
-    return done.select("id", "url", F.coalesce("text", "_rest", F.lit("")).alias("text"))
+    return own_text(parsed, written(repeated_runs(parsed), "pages-repeated"))

@@ -192,6 +192,41 @@ def test_host_boilerplate(spark):
     assert {r["text"] for r in htmltext.extract(copies).collect()} == {f"{line} {pages[0][3]}"}
 
 
+def prose(rng, n):
+    return " ".join("".join(rng.choice("abcdefghij") for _ in range(6)) for _ in range(n))
+
+
+def extracted(spark, bodies, url="http://big.org/", parts=5):
+    df = spark.createDataFrame([(i, url, b) for i, b in enumerate(bodies)], "page_id bigint, url string, html string")
+    return {r["id"]: r["text"] for r in htmltext.extract(df.repartition(parts)).collect()}
+
+
+def test_large_host(spark, monkeypatch):
+    """Phrases that few pages share stay; what a share of them has goes, also where it is searched in groups."""
+    monkeypatch.setattr(htmltext, "DEALT", 16, raising=False)
+    rng = random.Random(3)
+    line, quote, rare = prose(rng, 12), prose(rng, 10), prose(rng, 9)
+    bodies, wanted = [], {}
+    for i in range(100):
+        own = prose(rng, 40)
+        own += f" {quote}" if i % 10 == 0 else f" {rare}" if i in (3, 4) else ""
+        bodies.append(f"<ul><li>Home<li>About us</ul><div>{own}</div>" + (f"<div>{line}</div>" if i % 4 == 0 else ""))
+        wanted[i] = own
+    assert extracted(spark, bodies) == wanted
+    assert extracted(spark, bodies, None) == wanted
+
+
+def test_near_copies_keep_the_article(spark):
+    rng = random.Random(5)
+    article, ends = prose(rng, 60), [prose(rng, 12) for _ in range(8)]
+    cut = " ".join([*article.split()[:28], "other words", *article.split()[30:]])
+    pair = [f"<div>{article}</div><p>{ends[0]}</p>", f"<div>{cut}</div><p>{ends[1]}</p>"]
+    found = extracted(spark, pair)
+    assert found == {0: f"{article} {ends[0]}", 1: f"{cut} {ends[1]}"}
+    found = extracted(spark, pair + [f"<div>{prose(rng, 60)}</div>" for _ in range(6)])
+    assert found[0] == f"{article} {ends[0]}" and found[1] == f"{cut} {ends[1]}"
+
+
 def test_suffix_classes():
     rng = random.Random(1)
     words = [rng.choice("abc") for _ in range(400)]
