@@ -10,7 +10,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabscope.llm.batches import CHUNK_BYTES, chunks, texts
@@ -166,6 +166,11 @@ def blocks(page: str) -> list[tuple[str, str]]:
     return found
 
 
+def site(url_col: str) -> Column:
+    """A digest of the page's host; pages without one share it."""
+    return F.xxhash64(F.coalesce(F.try_parse_url(F.col(url_col), F.lit("HOST")), F.lit("")))
+
+
 def parse(pages: DataFrame, id_col: str, url_col: str, html_col: str) -> DataFrame:
     """One row per page: row, id, url, site (a digest of the host), ``main``: whether it has a main element,
     ``own``: the blocks inside it, or the ``plain`` ones if it has none, ``around``: the other blocks. Each block
@@ -191,7 +196,7 @@ def parse(pages: DataFrame, id_col: str, url_col: str, html_col: str) -> DataFra
         F.monotonically_increasing_id().alias("row"),
         F.col(id_col).alias("id"),
         F.col(url_col).alias("url"),
-        F.xxhash64(F.coalesce(F.try_parse_url(F.col(url_col), F.lit("HOST")), F.lit(""))).alias("site"),
+        site(url_col).alias("site"),
         F.col(html_col).alias("html"),
     )
     schema = f"row bigint, id {kind}, url string, site bigint, main boolean, own string, around string"
@@ -257,11 +262,6 @@ def block_key(block: str) -> int:
     return int(np.uint64(xxhash.xxh64_intdigest(block + "\n")).view(np.int64))
 
 
-def searched(main: bool, own: str, around: str) -> tuple[str, ...]:
-    """The streams of a page in which runs are counted."""
-    return (around,) if main else (own, around)
-
-
 def short_keys(main: bool, own: str, around: str) -> set[int]:
     """The short blocks of a page; those inside a main element are its headings and items."""
     return {block_key(b) for text in ((around,) if main else (own, around)) for b in text.split("\n") if is_short(b)}
@@ -275,7 +275,7 @@ def counted(pages: list[tuple[bool, str, str]], least: int) -> tuple[np.ndarray,
     found = Counter(chain.from_iterable(short_keys(*page) for page in pages))
     few = [(key, n) for key, n in found.items() if n >= least]
     runs, numbers = [np.array([key for key, _ in few], np.int64)], [np.array([n for _, n in few], np.int64)]
-    keys, ends, owner = page_words([searched(*page) for page in pages])
+    keys, ends, owner = page_words([page[1:] for page in pages])
     order, rank = classes_to(keys, ends, LONG) if len(keys) else (keys, keys)
     if len(order):
         other = np.r_[True, rank[1:] != rank[:-1]]
@@ -347,7 +347,7 @@ def count_runs(parsed: DataFrame, wanted: DataFrame) -> DataFrame:
             for site, rows, listed in by_site(batch):
                 runs = np.sort(listed.values.to_numpy())
                 own = [pages[k] for k in rows]
-                keys, ends, owner = page_words([searched(*page) for page in own])
+                keys, ends, owner = page_words([page[1:] for page in own])
                 starts = np.flatnonzero(np.arange(len(keys)) + LONG <= ends)
                 found = window_keys(keys, starts, LONG)
                 hit = np.isin(found, runs)
@@ -368,13 +368,12 @@ def count_runs(parsed: DataFrame, wanted: DataFrame) -> DataFrame:
     return found.groupBy("site", "run").agg(F.sum("n").alias("n"))
 
 
-def repeated_runs(parsed: DataFrame) -> DataFrame:
+def repeated_runs(parsed: DataFrame, sizes: DataFrame) -> DataFrame:
     """Rows (site, list): runs of LONG words, and short blocks, that a share of the host's pages has.
 
     list: structs of the run and its level: 1 from LEAST pages and one in SHARE on, 2 from COMMON pages on, 3 if
     every second page has it as well. Runs of hosts that are searched in groups are counted once more over all pages.
     """
-    sizes = written(parsed.groupBy("site").agg(F.count(F.lit(1)).alias("pages")), "pages-hosts")
     found = written(group_runs(parsed, sizes), "pages-runs")
     open_ones = found.where("NOT whole").select("site", "run").distinct()
     wanted = written(open_ones.groupBy("site").agg(F.collect_list("run").alias("list")), "pages-wanted")
@@ -419,7 +418,7 @@ def own_text(parsed: DataFrame, repeated: DataFrame) -> DataFrame:
             main, own = batch.column("main").to_pylist(), batch.column("own").to_pylist()
             text = [page.replace("\n", " ") for page in own]
             for _, rows, listed in by_site(batch):
-                rows = [k for k in rows.tolist() if own[k] and not main[k]]
+                rows = [k for k in rows.tolist() if own[k]]
                 if not listed.is_valid or not rows:
                     continue
                 runs, level = (listed.values.field(c).to_numpy() for c in ("run", "level"))
@@ -458,12 +457,15 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     """Rows (id, url, text) for every page.
 
     Where markup names the article, its blocks are the text, without what is for the site
-    (menus, headers, footers, sidebars, notices, adverts, forms, comments). On other pages the
-    blocks that are not so marked are cut by the host's suffix arrays: words covered by a run of LONG words that
-    LEAST pages of the host and one in SHARE have, marked or not, are boilerplate, and so is a shorter block that COMMON
-    pages and every second one have; ``without`` tells what stays on near copies. Blocks are joined by one
+    (menus, headers, footers, sidebars, notices, adverts, forms, comments); on other pages the
+    blocks that are not so marked are. Both are cut by the host's suffix arrays: words covered by a run of LONG words
+    that LEAST pages of the host and one in SHARE have, marked or not, are boilerplate; inside a main element COMMON
+    pages must have it, so that what few pages quote stays. Outside one, so is a shorter block that COMMON pages and
+    every second one have; ``without`` tells what stays on near copies. Blocks are joined by one
     space in page order. Null and empty pages give an empty text, pages without a host are one host, repeated rows
-    are pages like any other.
+    are pages like any other. Markup is parsed three times, to search, to count and to cut, which takes less than
+    to keep all text on disk a second time beside the shuffle.
     """
-    parsed = written(parse(pages, id_col, url_col, html_col), "pages-parsed")
-    return own_text(parsed, written(repeated_runs(parsed), "pages-repeated"))
+    parsed = parse(pages, id_col, url_col, html_col)
+    sizes = written(pages.groupBy(site(url_col).alias("site")).agg(F.count(F.lit(1)).alias("pages")), "pages-hosts")
+    return own_text(parsed, written(repeated_runs(parsed, sizes), "pages-repeated"))

@@ -227,6 +227,26 @@ def test_near_copies_keep_the_article(spark):
     assert found[0] == f"{article} {ends[0]}" and found[1] == f"{cut} {ends[1]}"
 
 
+def test_notices_inside_articles(spark):
+    """What a share of the host's articles carries goes without any mark; quotes, headings and copies stay."""
+    rng = random.Random(7)
+    notice, advert, quote, few = (prose(rng, n) for n in (12, 9, 10, 11))
+    bodies, wanted = [], {}
+    for i in range(30):
+        first, last = prose(rng, 40), prose(rng, 30)
+        first += f" {quote}" if i % 6 == 0 and i else f" {few}" if i in (1, 2) else ""
+        extra = f"<p>{advert}</p>" if i % 3 == 0 else ""
+        bodies.append(f"<article><h2>References</h2><p>{first}</p><p>{notice}</p><p>{last}</p>{extra}</article>")
+        wanted[i] = f"References {first} {last}"
+    copy = prose(rng, 50)
+    bodies += [f"<article><p>{copy}</p><p>{notice}</p></article>"] * 8
+    wanted |= dict.fromkeys(range(30, 38), copy)
+    assert extracted(spark, bodies) == wanted
+    small = [f"<article><p>{prose(rng, 30)} {quote}</p></article>" for _ in range(4)]
+    found = extracted(spark, small)
+    assert all(f"<article><p>{found[i]}</p></article>" == small[i] for i in range(4))
+
+
 def test_suffix_classes():
     rng = random.Random(1)
     words = [rng.choice("abc") for _ in range(400)]
