@@ -39,12 +39,14 @@ def draw(rows: DataFrame, group: str, limit: Column) -> DataFrame:
     """At most ``limit`` ids of each group, in the order of a digest of the id: rows (id, group).
 
     Ids are first thinned by their digest to about four times the limit, from the counted size of
-    the group, so that ranking them is little work whatever the size.
+    the group, so that ranking them is little work whatever the size. Groups are what a model tells
+    apart, which holds figures for each of them anyway; their sizes, one row each, are broadcast, so that
+    rows of a large group are thinned where they are read.
     """
     ids = rows.select("id", group)
     sizes = ids.groupBy(group).agg(F.count(F.lit(1)).alias("_n"))
     place = F.pmod(F.xxhash64("id"), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    few = ids.join(sizes, group).withColumn("_limit", limit)
+    few = ids.join(F.broadcast(sizes), group).withColumn("_limit", limit)
     few = few.where(place * F.col("_n") < F.col("_limit") * 4.0).select("id", group, "_limit").distinct()
     order = Window.partitionBy(group).orderBy(F.xxhash64("id"), "id")
     ranked = few.withColumn("_rank", F.row_number().over(order))

@@ -8,7 +8,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabscope.llm import bpe, bwtdedup, crosspolytope, exactdedup, htmltext, langid, mixing, secrets, simhash, toxicity
+from tabscope.llm import (
+    bpe, bwtdedup, crosspolytope, exactdedup, fillmiddle, htmltext, langid, linecrf, mixing, secrets, simhash, toxicity,
+    walshclusters,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -177,6 +180,89 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op11_quality")
+def op11_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    known = labels.where(remainder("doc_id", 4) != 2).selectExpr("doc_id AS id", "quality AS label")
+    scored = linecrf.score(docs, linecrf.fit(docs.selectExpr("doc_id AS id", "text"), known))
+    return scored.select(
+        F.col("id").alias("doc_id"), (remainder("id", 4) == 2).alias("held_out"), "score",
+        (F.col("score") >= 0.7).cast("int").alias("predicted"),
+    )
+
+
+def cluster_sql(clusters: int = 16, rounds: int = 3) -> str:
+    """The rounds written out one after the other, every distance from all components."""
+    steps = []
+    for r in range(rounds + 1):
+        steps.append(f"""near{r} AS (
+  SELECT vec_id, best.k AS k, best.d AS d FROM (
+    SELECT vec_id, min({{'d': d, 'k': k}}) AS best FROM (
+      SELECT vec_id, k, sum((v.x - c.x) * (v.x - c.x)) AS d FROM v JOIN c{r} c USING (pos) GROUP BY vec_id, k)
+    GROUP BY vec_id))""")
+        steps.append(f"""c{r + 1} AS (
+  SELECT k, pos, CASE WHEN n IS NULL THEN old.x ELSE (s - ((s % n) + n) % n) // n END AS x
+  FROM c{r} old LEFT JOIN (SELECT k, pos, sum(x) AS s, count(*) AS n FROM near{r} JOIN v USING (vec_id)
+                           GROUP BY k, pos) USING (k, pos))""")
+    return f"""WITH v AS (
+  SELECT vec_id, unnest(range(64)) AS pos,
+         CAST(floor(64 * CAST(unnest(embedding) AS DOUBLE)) AS HUGEINT) AS x
+  FROM embeddings WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda e: isfinite(e))) = 64),
+c0 AS (
+  SELECT k, pos, x FROM (
+    SELECT vec_id, row_number() OVER (ORDER BY sha256('1:' || vec_id)) - 1 AS k FROM (SELECT DISTINCT vec_id FROM v)
+  ) JOIN v USING (vec_id) WHERE k < {clusters}),
+{",".join(steps[:-1])},
+digests AS (SELECT k, sha256(string_agg(CAST(x AS VARCHAR), ',' ORDER BY pos)) AS digest FROM c{rounds} GROUP BY k)
+SELECT vec_id, CAST(k AS INTEGER) AS cluster, CAST(d AS BIGINT) AS distance,
+       CAST(sum(d) OVER (PARTITION BY k) AS BIGINT) AS cluster_inertia, CAST(sum(d) OVER () AS BIGINT) AS inertia,
+       digest AS centroid_sha256
+FROM near{rounds} JOIN digests USING (k)"""
+
+
+@query("op12_walsh_clusters", cluster_sql())
+def op12_walsh_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found, about = walshclusters.cluster(table(spark, sf_dir, "embeddings"))
+    digest = F.sha2(F.array_join(F.col("centroid").cast("array<string>"), ","), 256)
+    about = about.select("cluster", "cluster_inertia", "inertia", digest.alias("centroid_sha256"))
+    joined = found.join(F.broadcast(about), "cluster")  # one row per cluster
+    return joined.select(
+        F.col("id").alias("vec_id"), "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256"
+    )
+
+
+@query(
+    "op13_fill_middle",
+    r"""WITH docs AS (
+  SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') AS lines,
+         sha256('7:' || doc_id) AS h FROM documents),
+drawn AS (
+  SELECT *, len(lines) AS n, CAST('0x' || h[1:8] AS BIGINT) % (len(lines) + 1) AS one,
+         CAST('0x' || h[9:16] AS BIGINT) % (len(lines) + 1) AS two,
+         CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>')
+                   OR CAST('0x' || h[17:24] AS BIGINT) % 100 >= 100 THEN 'plain'
+              WHEN CAST('0x' || h[25:32] AS BIGINT) % 100 < 50 THEN 'spm' ELSE 'psm' END AS form FROM docs),
+parts AS (
+  SELECT *, array_to_string(lines[1:least(one, two)], '') AS prefix,
+         array_to_string(lines[least(one, two) + 1:greatest(one, two)], '') AS middle,
+         array_to_string(lines[greatest(one, two) + 1:], '') AS suffix FROM drawn)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form,
+       CASE WHEN form <> 'plain' THEN CAST(length(prefix) AS BIGINT) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN CAST(length(middle) AS BIGINT) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                        ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+       sha256(text) AS restored_sha256
+FROM parts""",
+)
+def op13_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = fillmiddle.transform(table(spark, sf_dir, "documents"))
+    return made.select(
+        F.col("id").alias("doc_id"), "n", "form", "prefix_chars", "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(fillmiddle.restore("output", "form"), 256).alias("restored_sha256"),
+    )
+
+
 @query("pipeline")
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline  # it builds on this module

@@ -24,10 +24,10 @@ def test_against_sql(spark, name):
 
 def test_registered():
     assert set(QUERIES) <= set(queries()) and set(ORACLES) <= set(oracle_sql())
-    assert {n.split("_")[0] for n in QUERIES} == {"pipeline", *(f"op{k}" for k in range(1, 11))}
+    assert {n.split("_")[0] for n in QUERIES} == {"pipeline", *(f"op{k}" for k in range(1, 14))}
 
 
-@pytest.mark.parametrize("name", ["op3_secrets", "op5_exact_dedup", "op6_mixing"])
+@pytest.mark.parametrize("name", ["op3_secrets", "op5_exact_dedup", "op6_mixing", "op13_fill_middle"])
 def test_native(spark, name):
     plan = plan_of(QUERIES[name](spark, SF))
     assert not any(word in plan for word in ("Python", "Pandas", "Arrow", "CartesianProduct", "NestedLoop"))
