@@ -22,8 +22,13 @@ END = "</w>"
 LETTERS = "A-Za-z\u00aa\u00b5\u00ba\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u02c1\u02c6-\u02d1\u02e0-\u02e4\u02ec\u02ee"
 NUMBERS = "0-9\u00b2\u00b3\u00b9\u00bc-\u00be"
 WORDS = f"[{LETTERS}]+|[{NUMBERS}]|'(?:s|t|re|ve|m|ll|d)|[^{LETTERS}{NUMBERS}]+"
+BLANK = re.compile(r"[ \n\t]+")
 FIRST_LATE_BYTE = 0xCC  # of code point 768 in UTF-8
-WORD_CACHE = 600_000  # pieces that a worker keeps
+SLICE_CHARS = 1 << 18  # text that is cut into pieces at a time, up to the next white space
+SEGMENT = 1 << 14  # pieces that are looked up at a time
+BATCH_BYTES = 1 << 20  # text of the rows whose ids are built at a time
+# what a worker remembers, forgotten as a whole when it gets over one of these
+CACHE_PIECES, CACHE_CHARS, CACHE_PAIRS = 1 << 18, 1 << 22, 1 << 18
 
 
 def byte_symbols() -> list[str]:
@@ -53,11 +58,13 @@ class Encoder:
     def __init__(self, source: str):
         spec = json.loads(source)
         model = spec["model"]
-        self.library = Tokenizer.from_str(source)
+        # only the library's normalizer and cutting into words are used, so it gets no vocabulary
+        self.library = Tokenizer.from_str(json.dumps(spec | {"model": model | {"vocab": {}, "merges": []}, "added_tokens": []}))
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.vocab: dict[str, int] = model["vocab"]
-        self.names = {i: t for t, i in self.vocab.items()} | {i: t for t, i in self.special.items()}
-        self.size = max(self.names) + 1
+        names = {i: t for t, i in self.vocab.items()} | {i: t for t, i in self.special.items()}
+        self.size = max(names) + 1
+        self.names = pa.array([names.get(i) for i in range(self.size)], pa.string())
         self.symbols = byte_symbols()
         self.reach: dict[str, int] = {}  # longest token that starts with two given symbols
         for token in self.vocab:
@@ -78,23 +85,38 @@ class Encoder:
         self.rank[made] = np.arange(len(made))
         self.left_edge = self._edge(made, left)
         self.right_edge = self._edge(made, right)
-        self.known = np.empty(0, np.int64)
-        self.known_ok = np.empty(0, bool)
         # a merged token stands for its text if its two parts do and meet only in its own merge
         good = np.ones(self.size, bool)
         good[made] = ~self._crossed(left, right, own=True)
         for a, b, c in zip(left, right, made):  # in the order of the merges
             good[c] &= good[a] & good[b]
         self.good = good
-        self.words: dict[str, list[int]] = {}
+        self.bytes_of = {symbol: b for b, symbol in enumerate(self.symbols)}
         self.forget()
 
     def forget(self) -> None:
-        """Empties the caches: pieces of text between white space, numbered, and their tokens."""
-        self.words.clear()
+        """Empties the caches: the numbers of texts between white space and of words, the ids of each
+        number, one after the other, and the answers about pairs."""
         self.pieces: dict[str | tuple[str], int] = {}
-        self.counts, self.flat = np.empty(0, np.int64), np.empty(0, np.int32)
-        self.decoded = pa.array([], pa.string())
+        self.ends = np.zeros(1, np.int64)  # of each number's ids, after a zero; filled as far as there are pieces
+        self.flat = np.empty(0, np.int32)
+        self.chars = 0  # of all pieces
+        self.known, self.known_ok = np.empty(0, np.int64), np.empty(0, bool)
+
+    def remember(self, pieces: list[str | tuple[str]], ids: list[list[int]]) -> None:
+        """Numbers new pieces with their ids; the arrays double when they are full."""
+        first, used = len(self.pieces), int(self.ends[len(self.pieces)])
+        ends = used + np.cumsum(np.fromiter(map(len, ids), np.int64, len(ids)))
+        self.ends = _room(self.ends, first + len(pieces) + 1)
+        self.ends[first + 1 : first + len(pieces) + 1] = ends
+        last = int(ends[-1]) if len(ends) else used
+        self.flat = _room(self.flat, last)
+        self.flat[used:last] = np.fromiter(chain.from_iterable(ids), np.int32, last - used)
+        self.pieces.update(zip(pieces, range(first, first + len(pieces))))
+        self.chars += sum(len(p) if isinstance(p, str) else len(p[0]) for p in pieces)
+
+    def full(self) -> bool:
+        return len(self.pieces) > CACHE_PIECES or self.chars > CACHE_CHARS or len(self.known) > CACHE_PAIRS
 
     def _edge(self, made: np.ndarray, part: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
         """Per depth: the symbol on the token's edge, and the rank of the merge that swallows it."""
@@ -199,8 +221,8 @@ class Encoder:
                 offer(before[i])
         return [x for x in ids if x >= 0]
 
-    def learn_words(self, words: list[str]) -> None:
-        """Encodes words that have not been seen: propose all, verify all pairs, merge the rest."""
+    def ids_of(self, words: list[str]) -> list[list[int]]:
+        """The ids of words: propose all, verify all pairs, merge the rest."""
         symbol = self.symbols
         spelled = [w if w.isascii() and w.isalnum() else "".join([symbol[b] for b in w.encode()]) for w in words]
         proposed = [self.propose(s) for s in spelled]
@@ -215,24 +237,23 @@ class Encoder:
             failing[owner[inner[~fine]]] = True
         for k in np.flatnonzero(failing):
             proposed[k] = self.merge(spelled[k])
-        self.words |= zip(words, proposed)
+        return proposed
 
     def learn(self, pieces: list[str | tuple[str]]) -> None:
         """Numbers new pieces. A string is text that is still to be cut into words, a tuple holds
-        one word, or one special token, as it is."""
-        cut = [p if isinstance(p, tuple) else self.find(p) for p in pieces]
-        new = set(chain.from_iterable(cut)).difference(self.words)
-        special = new & self.special.keys()
-        self.learn_words(list(new - special))
-        self.words |= {name: [self.special[name]] for name in special}
-        words = self.words
-        ids = [words[c[0]] if len(c) == 1 else list(chain.from_iterable([words[w] for w in c])) for c in cut]
-        names = self.names
-        self.pieces |= zip(pieces, range(len(self.pieces), len(self.pieces) + len(pieces)))
-        self.counts = np.concatenate([self.counts, np.fromiter(map(len, ids), np.int64, len(ids))])
-        self.flat = np.concatenate([self.flat, np.fromiter(chain.from_iterable(ids), np.int32)])
-        text = pa.array([" ".join([names[i] for i in own]) for own in ids], pa.string())
-        self.decoded = pa.concat_arrays([self.decoded, text])
+        one word, or one special token, as it is. A word is a piece of its own as well."""
+        special = [p for p in pieces if isinstance(p, tuple) and p[0] in self.special]
+        self.remember(special, [[self.special[p[0]]] for p in special])
+        rest = [p for p in pieces if p not in self.pieces]
+        cut = [p if isinstance(p, tuple) else self.find(p) for p in rest]
+        new = list(set(chain.from_iterable(cut)).difference(self.pieces))
+        self.remember(new, self.ids_of(new))
+        more, ids, flat, ends, number = [], [], self.flat, self.ends, self.pieces
+        for piece, words in zip(rest, cut):
+            if piece not in number:
+                more.append(piece)
+                ids.append([x for w in words for x in flat[ends[number[w]] : ends[number[w] + 1]].tolist()])
+        self.remember(more, ids)
 
     def split(self, text: str) -> list[str | tuple[str]]:
         """The pieces of a text. Words never cross white space, so text that is lower-cased
@@ -250,51 +271,92 @@ class Encoder:
         if seen.max() < FIRST_LATE_BYTE and not ((seen >= 0x1C) & (seen <= 0x1F)).any():
             return text.lower().split()
         clean = self.library.normalizer.normalize_str(text)
-        bytes_of = {s: b for b, s in enumerate(self.symbols)}
-        cut = self.library.pre_tokenizer.pre_tokenize_str(clean)
+        cut, bytes_of = self.library.pre_tokenizer.pre_tokenize_str(clean), self.bytes_of
         return [(bytes(bytes_of[c] for c in w).decode(),) for w, _ in cut]
 
-    def encode(self, batch: list[str]) -> tuple[pa.ListArray, pa.StringArray]:
-        """Token ids of each text, and the text that the library decodes from them: as the
-        vocabulary has no decoder, the tokens' names with spaces between."""
-        if len(self.pieces) > WORD_CACHE:
+    def segments(self, batch: list[str]) -> Iterator[tuple[list[str | tuple[str]], list[int]]]:
+        """The pieces of all texts in lists of bounded length, and of each list how many belong to each
+        text. Long texts are cut at white space, which no piece crosses, before they are cut into pieces."""
+        pieces, counts = [], [0] * len(batch)
+        for k, text in enumerate(batch):
+            start = 0
+            while start < len(text):
+                end = start + SLICE_CHARS
+                if end < len(text):
+                    space = BLANK.search(text, end)
+                    end = space.end() if space else len(text)
+                cut = self.split(text[start:end])
+                for at in range(0, len(cut), SEGMENT):
+                    some = cut[at : at + SEGMENT]
+                    pieces += some
+                    counts[k] += len(some)
+                    if len(pieces) >= SEGMENT:
+                        yield pieces, counts
+                        pieces, counts = [], [0] * len(batch)
+                start = end
+        yield pieces, counts
+
+    def numbered(self, pieces: list[str | tuple[str]]) -> tuple[np.ndarray, np.ndarray]:
+        """The number of ids of each piece, and all their ids."""
+        if self.full():
             self.forget()
-        cut = [self.split(t) for t in batch]
-        flat = list(chain.from_iterable(cut))
-        new = set(flat).difference(self.pieces)
+        new = set(pieces).difference(self.pieces)
         if new:
             self.learn(list(new))
-        ends = np.cumsum([0, *map(len, cut)])
-        own = np.fromiter(map(self.pieces.__getitem__, flat), np.int64, len(flat))
-        counts = self.counts[own]
+        own = np.fromiter(map(self.pieces.__getitem__, pieces), np.int64, len(pieces))
+        counts = self.ends[own + 1] - self.ends[own]
         stops = np.cumsum(counts)
-        starts = (np.cumsum(self.counts) - self.counts)[own]
-        place = np.repeat(starts - (stops - counts), counts) + np.arange(int(counts.sum()))
-        offsets = np.concatenate([[0], stops])[ends]
-        ids = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(self.flat[place]))
-        pieces = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), self.decoded.take(pa.array(own)))
-        return ids, pc.binary_join(pieces, " ")
+        place = np.repeat(self.ends[own] - (stops - counts), counts) + np.arange(int(counts.sum()))
+        return counts, self.flat[place]
+
+    def encode(self, batch: list[str], decode: bool = True) -> tuple[pa.ListArray, pa.StringArray | None]:
+        """Token ids of each text, and if wanted the text that the library decodes from them: as the
+        vocabulary has no decoder, the tokens' names with spaces between."""
+        sizes, parts = np.zeros(len(batch), np.int64), [np.empty(0, np.int32)]
+        for pieces, per_text in self.segments(batch):
+            counts, ids = self.numbered(pieces)
+            parts.append(ids)
+            sizes += np.bincount(np.repeat(np.arange(len(batch)), per_text), counts, len(batch)).astype(np.int64)
+        offsets = pa.array(np.r_[0, np.cumsum(sizes)], pa.int32())
+        ids = pa.array(np.concatenate(parts))
+        decoded = pc.binary_join(pa.ListArray.from_arrays(offsets, self.names.take(ids)), " ") if decode else None
+        return pa.ListArray.from_arrays(offsets, ids), decoded
+
+
+def _room(array: np.ndarray, size: int) -> np.ndarray:
+    """The array, in a longer one if it has less than ``size`` places."""
+    if size <= len(array):
+        return array
+    longer = np.empty(max(size, 2 * len(array)), array.dtype)
+    longer[: len(array)] = array
+    return longer
 
 
-def encode(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def encode(
+    docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text", decode: bool = True
+) -> DataFrame:
     """Rows (id, ids, decoded) for every document: whole texts, null as empty.
 
     The vocabulary file is read on the driver and sent to the tasks, so only the driver needs
-    it; it does not grow with the data. There is no shuffle. A worker keeps the words it has
-    met, up to a bound, and holds a few megabytes of text at a time. An empty text, or one of white
-    space, has no ids. Columns other than the two are not read.
+    it; it does not grow with the data. There is no shuffle. A worker keeps what it has met of words, pieces
+    and pairs up to fixed numbers and an amount of text, which are checked every SEGMENT pieces, and builds the
+    ids of BATCH_BYTES of text at a time. A longer text is one batch, read in slices: besides the text, its ids and
+    its decoded text nothing grows with it, but for a single word of many megabytes, which is merged in one go.
+    An empty text, or one of white space, has no ids. Repeated rows are encoded alike. Without ``decode`` there is
+    no decoded text to build and that column is left out. Columns other than the two are not read.
     """
     with open(tokenizer_path, encoding="utf-8") as file:
         vocabulary = docs.sparkSession.sparkContext.broadcast([file.read()])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept = vocabulary.value  # a worker keeps its copy, and the encoder in it, from task to task
-        for batch in chunks(batches, "text"):
-            if len(kept) == 1:
-                kept.append(Encoder(kept[0]))
-            ids, decoded = kept[1].encode(texts(batch, "text"))
-            yield pa.RecordBatch.from_arrays([batch.column("id"), ids, decoded], ["id", "ids", "decoded"])
+        for batch in chunks(batches, "text", BATCH_BYTES):
+            if isinstance(kept[0], str):
+                kept[0] = Encoder(kept[0])
+            columns = [batch.column("id"), *kept[0].encode(texts(batch, "text"), decode)]
+            names = ["id", "ids", "decoded"] if decode else ["id", "ids"]
+            yield pa.RecordBatch.from_arrays(columns[: len(names)], names)
 
     kind = docs.schema[id_col].dataType.simpleString()
     rows = docs.selectExpr(f"`{id_col}` AS id", f"`{text_col}` AS text")
-    return rows.mapInArrow(run, f"id {kind}, ids array<int>, decoded string")
+    return rows.mapInArrow(run, f"id {kind}, ids array<int>" + ", decoded string" * decode)

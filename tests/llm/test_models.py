@@ -54,11 +54,48 @@ def test_long_and_repetitive_words(encoder):
 
 
 def test_encoder_forgets(encoder, monkeypatch):
-    monkeypatch.setattr(bpe, "WORD_CACHE", 1)
+    monkeypatch.setattr(bpe, "CACHE_PIECES", 1)
     agrees(encoder, ["some words", "other words"])
     agrees(encoder, ["other words again"])
 
 
+def test_slices_and_segments(encoder, monkeypatch):
+    """Texts over many slices and segments, with every kind of cut inside them."""
+    monkeypatch.setattr(bpe, "SLICE_CHARS", 7)
+    monkeypatch.setattr(bpe, "SEGMENT", 3)
+    monkeypatch.setattr(bpe, "CACHE_PIECES", 5)
+    rng = random.Random(8)
+    agrees(encoder, ["".join(rng.choice([*ODD, "a", "th", "ing", " ", "\n", "\t ", "!", "Word"]) for _ in range(200)) for _ in range(30)])
+    agrees(encoder, ["", " ", "   \n  ", "x" * 100, " lead", "trail "])
+
+
+def test_caches_stay_bounded(monkeypatch):
+    """Everything that an encoder remembers, over many more new words than it may."""
+    monkeypatch.setattr(bpe, "CACHE_PIECES", 20_000)
+    monkeypatch.setattr(bpe, "CACHE_CHARS", 150_000)
+    monkeypatch.setattr(bpe, "CACHE_PAIRS", 5_000)
+    with open(PATH, encoding="utf-8") as file:
+        encoder = bpe.Encoder(file.read())
+    rng = random.Random(9)
+    word = lambda: "".join(rng.choice("aeioubcdfghklmnprst.") for _ in range(rng.randint(2, 9)))
+    seen = []
+    for _ in range(12):
+        encoder.encode([" ".join(word() for _ in range(40_000))])
+        seen.append((len(encoder.pieces), encoder.chars, len(encoder.known), len(encoder.flat)))
+    # one segment may be learned over the bound: its pieces and at most as many words of each
+    for k, bound in enumerate((20_000 + 3 * bpe.SEGMENT, 150_000 + 30 * bpe.SEGMENT, 5_000 + 8 * bpe.SEGMENT, 2 * 8 * (20_000 + 3 * bpe.SEGMENT))):
+        assert max(s[k] for s in seen) <= bound
+    assert len({s[0] for s in seen}) > 3  # it has forgotten again and again
+
+
+def test_encoding_without_text(spark):
+    docs = spark.createDataFrame([(1, "the house", 5), (1, "the house", 5), (None, None, 5)], "doc_id bigint, text string, ids int")
+    plain = bpe.encode(docs, PATH, decode=False)
+    assert plain.columns == ["id", "ids"]
+    assert sorted(map(tuple, plain.collect()), key=repr) == sorted(
+        [(r["id"], r["ids"]) for r in bpe.encode(docs, PATH).collect()], key=repr)
+
+
 def test_encode_documents(spark):
     docs = documents(spark).withColumn("ids", F.lit(1))
     found = {r["id"]: r for r in bpe.encode(docs, PATH).collect()}

@@ -1,5 +1,6 @@
 """The registered queries against SQL, and the pipeline against the operators it is made of."""
 
+import hashlib
 import random
 
 import pytest
@@ -76,8 +77,12 @@ def test_pipeline_by_hand(spark):
     total = sum(len(r[1].split()) for r in rows)
     assert 1.4 * total < sum(size[r["doc_id"]] for r in mixed) < 1.5 * total + 61 * 6
     library = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
-    wanted = sorted((r["doc_id"], library.encode(r["text"], add_special_tokens=False).ids) for r in mixed)
-    assert sorted((r["doc_id"], r["ids"]) for r in steps["bpe"].collect()) == wanted
+    wanted = []
+    for r in mixed:
+        ids = library.encode(r["text"], add_special_tokens=False).ids
+        digest = hashlib.sha256(library.decode(ids, skip_special_tokens=False).encode()).hexdigest()
+        wanted.append((r["doc_id"], ids, digest))
+    assert sorted((r["doc_id"], r["ids"], r["decoded_sha256"]) for r in steps["bpe"].collect()) == sorted(wanted)
 
 
 def test_pipeline_of_nothing(spark, tmp_path):
