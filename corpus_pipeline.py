@@ -65,9 +65,13 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every document of the mix: rows (doc_id, n_tokens, ids)."""
+    """Token ids of every document of the mix, and a digest of what they decode to: rows (doc_id,
+    n_tokens, ids, decoded_sha256)."""
     coded = bpe.encode(docs, public_tokenizers.path("word_bpe_49k.json"))
-    return coded.select(F.col("id").alias("doc_id"), F.size("ids").cast("long").alias("n_tokens"), "ids")
+    return coded.select(
+        F.col("id").alias("doc_id"), F.size("ids").cast("long").alias("n_tokens"), "ids",
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
