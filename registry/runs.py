@@ -308,26 +308,53 @@ def snk3_spans(spark, sf_dir):
     )
 
 
+# every trace numbers its own spans, with gaps and with pairs of spans under one number, and holds snapshots
+SNAPSHOTS = """SELECT trace_id, (seq - seq % 2) * 3 AS seq, start_time, end_time, duration_ms,
+    node_name, status, error, map('type', node_name, 'user', string(trace_id)) AS input_snapshot,
+    map('ok', error IS NULL, 'even', if(trace_id % 3 = 0, CAST(NULL AS BOOLEAN), trace_id % 2 = 0)) AS output_snapshot,
+    map('total', trace_id + 1, 'calls', 2L) AS token_usage FROM {spans}"""
+ATTRIBUTES = """concat('agent.duration_ms=', CAST(round(duration_ms, 2) AS VARCHAR), ';agent.name=', node_name,
+    ';agent.status=', status, ';input.type=', node_name, ';input.user=', trace_id, ';output.even=',
+    CASE WHEN trace_id % 3 = 0 THEN 'None' WHEN trace_id % 2 = 0 THEN 'True' ELSE 'False' END,
+    ';output.ok=', CASE WHEN error IS NULL THEN 'True' ELSE 'False' END, ';token.calls=2;token.total=', trace_id + 1)"""
+
+
 @query(
     "snk3_otlp_envelopes",
-    f"""WITH {SUMMARY} SELECT s.trace_id, floor(seq / 512)::BIGINT AS batch, count(*)::INTEGER AS n_spans,
-      min(concat('tabscope.', node_name)) AS first_name, any_value(total_spans) AS total_spans,
-      any_value(slowest_node) AS slowest_node
-    FROM spans s JOIN summary m ON m.trace_id = s.trace_id GROUP BY s.trace_id, floor(seq / 512)""",
+    f"""WITH {SUMMARY},
+    lines AS (SELECT *, (row_number() OVER (PARTITION BY trace_id ORDER BY seq) - 1) // 8 AS batch FROM spans),
+    sizes AS (SELECT trace_id, batch, count(*) AS n_spans FROM lines GROUP BY 1, 2),
+    whole AS (SELECT trace_id, md5(string_agg({ATTRIBUTES}, '|' ORDER BY {ATTRIBUTES})) AS attributes FROM spans GROUP BY 1),
+    nodes AS (SELECT trace_id, count(DISTINCT node_name) AS n_nodes FROM spans GROUP BY 1)
+    SELECT s.trace_id, s.batch::BIGINT AS batch, s.n_spans::INTEGER AS n_spans, attributes, total_spans, slowest_node,
+      n_nodes, concat('run ', s.trace_id) AS name
+    FROM sizes s JOIN whole USING (trace_id) JOIN nodes USING (trace_id) JOIN summary USING (trace_id)""",
 )
 def snk3_envelopes(spark, sf_dir):
+    made = otlp.otlp_envelopes(
+        spark.sql(SNAPSHOTS, spans=spans(spark, sf_dir)),
+        batch=8,
+        configs=spans(spark, sf_dir).select("trace_id").distinct().selectExpr(
+            "trace_id", "named_struct('name', concat('run ', trace_id)) AS config"
+        ),
+    )
+    span = "struct<attributes: map<string,string>>"
     shape = (
-        "resourceSpans array<struct<scopeSpans: array<struct<spans: array<struct<name: string>>>>>>, "
-        "metadata struct<summary: struct<total_spans: bigint, slowest_node: string>>"
+        f"resourceSpans array<struct<scopeSpans: array<struct<spans: array<{span}>>>>>, metadata struct<config: struct<name: "
+        "string>, summary: struct<total_spans: bigint, slowest_node: string, node_durations: map<string,double>>>"
+    )
+    read = made.withColumn("p", F.from_json("payload", shape))
+    pairs = F.array_sort(F.map_entries("a"))
+    texts = F.array_join(F.transform(pairs, lambda e: F.concat(e["key"], F.lit("="), e["value"])), ";")
+    attributes = (
+        read.select("trace_id", F.explode(F.col("p.resourceSpans")[0]["scopeSpans"][0]["spans"]["attributes"]).alias("a"))
+        .groupBy("trace_id")
+        .agg(F.md5(F.array_join(F.array_sort(F.collect_list(texts)), "|")).alias("attributes"))
     )
-    made = otlp.otlp_envelopes(spans(spark, sf_dir)).withColumn("p", F.from_json("payload", shape))
-    return made.select(
-        "trace_id",
-        "batch",
-        "n_spans",
-        F.array_min(F.col("p.resourceSpans")[0]["scopeSpans"][0]["spans"]["name"]).alias("first_name"),
-        "p.metadata.summary.total_spans",
-        "p.metadata.summary.slowest_node",
+    nodes = read.groupBy("trace_id").agg(F.sum(F.size("p.metadata.summary.node_durations")).alias("n_nodes"))
+    return read.join(attributes, "trace_id").join(nodes, "trace_id").select(
+        "trace_id", "batch", "n_spans", "attributes", "p.metadata.summary.total_spans",
+        "p.metadata.summary.slowest_node", "n_nodes", "p.metadata.config.name",
     )
 
 

@@ -8,10 +8,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabscope.functions.columns import choice, clamp, ratio, require
+from tabscope.functions.order import lagged
 from tabscope.functions.stats import spread_join
 
 # --- fixed values -------------------------------------------------------------------------
@@ -384,12 +385,11 @@ def quality_gate(
 
     Passes when the score reaches the threshold, when the iteration limit is reached, or when
     the score did not improve on the last iteration recorded before; otherwise the run cleans
-    again. A run has a handful of iterations, so the window holds little; of a repeated iteration
-    the lower score comes first.
+    again. Of a repeated iteration the lower score comes first. A run may hold any share of the
+    rows: the row before is found in ranges of the order, which split it.
     """
-    earlier = Window.partitionBy(run).orderBy(iteration, score)
     now = scores.select(F.col(run), F.col(iteration), F.col(score))
-    now = now.withColumn("previous", F.lag(score).over(earlier))
+    now = lagged(now, [run], [iteration, score], score, "previous")
     decided = (
         (F.col(score) >= threshold)
         | (F.col(iteration) >= max_iterations)

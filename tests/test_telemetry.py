@@ -167,7 +167,11 @@ def test_otlp(spark):
     rows = [span("t", 0, "scout", 12.345, 1.5, i={"rows": "5"}, o={"ok": "yes"}, t={"total": 7.0}),
             span("t", 1, "analyst", 1, 2.0, "error", "boom"), span("t", 700, "late", 1, 3.0)]
     df = spark.createDataFrame(rows, SPAN)
-    payloads = [json.loads(r["payload"]) for r in otlp.otlp_envelopes(df, "svc").orderBy("batch").collect()]
+    configs = spark.sql("SELECT 't' AS trace_id, named_struct('max_iterations', 2, 'review', true) AS config")
+    made = otlp.otlp_envelopes(df, "svc", batch=2, configs=configs).orderBy("batch").collect()
+    payloads = [json.loads(r["payload"]) for r in made]
+    assert [p["metadata"]["config"] for p in payloads] == [{"max_iterations": 2, "review": True}] * 2
+    assert [p["metadata"]["summary"]["node_durations"] for p in payloads] == [{"scout": 12.35, "analyst": 1.0}, {"late": 1.0}]
     assert len(payloads) == 2
     first = payloads[0]["resourceSpans"][0]
     assert first["resource"]["attributes"]["service.name"] == "svc"
@@ -199,3 +203,29 @@ def test_sinks(spark, spans, tmp_path):
         agents, scoring.score_runs(agents), scoring.recommendations(agents), str(tmp_path / "all"))
     for part in ("scores", "runs", "recommendations"):
         assert spark.read.json(str(tmp_path / "all" / part)).count() == 1
+
+
+def test_envelopes_are_full(spark):
+    """Whatever seq is: gaps, repeats, one for all spans, null."""
+    rows = [span("gaps", 1000 * k, "a", 1) for k in range(11)] + [span("same", 5, f"n{k}", k) for k in range(10)]
+    rows += [span("none", None, "a", 1), span("one", 0, "a", 1)]
+    made = otlp.otlp_envelopes(spark.createDataFrame(rows, SPAN), batch=4).collect()
+    sizes = {}
+    for r in sorted(made, key=lambda r: r["batch"]):
+        sizes.setdefault(r["trace_id"], []).append(r["n_spans"])
+    assert sizes == {"gaps": [4, 4, 3], "same": [4, 4, 2], "none": [1], "one": [1]}
+    nodes = [json.loads(r["payload"])["metadata"]["summary"]["node_durations"] for r in made if r["trace_id"] == "same"]
+    assert {k: v for part in nodes for k, v in part.items()} == {f"n{k}": float(k) for k in range(10)}
+    assert all(json.loads(r["payload"])["metadata"]["config"] == {} for r in made)
+
+
+def test_snapshots_become_texts(spark):
+    df = spark.sql("""SELECT 't' AS trace_id, 0 AS seq, 'a' AS node_name, 0D AS start_time, 1D AS end_time, 1D AS duration_ms,
+        'success' AS status, string(null) AS error, map('n', parse_json('5'), 't', parse_json('true'), 'z', parse_json('null'),
+        'l', parse_json('[1,2]'), 's', parse_json('"x"'), 'v', cast(null as variant)) AS input_snapshot,
+        map('f', 0.5D, 'g', cast(null as double)) AS output_snapshot, map('total', 7L) AS token_usage""")
+    payload = json.loads(otlp.otlp_envelopes(df).first()["payload"])
+    attributes = payload["resourceSpans"][0]["scopeSpans"][0]["spans"][0]["attributes"]
+    assert {k: v for k, v in attributes.items() if not k.startswith("agent.")} == {
+        "input.n": "5", "input.t": "True", "input.z": "None", "input.l": "[1,2]", "input.s": "x", "input.v": "None",
+        "output.f": "0.5", "output.g": "None", "token.total": 7}
