@@ -1,3 +1,7 @@
+import datetime
+
+import pandas as pd
+import pytest
 from pyspark.sql import functions as F
 
 from tabscope.operators.telemetry import stage_progress
@@ -6,6 +10,7 @@ from tabscope.streaming.progress import latest_progress, stage_progress_stream,
 from tests.conftest import SF
 
 NODES = ["scout", "cleaner_plan", "cleaner_execute", "analyst", "visualizer"]
+SPAN = "trace_id string, seq bigint, node_name string, ts timestamp"
 
 
 def spans_of(spark):
@@ -18,29 +23,67 @@ def spans_of(spark):
     )
 
 
-def run(spark, spans, **how):
-    """The spans arriving as three files, one per batch, across a restart."""
+def run(spark, parts, **how):
+    """The parts arriving as one file and batch each, every one after a restart."""
     folder = shared_dir(spark, "stream-test")
-    for part in range(3):
-        spans.where(F.col("seq") % 3 == part).coalesce(1).write.mode("append").parquet(f"{folder}/in")
-        live = spark.readStream.schema(spans.schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/in")
-        progress = stage_progress_stream(live, **how)
-        write_progress(progress, f"{folder}/out", f"{folder}/state").awaitTermination()
-    return spark.read.parquet(f"{folder}/out")
+    for part in parts:
+        part.coalesce(1).write.mode("append").parquet(f"{folder}/in")
+        live = spark.readStream.schema(part.schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/in")
+        query = write_progress(stage_progress_stream(live, **how), f"{folder}/out", f"{folder}/state")
+        query.awaitTermination()
+    return spark.read.parquet(f"{folder}/out"), folder
+
+
+def states(spark, folder):
+    """Runs that still have a state, and when it ends."""
+    kept = spark.read.format("statestore").load(f"{folder}/state")
+    return {r["trace_id"]: r["timeoutTimestamp"] for r in kept.select("key.trace_id", "value.timeoutTimestamp").collect()}
 
 
 def test_stream_equals_batch(spark):
     spans = spans_of(spark)
-    got = {tuple(r) for r in latest_progress(run(spark, spans)).collect()}
-    assert got == {tuple(r) for r in stage_progress(spans).collect()}
+    out, _ = run(spark, [spans.where(F.col("seq") % 3 == k) for k in range(3)])
+    assert {tuple(r) for r in latest_progress(out).collect()} == {tuple(r) for r in stage_progress(spans).collect()}
 
 
-def test_windowed_state_can_expire(spark):
-    spans = spans_of(spark)
-    written = run(spark, spans, event_time="ts", window="1 day", watermark="60 days")
-    got = latest_progress(written, by=["trace_id", "window"])
-    want = stage_progress(spans, by=["trace_id", F.window("ts", "1 day").alias("window")])
-    assert {tuple(r) for r in got.collect()} == {tuple(r) for r in want.collect()}
+def at(day, hour, minute=0):
+    return datetime.datetime(2024, 5, day, hour, minute)
+
+
+def test_state_ends_and_runs_stay_whole(spark):
+    batches = [
+        # a run across midnight, one that gets to its end, one that falls silent, and one in a single batch of many rows
+        [("night", 0, "scout", at(1, 23)), ("night", 1, "cleaner_plan", at(1, 23, 50)), ("done", 0, "scout", at(1, 22)),
+         ("done", 5, "reporter", at(1, 22, 30)), ("silent", 0, "scout", at(1, 20)), (None, 0, "scout", at(1, 20)),
+         ("late", None, "scout", at(1, 20))] + [("many", k, "scout" if k % 2 else "analyst", at(1, 23)) for k in range(500)],
+        [("night", 2, "cleaner_execute", at(2, 0, 30)), ("clock", 0, "scout", at(2, 2)), ("done", 1, "analyst", at(1, 22, 10))],
+        [("clock", 1, "analyst", at(2, 23)), ("late", 0, "scout", at(1, 1))],  # the last one is later than the watermark
+        [("night", 3, "reporter", at(2, 21, 30)), ("clock", 2, "visualizer", at(2, 23, 10))],
+        [("clock", 3, "visualizer", at(2, 23, 20))],
+    ]
+    parts = [spark.createDataFrame(b, SPAN) for b in batches]
+    out, folder = run(spark, parts, event_time="ts", quiet="20 hours", linger="10 minutes", watermark="2 hours")
+    found = {r["trace_id"]: (r["progress"], r["current_stage"]) for r in latest_progress(out).collect()}
+    assert found == {"night": (55, "reporter"), "done": (50, "reporter"), "silent": (15, "cleaner_plan"),
+                     "many": (35, "cleaner_plan"), "clock": (50, "reporter")}
+    assert set(states(spark, folder)) == {"clock", "night"}
+
+
+def test_state_ends_by_default(spark, monkeypatch):
+    """Without event time the clock ends a state; the default arguments set a timer for every run."""
+    spans = spark.createDataFrame([("a", 0, "scout", at(1, 1)), ("b", 0, "reporter", at(1, 1))], SPAN)
+    _, folder = run(spark, [spans])
+    rows = states(spark, folder)
+    now = pd.Timestamp.now(tz="UTC").value // 1_000_000
+    assert 0 < rows["b"] - now + 600_000 and rows["b"] <= now + 600_000 < rows["a"] <= now + 86_400_000
+    late = spark.createDataFrame([("c", 0, "scout", at(1, 2))], SPAN)
+    _, folder = run(spark, [spans, late, late], quiet="1 ms", linger="1 ms")
+    assert set(states(spark, folder)) <= {"c"}
+
+
+def test_own_weights(spark):
+    with pytest.raises(ValueError, match="62"):
+        stage_progress_stream(spark.createDataFrame([], SPAN), {f"s{k}": 1 for k in range(63)}, ["s0"])
 
 
 def test_shared_folder_comes_from_the_session(spark):
