@@ -95,12 +95,26 @@ def tel5_stream(spark, sf_dir):
     live = runs_by_hour(arriving.selectExpr(*SPAN_COLUMNS))
     folder = shared_dir(spark, "progress")
     stream = progress.write_progress(
-        progress.stage_progress_stream(live, WEIGHTS, ORDER), f"{folder}/out", f"{folder}/state"
+        progress.stage_progress_stream(live, WEIGHTS, ORDER, keep_all=True), f"{folder}/out", f"{folder}/state"
     )
     stream.awaitTermination()
     return progress.latest_progress(spark.read.parquet(f"{folder}/out"))
 
 
+# a user's spans are one run, over months, whose state a timer ends
+@query("tel5_stage_progress_timed", PROGRESS_SQL.replace(RUNS, "trace_id"))
+def tel5_timed(spark, sf_dir):
+    events = table(spark, sf_dir, "events")
+    arriving = (
+        spark.readStream.schema(events.schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+    )
+    live = arriving.selectExpr(*SPAN_COLUMNS, "ts")
+    folder = shared_dir(spark, "progress")
+    timed = progress.stage_progress_stream(live, WEIGHTS, ORDER, event_time="ts", quiet="30 days")
+    progress.write_progress(timed, f"{folder}/out", f"{folder}/state").awaitTermination()
+    return progress.latest_progress(spark.read.parquet(f"{folder}/out"))
+
+
 # the default weights, over spans of nodes that count and of nodes that do not
 DEFAULT_NODES = """CASE node_name WHEN 'view' THEN 'upload' WHEN 'click' THEN 'scout' WHEN 'signup' THEN 'human_review'
     WHEN 'purchase' THEN 'cleaner_execute' ELSE 'done' END"""

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from tabscope.operators.telemetry import COUNTED_NODES, PROGRESS_CAP, SPAN_STAGES, STAGE_WEIGHTS
+from tabscope.operators.telemetry import COUNTED_NODES, PROGRESS_CAP, SPAN_STAGES, STAGE_WEIGHTS, stage_progress
 
 EMPTY_BATCHES = "spark.sql.streaming.noDataMicroBatches.enabled"
 STATE = "done bigint, seq bigint, node string, at bigint"
@@ -62,6 +62,7 @@ def stage_progress_stream(
     linger: str = "10 minutes",
     watermark: str = "1 hour",
     counted: Sequence[str] | None = None,
+    keep_all: bool = False,
 ) -> DataFrame:
     """``trace_id, progress, current_stage`` of every run that got spans in a batch, for update mode.
 
@@ -73,7 +74,12 @@ def stage_progress_stream(
 
     Spans of a run are put together inside each task first, so a run with many spans reaches its state as a
     few rows. Rows without a run or a number are left out; other columns are not read.
+
+    ``keep_all`` is for input that ends, such as catching up on a folder: every run's state is kept to the end by
+    the plain aggregate of ``stage_progress``, which costs far less for each run.
     """
+    if keep_all:
+        return stage_progress(spans, weights, order, counted=counted)
     if counted is None:
         counted = COUNTED_NODES if weights is STAGE_WEIGHTS else list(weights)
     stages = [s for s in weights if weights[s] and s in counted]

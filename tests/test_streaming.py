@@ -42,8 +42,9 @@ def states(spark, folder):
 
 def test_stream_equals_batch(spark):
     spans = spans_of(spark)
-    out, _ = run(spark, [spans.where(F.col("seq") % 3 == k) for k in range(3)])
-    assert {tuple(r) for r in latest_progress(out).collect()} == {tuple(r) for r in stage_progress(spans).collect()}
+    for how in ({}, {"keep_all": True}):
+        out, _ = run(spark, [spans.where(F.col("seq") % 3 == k) for k in range(3)], **how)
+        assert {tuple(r) for r in latest_progress(out).collect()} == {tuple(r) for r in stage_progress(spans).collect()}
 
 
 def at(day, hour, minute=0):
