@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
+from math import ceil, floor
 
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
@@ -55,6 +56,17 @@ def spread_join(
     return joined.drop("_salt")
 
 
+_SIZE = f"{10_000} + int(floor(least(log2(abs(v)), 1100D) * {COARSE_PER_OCTAVE}))"
+_COARSE = f"CASE WHEN v = 0 THEN 0 WHEN v > 0 THEN {_SIZE} ELSE -({_SIZE}) END"
+_FINE = f"CASE WHEN hi = lo THEN 0 ELSE int(least(floor((v - lo) / (hi - lo) * {FINE_SLICES}), {FINE_SLICES - 1})) END"
+
+
+def _ranks(probs: Sequence[float]) -> tuple[list[str], list[str]]:
+    """The interpolated position of each quantile among ``n`` values, and the 1-based ranks on both sides of it."""
+    positions = [f"{float(p)!r}D * (n - 1)" for p in probs]
+    return positions, [r for x in positions for r in (f"floor({x}) + 1", f"ceil({x}) + 1")]
+
+
 def exact_quantiles(
     df: DataFrame,
     value: str,
@@ -83,9 +95,7 @@ def exact_quantiles(
     inner = [f"g{i}" for i in range(len(by))]
     keys = ", ".join(inner)
 
-    # 1-based ranks on both sides of each interpolated position
-    positions = [f"{float(p)!r}D * (n - 1)" for p in probs]
-    ranks = [r for x in positions for r in (f"floor({x}) + 1", f"ceil({x}) + 1")]
+    positions, ranks = _ranks(probs)
     wanted = " OR ".join(f"({r}) BETWEEN base + 1 AND base + c" for r in dict.fromkeys(ranks))
     at = [f"max(CASE WHEN ({r}) BETWEEN base + 1 AND base + c THEN v END)" for r in ranks]
     picked = ", ".join(f"{x} AS r{i}" for i, x in enumerate(at))
@@ -93,9 +103,7 @@ def exact_quantiles(
         f"r{2 * j} + (r{2 * j + 1} - r{2 * j}) * ({x} - floor({x}))" for j, x in enumerate(positions)
     )
 
-    size = f"{10_000} + int(floor(least(log2(abs(v)), 1100D) * {COARSE_PER_OCTAVE}))"
-    coarse = f"CASE WHEN v = 0 THEN 0 WHEN v > 0 THEN {size} ELSE -({size}) END"
-    fine = f"CASE WHEN hi = lo THEN 0 ELSE int(least(floor((v - lo) / (hi - lo) * {FINE_SLICES}), {FINE_SLICES - 1})) END"
+    coarse, fine = _COARSE, _FINE
     salts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def meet(cuts: str) -> str:
@@ -171,11 +179,77 @@ def long_text(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return wide.unpivot([], [col(c) for c in columns], "column", "value")
 
 
-def column_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float]) -> DataFrame:
-    """Exact quantiles of several numeric columns: ``column, n, q``."""
-    return exact_quantiles(
-        long_numbers(df, columns), "value", probs, by=["column"], bounded_groups=True
-    )
+def column_quantiles(
+    df: DataFrame, columns: Sequence[str], probs: Sequence[float], lazy: bool = False
+) -> DataFrame:
+    """Exact quantiles of several numeric columns: ``column, n, q``.
+
+    Selected where they are asked for, unless ``lazy`` keeps them a plan.
+    """
+    if lazy:
+        return exact_quantiles(long_numbers(df, columns), "value", probs, by=["column"], bounded_groups=True)
+    found = selected(df, columns, probs)
+    rows = [(name, n, q) for name, (n, q) in found.items()]
+    return df.sparkSession.createDataFrame(rows, "column string, n bigint, q array<double>")
+
+
+def selected(
+    df: DataFrame, columns: Sequence[str], probs: Sequence[float]
+) -> dict[str, tuple[int, list[float]]]:
+    """Number of values and exact quantiles of each numeric column that has any, by selection that ends on
+    the data.
+
+    A round is one scan and one aggregate that combines inside the tasks, so that no value is
+    shuffled: it counts a column's values by slices of the number line and keeps those few that hold a wanted
+    rank. The first round cuts all values into eighths of octaves, every further one the kept slices into
+    FINE_SLICES, whose bounds reach the scan as filters. It is over when every kept slice is one value,
+    mostly after two rounds; an eighth of an octave has fewer than 2 ** 49 doubles, so after
+    FINE_LEVELS further ones at the latest. The driver gets one row per column and wanted rank in each round.
+    """
+    names = list(dict.fromkeys(columns))
+    positions, ranks = _ranks(probs)
+    wanted = " OR ".join(f"({r}) BETWEEN base + 1 AND base + c" for r in dict.fromkeys(ranks))
+    wide = df.select(*[present(c, dtype_of(df, c)).cast("double").alias(f"c{i}") for i, c in enumerate(names)])
+
+    def values(rows: DataFrame) -> DataFrame:
+        cells = [x for i in range(len(names)) for x in (F.lit(i), F.col(f"c{i}") + F.lit(0.0))]
+        return rows.select(F.stack(F.lit(len(names)), *cells).alias("i", "v")).where("v IS NOT NULL")
+
+    spark = df.sparkSession
+    cuts = spark.sql(
+        f"""
+        WITH slices AS (SELECT i, coarse, count(*) AS c, min(v) AS lo, max(v) AS hi
+            FROM (SELECT i, v, {_COARSE} AS coarse FROM {{rows}}) GROUP BY i, coarse),
+        placed AS (SELECT *, sum(c) OVER (PARTITION BY i ORDER BY coarse) - c AS base, sum(c) OVER (PARTITION BY i) AS n
+            FROM slices)
+        SELECT i, lo, hi, n, base, c FROM placed WHERE {wanted}""",
+        rows=values(wide),
+    ).collect() if names else []
+    while open_cuts := [r for r in cuts if r["lo"] < r["hi"]]:
+        inside = [F.col(f"c{r['i']}").between(r["lo"], r["hi"]) for r in open_cuts]
+        few = spark.createDataFrame([tuple(r) for r in open_cuts], "i int, lo double, hi double, n bigint, base bigint, c bigint")
+        finer = spark.sql(
+            f"""
+            WITH met AS (SELECT /*+ BROADCAST(w) */ w.i, w.lo AS cut, w.hi, w.lo, w.n, w.base AS start, f.v
+                FROM {{rows}} f JOIN {{cuts}} w ON f.i = w.i AND f.v BETWEEN w.lo AND w.hi),
+            slices AS (SELECT i, cut, {_FINE} AS fine, count(*) AS c, min(v) AS lo, max(v) AS hi, first(n) AS n,
+                first(start) AS start FROM met GROUP BY i, cut, {_FINE}),
+            placed AS (SELECT *, start + sum(c) OVER (PARTITION BY i, cut ORDER BY fine) - c AS base FROM slices)
+            SELECT i, lo, hi, n, base, c FROM placed WHERE {wanted}""",
+            rows=values(wide.where(reduce(lambda a, b: a | b, inside))), cuts=few,
+        ).collect()
+        cuts = [r for r in cuts if r["lo"] == r["hi"]] + finer
+    found = {}
+    for i, name in enumerate(names):
+        own = [r for r in cuts if r["i"] == i]
+        if own:
+            n, q = own[0]["n"], []
+            for p in probs:
+                at = float(p) * (n - 1)
+                low, high = (next(r["lo"] for r in own if r["base"] < k <= r["base"] + r["c"]) for k in (floor(at) + 1, ceil(at) + 1))
+                q.append(low + (high - low) * (at - floor(at)))
+            found[name] = (n, q)
+    return found
 
 
 def approx_column_quantiles(
@@ -202,10 +276,9 @@ def approx_column_quantiles(
 def quantile_values(
     df: DataFrame, columns: Sequence[str], probs: Sequence[float]
 ) -> dict[str, list[float | None]]:
-    """Exact quantiles per column, one row per column; None for columns without values."""
-    names = list(columns)
-    quantiles = dict.fromkeys(names, [None] * len(probs))
-    return quantiles | {r["column"]: r["q"] for r in column_quantiles(df, names, probs).collect()}
+    """Exact quantiles per column; None for columns without values."""
+    quantiles = dict.fromkeys(columns, [None] * len(probs))
+    return quantiles | {name: q for name, (_, q) in selected(df, columns, probs).items()}
 
 
 def moments(df: DataFrame, column: str) -> Row:

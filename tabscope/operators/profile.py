@@ -43,26 +43,31 @@ def _moments(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.agg(F.array(*cells).alias("_all")).select(F.inline("_all"))
 
 
-def _described(df: DataFrame, columns: Sequence[str] | None, exact: bool) -> DataFrame:
+def _described(df: DataFrame, columns: Sequence[str] | None, exact: bool, lazy: bool) -> DataFrame:
     names = list(columns) if columns is not None else numeric_columns(df)
     if not names:
         raise ValueError("no numeric columns")
-    quantiles = column_quantiles if exact else approx_column_quantiles
-    quartiles = quantiles(df, names, QUARTILES).select("column", "q")
+    if exact:
+        quartiles = column_quantiles(df, names, QUARTILES, lazy).select("column", "q")
+    else:
+        quartiles = approx_column_quantiles(df, names, QUARTILES).select("column", "q")
     return _moments(df, names).join(quartiles, "column", "left")
 
 
 def describe_long(
-    df: DataFrame, columns: Sequence[str] | None = None, exact: bool = True
+    df: DataFrame, columns: Sequence[str] | None = None, exact: bool = True, lazy: bool = False
 ) -> DataFrame:
-    """``column, statistic, value`` over the numeric columns."""
+    """``column, statistic, value`` over the numeric columns.
+
+    Exact quartiles are selected at once; ``lazy`` keeps them a plan, which takes more steps.
+    """
     q = F.col("q")
     values = [F.col("count").cast("double"), "mean", "std", "min", q[0], q[1], q[2], "max"]
     pairs = [
         F.struct(F.lit(s).alias("statistic"), (F.col(v) if isinstance(v, str) else v).alias("value"))
         for s, v in zip(STATISTICS, values)
     ]
-    return _described(df, columns, exact).select("column", F.inline(F.array(*pairs)))
+    return _described(df, columns, exact, lazy).select("column", F.inline(F.array(*pairs)))
 
 
 def describe_wide(

@@ -146,7 +146,7 @@ def register_views(df: DataFrame, name: str, key: str | list[str], n: int = 5) -
         "info": load_info(df),
     }
     try:
-        views["profile"] = describe_long(df)
+        views["profile"] = describe_long(df, lazy=True)
     except ValueError:
         pass  # no numeric columns
     try:

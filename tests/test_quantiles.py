@@ -73,5 +73,26 @@ def test_two_keys_and_awkward_names(spark):
 
 def test_plans_have_no_nested_loops(spark):
     df = frame(spark, [("a", 1.0), ("b", 2.0)])
-    for plan in (exact_quantiles(df, "x", (0.5,), by=["g"]), column_quantiles(df, ["x"], (0.5,))):
+    for plan in (exact_quantiles(df, "x", (0.5,), by=["g"]), column_quantiles(df, ["x"], (0.5,), lazy=True)):
         assert "NestedLoop" not in plan_of(plan) and "Cartesian" not in plan_of(plan)
+
+
+def test_selection_ends_on_the_data(spark, monkeypatch):
+    """Rounds as the values need them, and the same figures as the plan gives."""
+    rounds = []
+    ask = type(spark).sql
+    monkeypatch.setattr(type(spark), "sql", lambda self, *a, **k: rounds.append(1) or ask(self, *a, **k))
+    cases = {"few": np.repeat([1.0, 2.0, 4.0], 50), "spread": np.random.default_rng(1).normal(0, 10, 3000),
+             "tight": np.r_[1.0 + np.arange(2000) * 2.0**-52, 1.08], "ends": np.array([-np.inf, 0.0, 3.0, np.inf])}
+    needed = {}
+    for name, values in cases.items():
+        df = spark.createDataFrame([(float(v), float(-v)) for v in values], "x double, y double")
+        rounds.clear()
+        got = stats.selected(df, ["x", "y", "x"], (0.25, 0.5))
+        needed[name] = len(rounds)
+        if name != "ends":
+            want = {r["column"]: (r["n"], r["q"]) for r in column_quantiles(df, ["x", "y"], (0.25, 0.5), lazy=True).collect()}
+            assert {k: (n, pytest.approx(q, rel=1e-12)) for k, (n, q) in got.items()} == want
+            assert got["x"][1] == pytest.approx(list(np.quantile(values, (0.25, 0.5))), rel=1e-12)
+    assert needed["few"] == 1 and needed["spread"] <= 3 and needed["tight"] <= 5
+    assert stats.selected(df.where("false"), ["x"], (0.5,)) == {} and stats.selected(df, [], (0.5,)) == {}
