@@ -55,6 +55,25 @@ def src1(spark, sf_dir):
     return csvfile.typed(text)
 
 
+# real lines: quotes and commas in fields, a line break inside quotes, NA texts, and short lines
+CSV_LINE = r"""concat(event_id, ',', CASE WHEN event_type = 'view' THEN 'NULL' ELSE string(user_id) END, ',"',
+    replace(event_type, 'c', 'say ""c"", '), if(event_id % 5 = 0, '\n', ' '), 'end",',
+    CASE WHEN event_type = 'error' THEN 'N/A' ELSE string(value) END, ',', if(event_type = 'click', 'True', 'False'),
+    CASE WHEN event_id % 7 = 0 THEN '' ELSE concat(',', if(event_id % 2 = 0, '""', '"n/a"')) END)"""
+
+
+@query(
+    "src1_csv_lines",
+    """SELECT event_id, CASE WHEN event_type = 'view' THEN NULL ELSE user_id::DOUBLE END AS user_id,
+    concat(replace(event_type, 'c', 'say "c", '), CASE WHEN event_id % 5 = 0 THEN chr(10) ELSE ' ' END, 'end') AS note,
+    CASE WHEN event_type = 'error' THEN NULL ELSE value END AS value, event_type = 'click' AS is_click,
+    NULL::DOUBLE AS nothing FROM events""",
+)
+def src1_lines(spark, sf_dir):
+    lines = table(spark, sf_dir, "events").selectExpr(f"{CSV_LINE} AS line")
+    return csvfile.parse_lines(lines, ["event_id", "user_id", "note", "value", "is_click", "nothing"], "line")
+
+
 @query(
     "src2_load_info",
     """SELECT count(*) AS row_count, 5 AS column_count, 'doc_id,text,lang,source,n_chars' AS columns,

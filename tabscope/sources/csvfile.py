@@ -20,6 +20,7 @@ NA_VALUES = (
 )
 _WHOLE = r"^\s*[+-]?\d+\s*$"
 _REAL = r"(?i)^\s*[+-]?((\d+\.?\d*|\.\d+)(e[+-]?\d+)?|inf(inity)?)\s*$"
+_SURPLUS = "__surplus"
 _TRUTH = ("True", "TRUE", "true", "False", "FALSE", "false")
 
 
@@ -129,6 +130,30 @@ def read_csv(
     return normalize_nan(apply_types(raw, schema, na_values))
 
 
+def parse_lines(
+    lines: DataFrame, names: Iterable[str], line: str = "value", na_values: Iterable[str] = NA_VALUES
+) -> DataFrame:
+    """CSV lines held in a text column, without their header, as a table with types found from the data.
+
+    ``names`` are the fields of the header. The rules are those of ``read_csv``: fields in quotes may hold
+    commas, doubled quotes and line breaks, short lines are filled with missing values, and a
+    line with more fields than the header is an error. Parsing is an expression over the lines, so the scan that finds
+    the types is the only one before the table is used. Null and blank lines are left out, as files leave them out.
+    """
+    names = list(names)
+    if not names:
+        raise ValueError("the header has no fields")
+    if len(set(names)) < len(names):
+        raise ValueError("the header repeats a field")
+    quoted = ", ".join("`" + n.replace("`", "``") + "` string" for n in names)
+    options = {"quote": '"', "escape": '"', "multiLine": "true", "mode": "PERMISSIVE", "maxCharsPerColumn": "-1"}
+    parsed = lines.where(col(line).isNotNull() & (F.trim(col(line)) != "")).select(
+        F.from_csv(col(line), f"{quoted}, `{_SURPLUS}` string", options).alias("r")
+    )
+    text = parsed.select(*[F.col("r").getField(n).alias(n) for n in [*names, _SURPLUS]])
+    return apply_types(text, infer_types(text, na_values, _SURPLUS), na_values)
+
+
 def normalize_nan(df: DataFrame) -> DataFrame:
     """NaN in float columns becomes NULL."""
     return df.select(*[present(f.name, f.dataType).alias(f.name) for f in df.schema])

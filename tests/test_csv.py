@@ -99,3 +99,19 @@ def test_views(spark, write):
     assert spark.table("scores_info").first()["row_count"] == 5
     assert spark.table("scores_sample").count() == 2
     assert "scores2_profile" not in csvfile.register_views(df.select("name"), "scores2", "name")
+
+
+def test_lines(spark, write):
+    """Lines in a column as the same lines in a file."""
+    body = ['1,"say ""hi"", you",2.5,x', '2,"a\nb",NA,y', "", "  ", "3", '4,"",1e3,', '5,plain,"7",z']
+    names = ["id", "a note", "n", "t"]
+    df = csvfile.parse_lines(spark.createDataFrame([(x,) for x in [*body, None]], "value string"), names)
+    file = csvfile.read_csv(spark, write("id,a note,n,t\n" + "\n".join(x for x in body if x.strip()) + "\n"), multi_line=True)
+    assert df.schema == file.schema and types(df) == {"id": "bigint", "a note": "string", "n": "double", "t": "string"}
+    assert sorted(map(tuple, df.collect()), key=repr) == sorted(map(tuple, file.collect()), key=repr)
+    with pytest.raises(ValueError, match="1 rows have more fields"):
+        csvfile.parse_lines(spark.createDataFrame([("1,2",), ("1,2,3",)], "value string"), ["a", "b"])
+    for bad in ([], ["a", "a"]):
+        with pytest.raises(ValueError):
+            csvfile.parse_lines(spark.createDataFrame([("1,2",)], "value string"), bad)
+    assert csvfile.parse_lines(spark.createDataFrame([], "value string"), ["a", "b"]).count() == 0
