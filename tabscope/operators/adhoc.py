@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from py4j.java_gateway import JavaObject
 from py4j.protocol import Py4JError
@@ -16,22 +16,33 @@ RESULT_CAP = 100
 _REFLECTIVE = {"reflect", "java_method", "try_reflect"}
 
 
-def _parts(node):
-    """A parsed query's nodes: plans, expressions, and what is nested in them."""
-    waiting = [node]
+def _parts(node, scope: frozenset[str], fold: Callable[[str], str]):
+    """A parsed query's nodes with the WITH names that each of them sees: plans, expressions, and what
+    is nested in them.
+
+    A WITH list's names are seen by the plan below it and by its own later entries, by an entry itself
+    only if the list is recursive, and nowhere else.
+    """
+    waiting = [(node, scope)]
     while waiting:
-        this = waiting.pop()
+        this, seen = waiting.pop()
         if not isinstance(this, JavaObject):
             continue
         kind = this.getClass().getName()
         if kind.startswith(("scala.collection.", "scala.Some")):
-            each = this.iterator()
-            while each.hasNext():
-                waiting.append(each.next())
+            waiting += [(each, seen) for each in _sequence(this)]
         elif kind.startswith(("scala.Tuple", "org.apache.spark.sql.catalyst.")):
-            yield kind.rpartition(".")[2], this
+            name = kind.rpartition(".")[2]
+            yield name, this, seen
+            if name == "UnresolvedWith":
+                for entry in _sequence(this.cteRelations()):
+                    own = seen | {fold(entry.productElement(0))}
+                    waiting.append((entry.productElement(1), own if this.allowRecursion() else seen))
+                    seen = own
+                waiting.append((this.child(), seen))
+                continue
             try:
-                waiting += [this.productElement(i) for i in range(this.productArity())]
+                waiting += [(this.productElement(i), seen) for i in range(this.productArity())]
             except Py4JError:  # no case class, so nothing is nested in it
                 pass
 
@@ -46,20 +57,18 @@ def _sequence(items) -> list:
 def _check(spark: SparkSession, sql: str, allowed: set[str]) -> None:
     """Refuses all that a parsed query could reach but the given tables, before it is analysed."""
     plan = spark._jsparkSession.sessionState().sqlParser().parsePlan(sql)
-    relations, known = [], {name.lower() for name in allowed}
-    for kind, node in _parts(plan):
+    sensitive = spark.conf.get("spark.sql.caseSensitive") == "true"
+    fold = str if sensitive else str.lower
+    given = frozenset(fold(name) for name in allowed)
+    for kind, node, seen in _parts(plan, given, fold):
         if kind == "UnresolvedRelation":
-            relations.append(_sequence(node.multipartIdentifier()))
-        elif kind == "UnresolvedWith":
-            for pair in _sequence(node.cteRelations()):
-                known.add(pair.productElement(0).lower())
+            parts = _sequence(node.multipartIdentifier())
+            if len(parts) != 1 or fold(parts[0]) not in seen:
+                raise ValueError(f"query rejected: {'.'.join(parts)} is not a given table")
         elif kind == "UnresolvedFunction" and _sequence(node.nameParts())[-1].lower() in _REFLECTIVE:
             raise ValueError("query rejected: reflection")
         elif kind in ("ScriptTransformation", "PlanWithUnresolvedIdentifier", "ExpressionWithUnresolvedIdentifier"):
             raise ValueError(f"query rejected: {kind}")
-    for parts in relations:
-        if len(parts) != 1 or parts[0].lower() not in known:
-            raise ValueError(f"query rejected: {'.'.join(parts)} is not a given table")
 
 
 def checked_query(
@@ -68,9 +77,11 @@ def checked_query(
     """The whole result of one read-only query; a single table is named ``df``.
 
     The query must parse inside a subquery, which refuses every statement that is not a
-    query, and chained ones. What it names is decided on the parsed plan: relations must be among the
-    given tables or its own WITH, and scripts, reflection and computed names are refused however they
-    are spelled. Views of the caller's that have the same names are put back.
+    query, and chained ones. What it names is decided on the parsed plan: a relation must be one of the
+    given tables or a WITH name that is seen where it stands, and scripts, reflection and computed names are
+    refused however they are spelled. Table functions that make rows out of their arguments, such as
+    ``range``, may be called, and so may functions that the caller has registered in the session.
+    Views of the caller's that have the same names are put back.
     """
     named = {"df": tables} if isinstance(tables, DataFrame) else dict(tables)
     whole = f"SELECT * FROM (\n{sql}\n)"

@@ -1,5 +1,6 @@
 import pytest
 
+from tabscope.operators import adhoc
 from tabscope.operators.adhoc import safe_query, safe_query_count
 
 REFUSED = [
@@ -74,3 +75,51 @@ def test_several_tables(spark, people):
     for sql in ("SELECT p.name FROM p LEFT SEMI JOIN c ON p.city = c.city",
                 "SELECT name, region FROM p JOIN c USING (city)"):
         assert safe_query(spark, {"p": people, "c": cities}, sql).count() == 2
+
+
+OUTSIDE = [
+    "SELECT * FROM (WITH other AS (SELECT 1 AS a) SELECT * FROM other) x, other",
+    "SELECT * FROM other, (WITH other AS (SELECT 1 AS a) SELECT * FROM other) x",
+    "WITH a AS (SELECT * FROM other), other AS (SELECT 1 AS x) SELECT * FROM a",
+    "WITH other AS (SELECT * FROM other) SELECT * FROM other",
+    "SELECT (WITH other AS (SELECT 1 AS a) SELECT max(a) FROM other) AS m FROM other",
+    "SELECT * FROM df WHERE EXISTS (WITH other AS (SELECT 1) SELECT * FROM other) AND 1 IN (SELECT secret FROM other)",
+    "WITH a AS (WITH other AS (SELECT 1 AS secret) SELECT * FROM other) SELECT * FROM a UNION ALL SELECT * FROM other",
+    "SELECT * FROM df UNION ALL (WITH `OTHER` AS (SELECT 1) SELECT * FROM Other) UNION ALL SELECT * FROM OTHER",
+    "SELECT * FROM df LATERAL JOIN (SELECT * FROM other)",
+]
+INSIDE = [
+    "WITH a AS (SELECT 1 AS x), b AS (SELECT * FROM a) SELECT * FROM b, A",
+    "WITH a AS (SELECT 1 AS x) SELECT * FROM (WITH b AS (SELECT * FROM a) SELECT * FROM b, a) q",
+    "WITH other AS (SELECT 5 AS x) SELECT * FROM other WHERE x IN (SELECT x FROM other)",
+    "WITH df AS (SELECT 1 AS x) SELECT * FROM df",
+    "WITH other AS (SELECT * FROM df), d AS (WITH other AS (SELECT * FROM other) SELECT * FROM other) SELECT * FROM d, other",
+    "SELECT * FROM range(3)",
+]
+
+
+@pytest.mark.parametrize("sql", OUTSIDE)
+def test_with_names_hold_only_where_they_are_seen(spark, sql):
+    spark.sql("SELECT 42 AS secret").createOrReplaceTempView("other")
+    try:
+        with pytest.raises(ValueError, match="rejected"):
+            adhoc.checked_query(spark, spark.range(2), sql)
+    finally:
+        spark.catalog.dropTempView("other")
+
+
+@pytest.mark.parametrize("sql", INSIDE)
+def test_nested_and_shadowed_names(spark, sql):
+    spark.sql("SELECT 42 AS secret").createOrReplaceTempView("other")
+    try:
+        rows = adhoc.checked_query(spark, spark.range(2), sql).collect()
+        assert rows and all(42 not in r for r in rows)
+    finally:
+        spark.catalog.dropTempView("other")
+
+
+def test_recursive_names(spark):
+    sql = "WITH RECURSIVE t AS (SELECT 1 AS n UNION ALL SELECT n + 1 FROM t WHERE n < 4) SELECT * FROM t"
+    assert sorted(r[0] for r in adhoc.checked_query(spark, spark.range(1), sql).collect()) == [1, 2, 3, 4]
+    with pytest.raises(ValueError, match="rejected"):
+        adhoc.checked_query(spark, spark.range(1), f"SELECT * FROM ({sql}) UNION ALL SELECT * FROM t")
