@@ -687,6 +687,41 @@ def _extract(kind: str, list_form: str) -> None:
 _extract("object", "props")
 _extract("list", "concat('[', props, ', 1]')")
 
+# what Python reads as JSON and most readers refuse, and what it refuses
+LOOSE_JSON = """CASE event_type WHEN 'view' THEN '{"a": 1, "a": ' || event_id || '}'
+    WHEN 'click' THEN '{"a": NaN, "n": {"x": 1, "x": ' || event_id || '}}'
+    WHEN 'signup' THEN '[-Infinity, ' || event_id || ']' WHEN 'purchase' THEN '{"a": +INF}' ELSE '{"a": 01}' END"""
+
+
+@query(
+    "ext1_extract_loose",
+    f"""SELECT event_id, CASE WHEN event_type IN ('view', 'click', 'signup') THEN {LOOSE_JSON} END AS json FROM events""",
+)
+def ext1_loose(spark, sf_dir):
+    texts = table(spark, sf_dir, "events").selectExpr("event_id", f"'so: ' || {LOOSE_JSON} || ' done' AS answer")
+    return extract.extract_json(texts, "answer").select("event_id", "json")
+
+
+NULLS = """CASE event_id % 4 WHEN 0 THEN '{"k": null, "note": null, "parts": null}'
+    WHEN 1 THEN '{"k": 1, "note": "a", "k": ' || event_id || ', "note": "b"}'
+    WHEN 2 THEN '{"note": 5, "parts": [{"x": 1, "x": 2}]}' ELSE '{"note": "null"}' END"""
+
+
+def _nulls(strict: bool) -> None:
+    k, note, parts = ("'0'", "'none'", "'[]'") if strict else ("NULL", "NULL", "NULL")
+
+    @query(
+        f"ext2_nulls_{'strict' if strict else 'lenient'}",
+        f"""SELECT event_id, CASE event_id % 4 WHEN 0 THEN {k} WHEN 1 THEN event_id::VARCHAR ELSE '0' END AS k,
+        CASE event_id % 4 WHEN 0 THEN {note} WHEN 1 THEN 'b' WHEN 2 THEN {"'none'" if strict else "'5'"} ELSE 'null' END AS note,
+        CASE event_id % 4 WHEN 0 THEN {parts} WHEN 2 THEN '[{{"x":1,"x":2}}]' ELSE '[]' END AS parts,
+        NULL::VARCHAR AS raw_value FROM events""",
+    )
+    def run(spark, sf_dir):
+        rows = table(spark, sf_dir, "events").selectExpr("event_id", f"{NULLS} AS json")
+        return extract.apply_schema(rows, "json", FIELDS, strict).drop("json")
+
+
 FIELDS = {"k": ("number", "0"), "note": ("string", '"none"'), "parts": ("array", "[]")}
 
 
@@ -716,6 +751,8 @@ def _fields(strict: bool) -> None:
 
 _fields(False)
 _fields(True)
+_nulls(False)
+_nulls(True)
 
 
 @query(

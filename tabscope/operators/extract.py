@@ -49,20 +49,24 @@ ANALYSIS_TYPE = (
 
 _BLANK = " \t\r\n\f\v"
 _END = "tabscope:end-of-text"
+_STRINGS = r'"(?:[^"\\]|\\.)*+"'
+_READER = {"allowSingleQuotes": "false"}
 
 
 def _container(text: Column) -> Column:
     """The trimmed text if it is one whole JSON object or array, else NULL.
 
     Texts that cannot be one are told by their first and last character, without parsing.
-    The parser stops after the first value, so the text is parsed as an array's first element
-    with a mark behind it: something after the value moves the mark or spoils the array.
-    (Objects that repeat a key are not accepted; the variant type has no room for them.)
+    The parsers stop after the first value, so the text is parsed as an array's first element
+    with a mark behind it: something after the value moves the mark or spoils the array. What the
+    variant type has no room for, objects that repeat a key and the numbers NaN and Infinity, is read as text.
     """
     bare = F.trim(text, F.lit(_BLANK))
-    marked = F.try_parse_json(F.concat(F.lit("["), bare, F.lit(f',"{_END}"]')))
-    whole = F.try_variant_get(marked, "$[1]", "string") == _END
-    return F.when(bare.rlike(r"(?s)^[\[{].*[\]}]$") & whole, bare)
+    framed = F.concat(F.lit("["), bare, F.lit(f',"{_END}"]'))
+    whole = F.try_variant_get(F.try_parse_json(framed), "$[1]", "string") == _END
+    loose = F.get(F.from_json(framed, "array<string>", _READER), F.lit(1)) == _END
+    odd = F.regexp_replace(bare, _STRINGS, '""').rlike(r"INF|\+I")  # spellings that only the second reader knows
+    return F.when(bare.rlike(r"(?s)^[\[{].*[\]}]$") & (F.coalesce(whole, F.lit(False)) | (loose & ~odd)), bare)
 
 
 def _between(text: Column, opening: str, closing: str) -> Column:
@@ -109,26 +113,34 @@ def apply_schema(
 ) -> DataFrame:
     """One column per field of ``spec``, as JSON text and plain text for strings.
 
-    Missing fields take their default, and with ``strict`` so do fields of another kind. A
+    Missing fields take their default, and with ``strict`` so do fields of another kind, JSON's null among them;
+    without it a null is NULL. Of a repeated key the last counts; NaN and Infinity are numbers. A
     list has no fields: it is handed on whole in ``raw_value``. The JSON column stays.
     """
-    parsed = df.withColumn("_v", F.try_parse_json(F.col(json_col)))
-    is_object = F.coalesce(F.schema_of_variant("_v").startswith("OBJECT"), F.lit(False))
+    names = {name: f"`{name.replace('`', '``')}`" for name in spec}
+    parsed = (
+        df.withColumn("_v", F.try_parse_json(F.col(json_col)))
+        .withColumn("_c", _container(F.coalesce(F.col(json_col), F.lit(""))))
+        .withColumn("_f", F.from_json("_c", ", ".join(f"{n} variant" for n in names.values()), _READER))
+        .withColumn("_t", F.from_json("_c", ", ".join(f"{n} string" for n in names.values()), _READER))
+    )
+    is_object = F.coalesce(F.col("_c").startswith("{"), F.lit(False))
     fields = []
     for name, (kind, default) in spec.items():
-        path = "$['" + name.replace("'", "\\'") + "']"
-        value = F.when(is_object, F.try_variant_get("_v", path, "variant"))
-        usable = value.isNotNull()
+        value = F.when(is_object, F.col("_f").getField(name))
+        # a value with repeated keys inside is no variant, but still a text
+        rest = F.when(is_object & value.isNull(), F.col("_t").getField(name))
+        usable = value.isNotNull() | rest.isNotNull()
         if strict:
-            usable = usable & F.schema_of_variant(value).rlike(_KINDS[kind])
-        text = F.try_variant_get("_v", path, "string") if kind == "string" else F.to_json(value)
-        if kind == "string":
-            text = F.coalesce(text, F.to_json(value))
+            nested = rest.rlike({"object": r"^\{", "array": r"^\["}.get(kind, "(?!)"))
+            usable = F.coalesce(F.schema_of_variant(value).rlike(_KINDS[kind]), nested)
+        text = F.coalesce(F.try_variant_get(value, "$", "string"), F.to_json(value)) if kind == "string" else F.to_json(value)
+        text = F.when(F.schema_of_variant(value) != "VOID", text).when(value.isNull(), rest)
         fallback = F.lit(default)
         if kind == "string":
             fallback = F.try_variant_get(F.parse_json(F.lit(default)), "$", "string")
         fields.append(F.when(F.coalesce(usable, F.lit(False)), text).otherwise(fallback).alias(name))
-    raw = F.when(~is_object & F.col("_v").isNotNull(), F.col(json_col))
+    raw = F.when(~is_object & (F.col("_v").isNotNull() | F.col("_c").isNotNull()), F.col(json_col))
     return parsed.select(*[F.col(f"`{c}`") for c in df.columns], *fields, raw.alias("raw_value"))
 
 

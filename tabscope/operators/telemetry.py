@@ -188,6 +188,7 @@ def usage_tokens(responses: DataFrame, response: str = "response") -> DataFrame:
 
     Looked up in this order: a filled ``usage_metadata``, a filled ``token_usage`` or
     ``usage`` inside ``response_metadata``, then a bare ``usage_metadata`` or ``usage``.
+    A bare ``usage_metadata`` that is present counts even if it is null: nothing is recorded then.
     Within it the input/output names win over prompt/completion unless zero or absent.
     """
     counts = "map<string,string>"
@@ -205,7 +206,7 @@ def usage_tokens(responses: DataFrame, response: str = "response") -> DataFrame:
         filled("_r.response_metadata.token_usage"),
         filled("_r.response_metadata.usage"),
         F.col("_r.usage_metadata"),
-        F.col("_r.usage"),
+        F.when(~F.array_contains(F.json_object_keys(F.col(response)), "usage_metadata"), F.col("_r.usage")),
     )
 
     def tokens(*names: str) -> Column:

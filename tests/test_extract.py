@@ -86,3 +86,23 @@ def test_image_references(spark):
     df = spark.createDataFrame([(["out/bar_of_sales.png", "x.tar.gz"],), ([],), (None,)], "charts array<string>")
     assert column(extract.image_refs(df), "references") == [
         "![图表1: bar of sales](out/bar_of_sales.png)\n\n![图表2: x.tar](x.tar.gz)", "（未生成图表）", "（未生成图表）"]
+
+
+def test_what_variants_cannot_hold(spark):
+    rows = ['{"a":1,"a":2}', '{"a": NaN}', '[1, -Infinity]', '{"a":{"b":1,"b":{"c":"}"}}}', '{"a":+INF}', "{'a':1}", '{"a":1,}', '{"a":"INF +I"}', '{"a":NaN} x']
+    df = spark.createDataFrame([(k, r) for k, r in enumerate(rows)], "k int, t string")
+    found = {r["k"]: r["json"] for r in extract.extract_json(df, "t").collect()}
+    assert found == {0: rows[0], 1: rows[1], 2: rows[2], 3: rows[3], 4: None, 5: None, 6: None, 7: rows[7], 8: '{"a":NaN}'}
+
+
+def test_nulls_and_repeated_keys_in_schemas(spark):
+    rows = ['{"a":null,"s":null}', '{"a":1,"a":2,"s":"x","s":"y"}', "{}", '{"s":"null"}', None, "[1]", '{"a":NaN}']
+    df = spark.createDataFrame([(k, r) for k, r in enumerate(rows)], "k int, t string")
+    spec = {"a": ("number", "0"), "s": ("string", '"none"')}
+    read = lambda strict: {r["k"]: (r["a"], r["s"]) for r in extract.apply_schema(df, "t", spec, strict).collect()}
+    loose, strict = read(False), read(True)
+    assert loose[0] == (None, None) and strict[0] == ("0", "none")
+    assert loose[1] == strict[1] == ("2", "y")
+    assert loose[2] == ("0", "none") and loose[3] == strict[3] == ("0", "null")
+    assert loose[4] == loose[5] == ("0", "none")
+    assert "NaN" in loose[6][0] and "NaN" in strict[6][0]

@@ -229,3 +229,9 @@ def test_snapshots_become_texts(spark):
     assert {k: v for k, v in attributes.items() if not k.startswith("agent.")} == {
         "input.n": "5", "input.t": "True", "input.z": "None", "input.l": "[1,2]", "input.s": "x", "input.v": "None",
         "output.f": "0.5", "output.g": "None", "token.total": 7}
+
+
+def test_usage_that_is_null(spark):
+    texts = ['{"usage_metadata": null, "usage": {"input_tokens": 5}}', '{"usage": {"input_tokens": 5}}', '{"usage_metadata": {}, "usage": {"input_tokens": 5}}']
+    df = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "k int, response string")
+    assert {r["k"]: r["prompt_tokens"] for r in telemetry.usage_tokens(df).collect()} == {1: 5, 2: 0}
