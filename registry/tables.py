@@ -499,9 +499,9 @@ def agg6(spark, sf_dir):
 def versioned(spark, sf_dir) -> VersionedTable:
     return (
         VersionedTable(gapped_events(spark, sf_dir), "raw")
-        .apply("drop missing", lambda d: clean.fill_missing(d, "value", "drop"))
-        .apply("no change", lambda d: None)
-        .apply("outliers", lambda d: clean.remove_outliers(d, "value", "zscore"))
+        .change("drop missing", lambda d: clean.fill_change(d, "value", "drop"))
+        .change("no change", lambda d: None)
+        .change("outliers", lambda d: clean.outlier_change(d, "value", "zscore"))
     )
 
 

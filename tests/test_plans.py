@@ -2,6 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tabscope.plans.cleaning import run_plan
+from tabscope.operators import clean
 from tabscope.plans.versions import VersionedTable
 from tests.conftest import column, keyed
 
@@ -113,3 +114,19 @@ def test_versions_need_a_table():
 def test_snapshots_end_lineage(spark):
     t = VersionedTable(spark.range(10).withColumn("x", F.col("id") * 2), snapshot=True)
     assert "Range" not in t.df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_filter_versions_are_one_scan(spark):
+    df = spark.createDataFrame([(k, k % 7, None if k % 10 == 0 else float(k)) for k in range(100)], "k int, `__p` int, x double")
+    t = VersionedTable(df)
+    t.where("present", "x IS NOT NULL").change("filled", lambda d: clean.fill_change(d, "x", "zero"))
+    t.where("big", F.col("x") > 50).apply("same", lambda d: None).where("unknown", "k > NULL")
+    history = t.history()
+    scans = history._jdf.queryExecution().executedPlan().toString().count("Scan")
+    assert scans == 1
+    assert [(r["version"], r["n_rows"]) for r in history.orderBy("version").collect()] == [(1, 100), (2, 90), (3, 90), (4, 45), (5, 45), (6, 0)]
+    assert t.rollback(2).df.count() == 45 and t.version == 4
+    assert column(t.diffs().orderBy("version"), "rows_delta") == [0, -10, 0, -45]
+    t.apply("new", lambda d: d.limit(7)).where("again", "k % 2 = 0")
+    rows = {r["version"]: r["n_rows"] for r in t.history().collect()}
+    assert rows[4] == 45 and rows[5] == 7 and rows[6] == t.df.count()
