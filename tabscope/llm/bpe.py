@@ -25,10 +25,10 @@ WORDS = f"[{LETTERS}]+|[{NUMBERS}]|'(?:s|t|re|ve|m|ll|d)|[^{LETTERS}{NUMBERS}]+"
 BLANK = re.compile(r"[ \n\t]+")
 FIRST_LATE_BYTE = 0xCC  # of code point 768 in UTF-8
 SLICE_CHARS = 1 << 18  # text that is cut into pieces at a time, up to the next white space
-SEGMENT = 1 << 14  # pieces that are looked up at a time
+SEGMENT = 1 << 15  # pieces that are looked up at a time
 BATCH_BYTES = 1 << 20  # text of the rows whose ids are built at a time
 # what a worker remembers, forgotten as a whole when it gets over one of these
-CACHE_PIECES, CACHE_CHARS, CACHE_PAIRS = 1 << 18, 1 << 22, 1 << 18
+CACHE_PIECES, CACHE_CHARS, CACHE_PAIRS = 1 << 19, 1 << 23, 1 << 18
 
 
 def byte_symbols() -> list[str]:
