@@ -26,7 +26,8 @@ _PASSED = "_steps_passed"
 
 @dataclass(frozen=True)
 class PlanRun:
-    """The cleaned table and a log with one row per step, both as unevaluated plans."""
+    """The cleaned table and a log with one row per step, both as plans; the statistics that steps need are
+    already in them as constants."""
 
     df: DataFrame
     log: DataFrame
