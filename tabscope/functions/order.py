@@ -34,13 +34,13 @@ def in_ranges(df: DataFrame, keys: Sequence[str], ranges: int | None = None) ->
     return spark.read.parquet(path)
 
 
-def _edges(placed: DataFrame, group: Sequence[str], order: Sequence[str], carried: Column) -> DataFrame:
+def _edges(placed: DataFrame, group: Sequence[str], order: Sequence[str], carried: Column, weight: Column) -> DataFrame:
     """One row per range: its first group, and from the range before it the last group, the value
-    of its last row, and the number of that group's rows up to there."""
+    of its last row, and the weight of that group's rows up to there."""
     whole = F.struct(*[col(g) for g in group])
     place = F.struct(*[col(o) for o in order], F.col(_TIE))
     groups = placed.groupBy(_RANGE, *[col(g) for g in group]).agg(
-        F.count(F.lit(1)).alias("n"), F.max(F.struct(place.alias("place"), carried.alias("value")))["value"].alias("value")
+        F.sum(weight).alias("n"), F.max(F.struct(place.alias("place"), carried.alias("value")))["value"].alias("value")
     )
     ranges = groups.groupBy(_RANGE).agg(
         F.min(whole).alias("first"),
@@ -57,10 +57,10 @@ def _edges(placed: DataFrame, group: Sequence[str], order: Sequence[str], carrie
 
 
 def _with_edges(
-    df: DataFrame, group: Sequence[str], order: Sequence[str], carried: Column, ranges: int | None
+    df: DataFrame, group: Sequence[str], order: Sequence[str], carried: Column, ranges: int | None, weight: Column | None = None
 ) -> tuple[DataFrame, Window]:
     placed = in_ranges(df, [*group, *order], ranges)
-    edges = _edges(placed, group, order, carried).withColumnRenamed(_RANGE, "__at")
+    edges = _edges(placed, group, order, carried, F.lit(1) if weight is None else weight).withColumnRenamed(_RANGE, "__at")
     own = F.struct(*[col(g) for g in group])
     joined = placed.join(F.broadcast(edges), (F.col(_RANGE) == F.col("__at")) & (own == F.col("__group")), "left")
     window = Window.partitionBy(_RANGE, *[col(g) for g in group]).orderBy(*[col(o) for o in order], _TIE)
@@ -91,3 +91,13 @@ def numbered(
     return joined.withColumn("__number", number.cast("bigint")).select(
         *[col(c) for c in df.columns], F.col("__number").alias(name)
     )
+
+
+def running(
+    df: DataFrame, group: Sequence[str], order: Sequence[str], value: str, name: str, ranges: int | None = None
+) -> DataFrame:
+    """The rows with ``name``, the sum of the whole number ``value`` over the group up to the row itself."""
+    joined, window = _with_edges(df, group, order, F.lit(0), ranges, col(value))
+    own = F.sum(col(value)).over(window.rowsBetween(Window.unboundedPreceding, 0))
+    total = own + F.coalesce(F.col("so_far"), F.lit(0))
+    return joined.withColumn("__sum", total).select(*[col(c) for c in df.columns], F.col("__sum").alias(name))

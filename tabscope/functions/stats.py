@@ -16,8 +16,8 @@ SKETCH_ACCURACY = 10_000  # of the opt-in approximate quantiles
 COARSE_PER_OCTAVE = 8
 FINE_SLICES = 65_536
 FINE_LEVELS = 4
-SALTS = 32
-HOT_GROUPS = 1000
+SPREAD_OVER = 100_000  # rows of a group from which on it is spread
+SPREAD_GROUPS = 10_000  # groups spread at most, the largest
 
 
 def spread_join(
@@ -26,34 +26,37 @@ def spread_join(
     on: Sequence[str],
     spread_by: Sequence[str],
     how: str = "inner",
+    rows: str | None = None,
 ) -> DataFrame:
     """Joins rows to their group's few figures without sending a hot group to one task.
 
-    The ``HOT_GROUPS`` largest groups are looked up first; that list cannot grow, so it is
-    broadcast. Rows of these groups carry a salt, one of as many as the shuffle has partitions, and their
-    groups' figures are copied once per salt, all other rows and figures meet under salt 0. A group outside the list holds less
-    than one in ``HOT_GROUPS`` of the rows. ``how``: inner or left.
+    ``rows`` names the figure that tells how many facts a group has, or an upper bound of it; without
+    it they are counted, which reads the facts once more. Groups with over ``SPREAD_OVER`` rows get their figures by a
+    broadcast of at most ``SPREAD_GROUPS`` of them, the largest, so that its size is bounded and any other group holds less than
+    one in ``SPREAD_GROUPS`` of the rows. Their rows, and rows without a key, are then dealt by
+    ``spread_by``, where no figures wait for them; all others meet theirs by key. One row of figures
+    per group; ``how``: inner or left.
     """
     keys = [col(c) for c in on]
-    hot = (
-        facts.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .orderBy(F.desc("_rows"), *keys)  # a total order: the list is the same wherever it is used
-        .limit(HOT_GROUPS)
-        .select(*keys, F.lit(True).alias("_hot"))
-    )
-    number = max(SALTS, int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    salt = F.pmod(F.xxhash64(*[col(c) for c in spread_by]), F.lit(number)).cast("int")
-    salts = F.sequence(F.lit(0), F.lit(number - 1))
+    kept = [c for c in per_group.columns if c not in on]
+    if rows is None:
+        sizes = facts.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+        per_group, rows = per_group.join(sizes, list(on)), "_rows"
+    # both sides of the figures hold the same columns, so that one aggregate serves both
+    figures = per_group.select(*keys, F.struct(F.col(rows).alias("_size"), *[col(c) for c in kept]).alias("_cold"))
+    size = F.col("_cold._size")
+    hot = figures.where(size > SPREAD_OVER).orderBy(size.desc(), *keys).limit(SPREAD_GROUPS)
     unmatched = reduce(lambda a, b: a | b, [k.isNull() for k in keys])  # matches nothing, so any salt
-    salted = facts.join(F.broadcast(hot), list(on), "left").withColumn(
-        "_salt", F.when(F.col("_hot") | unmatched, salt).otherwise(0)
-    )
-    copies = per_group.join(F.broadcast(hot), list(on), "left").withColumn(
-        "_salt", F.explode(F.when(F.col("_hot"), salts).otherwise(F.array(F.lit(0))))
+    salt = F.when(F.col("_hot").isNotNull() | unmatched, F.pmod(F.xxhash64(*[col(c) for c in spread_by]), F.lit(1 << 30)) + 1)
+    dealt = facts.join(F.broadcast(hot.withColumnRenamed("_cold", "_hot")), list(on), "left").withColumn(
+        "_salt", F.coalesce(salt, F.lit(0).cast("bigint"))
     )
-    joined = salted.drop("_hot").join(copies.drop("_hot"), [*on, "_salt"], how)
-    return joined.drop("_salt")
+    zero = F.least(size, F.lit(0)).cast("bigint")  # as a constant it would be taken out of the join's keys
+    joined = dealt.join(figures.withColumn("_salt", zero), [*on, "_salt"], "left")
+    joined = joined.withColumn("_cold", F.coalesce("_hot", "_cold"))
+    if how == "inner":
+        joined = joined.where("_cold IS NOT NULL")
+    return joined.select(*[col(c) for c in facts.columns], *[F.col("_cold").getField(c).alias(c) for c in kept])
 
 
 _SIZE = f"{10_000} + int(floor(least(log2(abs(v)), 1100D) * {COARSE_PER_OCTAVE}))"
@@ -67,6 +70,13 @@ def _ranks(probs: Sequence[float]) -> tuple[list[str], list[str]]:
     return positions, [r for x in positions for r in (f"floor({x}) + 1", f"ceil({x}) + 1")]
 
 
+def counted_values(df: DataFrame, value: str, by: Sequence[str]) -> DataFrame:
+    """Equal values of a group counted: ``by..., v, times``, without missing ones."""
+    v = col(value).cast("double")
+    facts = df.select(*[col(b) for b in by], (v + F.lit(0.0)).alias("v")).where(v.isNotNull() & ~F.isnan(v))
+    return facts.groupBy(*[col(b) for b in by], "v").agg(F.count(F.lit(1)).alias("times"))
+
+
 def exact_quantiles(
     df: DataFrame,
     value: str,

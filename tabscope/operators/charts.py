@@ -16,9 +16,11 @@ from tabscope.functions.columns import (
     require,
     require_numeric,
 )
-from tabscope.functions.stats import exact_quantiles, quantile_values, spread_join
+from tabscope.functions.order import running
+from tabscope.functions.stats import counted_values, quantile_values, spread_join
 
 BINS = 20
+REPEATS = 10_000  # equal outliers written out at a time
 QUARTILES = (0.25, 0.5, 0.75)
 
 
@@ -95,10 +97,11 @@ def _edges(values: DataFrame, *keys: str) -> DataFrame:
     flat = F.col("lo") == F.col("hi")
     return (
         values.groupBy(*keys)
-        .agg(F.min("v").alias("lo"), F.max("v").alias("hi"))
+        .agg(F.min("v").alias("lo"), F.max("v").alias("hi"), F.count("v").alias("n"))
         .where("lo is not null")
         .select(
             *keys,
+            "n",
             F.when(flat, F.col("lo") - 0.5).otherwise(F.col("lo")).alias("lo"),
             F.when(flat, F.col("hi") + 0.5).otherwise(F.col("hi")).alias("hi"),
         )
@@ -122,11 +125,11 @@ def hist(df: DataFrame, y: str, group: str | None = None) -> DataFrame:
         keys = ["bin"]
     else:
         values = df.where(_has(df, group, y)).select(col(group).alias("group"), v.alias("v"))
-        frame = _edges(values, "group")
         # equal values first, so that a frequent one is a single row wherever it is sent
-        alike = values.groupBy("group", "v").agg(F.count(F.lit(1)).alias("times"))
+        alike = counted_values(values, "v", ["group"])
+        frame = _edges(alike, "group")
         counted = (
-            spread_join(alike, frame, ["group"], ["v"])
+            spread_join(alike, frame, ["group"], ["v"], rows="n")
             .groupBy("group", _bin(F.col("v"), F.col("lo"), F.col("hi")).alias("bin"))
             .agg(F.sum("times").alias("count"))
         )
@@ -167,22 +170,43 @@ def pie(df: DataFrame, x: str, y: str | None = None, group: str | None = None) -
     return slices.select("label", "value", F.round(ratio(F.col("value"), whole) * 100, 4).alias("share"))
 
 
+def _quartiles(ranked: DataFrame) -> DataFrame:
+    """``label, n, q`` of ``label, v, times, upto``: the values whose ranks up to themselves hold those wanted."""
+    sizes = ranked.groupBy("label").agg(F.sum("times").alias("n"))
+    places = [F.lit(p) * (F.col("n") - 1) for p in QUARTILES]
+    ranks = [side(place) + 1 for place in places for side in (F.floor, F.ceil)]
+    at = [
+        F.max(F.when((rank > F.col("upto") - F.col("times")) & (rank <= F.col("upto")), F.col("v"))).alias(f"r{i}")
+        for i, rank in enumerate(ranks)
+    ]
+    found = spread_join(ranked, sizes, ["label"], ["v"], rows="n").groupBy("label").agg(F.first("n").alias("n"), *at)
+    low, high = ([F.col(f"r{2 * i + j}") for i in range(len(places))] for j in (0, 1))
+    return found.select(
+        "label", "n", F.array(*[a + (b - a) * (x - F.floor(x)) for a, b, x in zip(low, high, places)]).alias("q")
+    )
+
+
 def _fenced(df: DataFrame, y: str, group: str | None) -> DataFrame:
-    """Every value next to its group's quartiles and 1.5 IQR fences."""
+    """Every value, and how many times it stands there, next to its group's quartiles and 1.5 IQR fences.
+
+    Grouped, equal values are one row, so a frequent one of a hot group costs no more than any other, and
+    the counted values are put in order once, in ranges, where running sums tell their ranks.
+    """
     v = _number(df, y)
     if group is None:
         values = df.where(_has(df, y)).select(F.lit(y).alias("label"), v.alias("v"))
         quartiles = quantile_values(values, ["v"], QUARTILES)["v"]
         q = F.array(*[F.lit(x).cast("double") for x in quartiles])
-        joined = values.select("label", "v", q.alias("q"))
+        joined = values.select("label", "v", F.lit(1).cast("bigint").alias("times"), q.alias("q"))
     else:
         values = df.where(_has(df, group, y)).select(col(group).alias("label"), v.alias("v"))
-        quartiles = exact_quantiles(values, "v", QUARTILES, by=["label"])
-        joined = spread_join(values, quartiles, ["label"], ["v"])
+        ranked = running(counted_values(values, "v", ["label"]), ["label"], ["v"], "times", "upto")
+        joined = spread_join(ranked.drop("upto"), _quartiles(ranked), ["label"], ["v"], rows="n")
     q1, q3 = F.col("q")[0], F.col("q")[2]
     return joined.select(
         "label",
         "v",
+        "times",
         q1.alias("q1"),
         F.col("q")[1].alias("median"),
         q3.alias("q3"),
@@ -197,12 +221,13 @@ def box(df: DataFrame, y: str, group: str | None = None) -> DataFrame:
     Whiskers end at the outermost values inside the fences, and never inside the box.
     """
     v = F.col("v")
+    outside = (v < F.col("lower")) | (v > F.col("upper"))
     per_label = _fenced(df, y, group).groupBy("label").agg(
-        F.count(F.lit(1)).alias("n"),
+        F.sum("times").alias("n"),
         *[F.first(c).alias(c) for c in ("q1", "median", "q3")],
         F.min(F.when(v >= F.col("lower"), v)).alias("inner_lo"),
         F.max(F.when(v <= F.col("upper"), v)).alias("inner_hi"),
-        F.count_if((v < F.col("lower")) | (v > F.col("upper"))).alias("n_fliers"),
+        F.sum(F.when(outside, F.col("times")).otherwise(0)).alias("n_fliers"),
     )
     return per_label.select(
         "label",
@@ -217,5 +242,14 @@ def box(df: DataFrame, y: str, group: str | None = None) -> DataFrame:
 
 
 def box_fliers(df: DataFrame, y: str, group: str | None = None) -> DataFrame:
-    """``label, value``: the points drawn outside the whiskers."""
-    return _fenced(df, y, group).where("v < lower or v > upper").select("label", F.col("v").alias("value"))
+    """``label, value``: the points drawn outside the whiskers, a row for each.
+
+    Grouped, repeats of an outlier are written out in portions of REPEATS that are dealt to tasks.
+    """
+    found = _fenced(df, y, group).where("v < lower or v > upper").select("label", "v", "times")
+    if group is not None:
+        portions = F.explode(F.sequence(F.lit(0), F.col("times") - 1, F.lit(REPEATS)))
+        found = found.select("label", "v", "times", portions.alias("at")).repartition("label", "v", "at")
+        repeats = F.least(F.col("times") - F.col("at"), F.lit(REPEATS)).cast("int")
+        found = found.select("label", F.explode(F.array_repeat("v", repeats)).alias("v"))
+    return found.select("label", F.col("v").alias("value"))

@@ -112,17 +112,17 @@ def trace_bounds(spans: DataFrame) -> DataFrame:
 def timeline(spans: DataFrame, bounds: DataFrame | None = None) -> DataFrame:
     """Offset, left edge and width of every span's bar, in percent of its trace.
 
-    ``bounds`` holds ``trace_id, trace_start, total_duration_ms``. Spans meet their trace's
-    bounds by (trace, salt), so a long trace is spread; traces without length have no bars.
+    ``bounds`` holds ``trace_id, trace_start, total_duration_ms`` and may hold ``total_spans``, by
+    which a long trace is spread; without it spans are counted. Traces without length have no bars.
     """
     if bounds is None:
-        bounds = trace_bounds(spans)
-    lengths = bounds.where("total_duration_ms > 0").select(
-        "trace_id", "trace_start", "total_duration_ms"
-    )
+        bounds = traces(spans)
+    size = "total_spans" if "total_spans" in bounds.columns else None
+    known = ["trace_id", "trace_start", "total_duration_ms", *([size] if size else [])]
+    lengths = bounds.where("total_duration_ms > 0").select(*known)
     total = F.col("total_duration_ms")
     offset = (F.col("start_time") - F.col("trace_start")) * 1000
-    return spread_join(spans, lengths, ["trace_id"], ["seq"]).select(
+    return spread_join(spans, lengths, ["trace_id"], ["seq"], rows=size).select(
         "trace_id",
         "seq",
         "node_name",

@@ -1,6 +1,7 @@
 import numpy as np
 import pytest
 
+from tabscope.functions import stats
 from tabscope.operators import charts
 from tests.conftest import column, keyed
 
@@ -105,6 +106,22 @@ def test_box(spark):
     assert charts.box_fliers(df, "v", "g").where("label = 'b'").count() == box_of(data["b"])[-1]
 
 
+def test_box_of_a_hot_group_of_equal_values(spark, monkeypatch):
+    """90 % equal values in a group that holds most rows; repeats of an outlier are all drawn."""
+    monkeypatch.setattr(stats, "SPREAD_OVER", 50)
+    monkeypatch.setattr(charts, "REPEATS", 7)
+    data = {"hot": [5.0] * 1800 + [float(i) for i in range(100)] + [900.0] * 60 + [-0.0] * 40, "few": [1.0, 2.0, 3.0, 50.0], "one": [4.0]}
+    df = spark.createDataFrame([(g, v) for g, vs in data.items() for v in vs], "g string, v double")
+    names = ("q1", "median", "q3", "whisker_lo", "whisker_hi", "n_fliers")
+    rows = charts.box(df, "v", "g").collect()
+    assert {r["label"]: r["n"] for r in rows} == {g: len(vs) for g, vs in data.items()}
+    for r in rows:
+        assert [r[n] for n in names] == pytest.approx(list(box_of(data[r["label"]])))
+    drawn = charts.box_fliers(df, "v", "g").where("label = 'hot'").groupBy("value").count()
+    want = {float(i): 1 for i in range(1, 100) if i != 5} | {900.0: 60, 0.0: 41}
+    assert keyed(drawn, "value", "count") == want
+
+
 def test_unknown_columns(sales):
     for call in (
         lambda: charts.bar(sales, "nope", "val"),

@@ -4,7 +4,7 @@ import random
 
 import pytest
 
-from tabscope.functions.order import in_ranges, lagged, numbered
+from tabscope.functions.order import in_ranges, lagged, numbered, running
 from tabscope.operators import telemetry
 
 
@@ -37,6 +37,10 @@ def test_against_plain_order(spark, ranges):
     found = [tuple(r) for r in numbered(df, ["g"], ["o", "v"], "n", ranges).collect()]
     wanted = [(g, *row, i) for g, own in groups.items() for i, row in enumerate(own)]
     assert sorted(found, key=repr) == sorted(wanted, key=repr)
+    weighed = df.selectExpr("g", "o", "v", "coalesce(o, 0) + 1 AS w")
+    found = [(*r[:3], r["upto"]) for r in running(weighed, ["g"], ["o", "v"], "w", "upto", ranges).collect()]
+    wanted = [(g, *row, sum((o or 0) + 1 for o, _ in own[: i + 1])) for g, own in groups.items() for i, row in enumerate(own)]
+    assert sorted(found, key=repr) == sorted(wanted, key=repr)
 
 
 def test_no_range_holds_a_hot_group(spark):
@@ -49,6 +53,7 @@ def test_no_range_holds_a_hot_group(spark):
 def test_nothing(spark):
     df = spark.createDataFrame([], "g string, o int, v double")
     assert lagged(df, ["g"], ["o"], "v", "p").count() == numbered(df, ["g"], ["o"], "n").count() == 0
+    assert running(df, ["g"], ["v"], "o", "s").count() == 0
 
 
 def test_gate_over_a_long_run(spark):

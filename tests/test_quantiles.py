@@ -1,5 +1,6 @@
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tabscope.functions import stats
 from tabscope.functions.stats import column_quantiles, exact_quantiles, quantile_values, spread_join
@@ -42,9 +43,7 @@ def test_several_columns_skip_missing(spark):
     assert counts == {"a": 4, "b": 2}
 
 
-@pytest.mark.parametrize("hot_groups", [1, 1000])
-def test_groups_with_a_hot_one(spark, monkeypatch, hot_groups):
-    monkeypatch.setattr(stats, "HOT_GROUPS", hot_groups)
+def test_groups_with_a_hot_one(spark):
     rng = np.random.default_rng(4)
     groups = {"hot": rng.exponential(100, 6000), "zeros": np.r_[np.zeros(4000), 1.0, -1.0], "b": rng.normal(-50, 1, 700), "c": np.array([1.0])}
     rows = [(g, float(v)) for g, vs in groups.items() for v in vs]
@@ -55,13 +54,36 @@ def test_groups_with_a_hot_one(spark, monkeypatch, hot_groups):
 
 
 @pytest.mark.parametrize("how", ["inner", "left"])
-@pytest.mark.parametrize("hot_groups", [1, 2, 1000])
-def test_spread_join_is_a_join(spark, monkeypatch, how, hot_groups):
-    monkeypatch.setattr(stats, "HOT_GROUPS", hot_groups)
+@pytest.mark.parametrize("over, groups", [(0, 1), (50, 2), (50, 1000), (10**6, 1000)])
+@pytest.mark.parametrize("rows", [None, "size"])
+def test_spread_join_is_a_join(spark, monkeypatch, how, over, groups, rows):
+    monkeypatch.setattr(stats, "SPREAD_OVER", over)
+    monkeypatch.setattr(stats, "SPREAD_GROUPS", groups)
     facts = spark.range(5000).selectExpr("id", "CASE WHEN id % 3 = 0 THEN 'hot' WHEN id % 1000 = 1 THEN NULL ELSE string(id % 40) END AS g")
-    figures = spark.sql("SELECT * FROM VALUES ('hot', 1), ('5', 2), ('nowhere', 3) AS t(g, x)")
-    got = sorted(map(tuple, spread_join(facts, figures, ["g"], ["id"], how).select("id", "g", "x").collect()))
-    assert got == sorted(map(tuple, facts.join(figures, "g", how).select("id", "g", "x").collect()))
+    figures = spark.sql("SELECT * FROM VALUES ('hot', 1, 1667), ('5', NULL, 83), ('6', 4, 84), ('nowhere', 3, 0) AS t(g, x, size)")
+    got = spread_join(facts, figures, ["g"], ["id"], how, rows).select("id", "g", "x")
+    want = facts.join(figures, "g", how).select("id", "g", "x")
+    assert got.exceptAll(want).count() == 0 and got.count() == want.count()
+
+
+def test_spread_join_of_a_hot_group_is_dealt(spark, monkeypatch):
+    """A group with a third of all rows stands in no one partition."""
+    monkeypatch.setattr(stats, "SPREAD_OVER", 1000)
+    settings = {"adaptive.coalescePartitions.enabled": "false", "shuffle.partitions": "16", "autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(f"spark.sql.{k}") for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(f"spark.sql.{k}", v)
+    try:
+        facts = spark.range(0, 30_000, 1, 4).selectExpr("id", "CASE WHEN id % 3 = 0 THEN 0 ELSE id END AS g")
+        figures = facts.groupBy("g").agg(F.count(F.lit(1)).alias("n"), F.max("id").alias("top"))
+        joined = spread_join(facts, figures, ["g"], ["id"], rows="n")
+        parts = joined.select(F.spark_partition_id().alias("p"), (F.col("g") == 0).alias("hot")).groupBy("p", "hot").count()
+        sizes = [r["count"] for r in parts.where("hot").collect()]
+        assert sum(sizes) == 10_000 and len(sizes) == 16 and max(sizes) < 1000
+        assert joined.where("top IS NULL").count() == 0 and joined.count() == 30_000
+    finally:
+        for k, v in before.items():
+            spark.conf.set(f"spark.sql.{k}", v)
 
 
 def test_two_keys_and_awkward_names(spark):
