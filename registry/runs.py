@@ -555,17 +555,23 @@ def sco5(spark, sf_dir):
     return spread(reports(spark, sf_dir), "doc_id", scoring.REPORT_WEIGHTS)
 
 
+def _exact(d: str) -> str:
+    """Rounded on the digits that the double is written with, not on a product that may land on a half."""
+    return f"round({d}::VARCHAR::DECIMAL(38, 20), 3)::DOUBLE"
+
+
 @query(
     "snk1_score_records",
     f"""{REPORT_SQL}, t AS (SELECT *, {weighted(scoring.REPORT_WEIGHTS)} AS overall FROM d)
     SELECT doc_id, 'reporter' AS agent_name, {GRADE.format(s='overall')} AS grade,
-      round(structure_complete, 3) AS structure_complete FROM t""",
+      {', '.join(f"{_exact(c)} AS {n}" for c, n in [('overall', 'overall_score'), *[(d, d) for d in scoring.REPORT_WEIGHTS]])} FROM t""",
 )
 def snk1(spark, sf_dir):
     written = sinks.score_records(reports(spark, sf_dir).drop("text"))
-    fields = "doc_id bigint, agent_name string, grade string, dimensions map<string,double>"
+    fields = "doc_id bigint, agent_name string, grade string, overall_score double, dimensions map<string,double>"
     read = written.select(F.from_json("value", fields).alias("s")).select("s.*")
-    return read.select("doc_id", "agent_name", "grade", read.dimensions["structure_complete"].alias("structure_complete"))
+    dimensions = [read.dimensions[d].alias(d) for d in scoring.REPORT_WEIGHTS]
+    return read.select("doc_id", "agent_name", "grade", "overall_score", *dimensions)
 
 
 @query(
@@ -622,15 +628,21 @@ SCORED_AGENTS = f"""o_custkey AS run_id, {_case(0)} AS agent_name, {_case(1)} AS
     o_totalprice / 250000 AS score_b"""
 
 
+def _quoted(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
 @query(
     "sco8_recommendations",
     f"""WITH s AS (SELECT {SCORED_AGENTS} FROM orders),
       rules(agent, dimension, cut) AS (VALUES {', '.join(f"('{a}', '{d}', {c})" for a, d, c in scoring.ADVICE_RULES)}),
       long AS (SELECT run_id, agent_name, overall_score, dim_a AS dimension, score_a AS score FROM s
         UNION ALL SELECT run_id, agent_name, overall_score, dim_b, score_b FROM s),
-      fired AS (SELECT run_id, agent_name, long.dimension FROM long JOIN rules
-        ON agent = agent_name AND rules.dimension = long.dimension AND score < cut WHERE overall_score < 0.8)
-    SELECT * FROM fired UNION ALL SELECT DISTINCT run_id, NULL, NULL FROM s
+      words(dimension, recommendation) AS (VALUES {', '.join(f"('{d}', {_quoted(t)})" for d, t in scoring.ADVICE.items())}),
+      fired AS (SELECT run_id, agent_name, long.dimension, recommendation FROM long JOIN rules
+        ON agent = agent_name AND rules.dimension = long.dimension AND score < cut
+        JOIN words ON words.dimension = long.dimension WHERE overall_score < 0.8)
+    SELECT * FROM fired UNION ALL SELECT DISTINCT run_id, NULL, NULL, {_quoted(scoring.ADVICE_NONE)} FROM s
     WHERE run_id NOT IN (SELECT run_id FROM fired)""",
 )
 def sco8(spark, sf_dir):
@@ -640,7 +652,7 @@ def sco8(spark, sf_dir):
         map(dim_a, double(score_a), dim_b, double(score_b)) AS dimensions
         FROM (SELECT {SCORED_AGENTS} FROM scored_source)"""
     )
-    return scoring.recommendations(scores).drop("recommendation")
+    return scoring.recommendations(scores)
 
 
 def _percent(d: str) -> str:
@@ -779,6 +791,57 @@ def ext3(spark, sf_dir):
     )
 
 
+@query(
+    "ext3_typed_profile",
+    """SELECT event_id, event_type AS kind, user_id::VARCHAR AS owner, CASE WHEN event_type = 'view' THEN 0 ELSE 2 END AS n_issues,
+      CASE WHEN event_type <> 'view' THEN concat('gap in ', user_id) END AS first_issue,
+      CASE WHEN event_type <> 'error' THEN 'number' END AS value_type, event_id::VARCHAR AS top, event_type = 'error' AS no_numbers
+    FROM events""",
+)
+def ext3_profile(spark, sf_dir):
+    rows = table(spark, sf_dir, "events").selectExpr(
+        "event_id",
+        """concat('{"basic_info": {"kind": "', event_type, '", "owner": ', user_id, '}, "quality_issues": ',
+          CASE WHEN event_type = 'view' THEN '[]' ELSE concat('["gap in ', user_id, '", "late"]') END,
+          CASE WHEN event_type = 'error' THEN '' ELSE ', "column_details": {"value": "number"}, "numeric_summary": {"n": 1}' END,
+          ', "categorical_summary": {"top": "', event_id, '"}}') AS json""",
+    )
+    read = extract.parse_result(rows, "json", extract.PROFILE_TYPE)
+    return read.select(
+        "event_id",
+        F.col("basic_info")["kind"].alias("kind"),
+        F.col("basic_info")["owner"].alias("owner"),
+        F.size("quality_issues").alias("n_issues"),
+        F.get("quality_issues", F.lit(0)).alias("first_issue"),
+        F.col("column_details")["value"].alias("value_type"),
+        F.col("categorical_summary")["top"].alias("top"),
+        F.col("numeric_summary").isNull().alias("no_numbers"),
+    )
+
+
+@query(
+    "ext3_typed_plan",
+    """SELECT o_orderkey, i AS step, CASE i WHEN 0 THEN 'o_totalprice' ELSE 'o_comment' END AS "column",
+      CASE i WHEN 0 THEN 'remove_outliers' ELSE 'drop' END AS action,
+      CASE i WHEN 0 THEN o_custkey::VARCHAR END AS threshold, CASE i WHEN 0 THEN o_orderpriority END AS reason,
+      CASE WHEN o_orderstatus <> 'F' THEN concat('plan ', o_orderkey) END AS overall_notes
+    FROM orders, range(2) steps(i) WHERE i = 0 OR o_orderstatus = 'O'""",
+)
+def ext3_plan(spark, sf_dir):
+    rows = table(spark, sf_dir, "orders").selectExpr(
+        "o_orderkey",
+        """concat('{"strategy": [{"column": "o_totalprice", "action": "remove_outliers", "params": {"threshold": ', o_custkey,
+          '}, "reason": "', o_orderpriority, '"}', if(o_orderstatus = 'O', ', {"column": "o_comment", "action": "drop"}', ''), ']',
+          if(o_orderstatus = 'F', '', concat(', "overall_notes": "plan ', o_orderkey, '"')), '}') AS json""",
+    )
+    read = extract.parse_result(rows, "json", extract.PLAN_TYPE)
+    steps = read.select("o_orderkey", "overall_notes", F.posexplode("strategy").alias("step", "s"))
+    return steps.select(
+        "o_orderkey", F.col("step").cast("bigint").alias("step"), "s.column", "s.action",
+        F.col("s.params")["threshold"].alias("threshold"), "s.reason", "overall_notes",
+    )
+
+
 @query(
     "ext4_artefact_paths",
     """WITH called AS (SELECT user_id AS run_id, concat('out/', event_type, '.png') AS path,
