@@ -20,6 +20,7 @@ HEX = r"[0-9a-f]{32,}"  # the runs of 32 or more among those of any length
 MIXED = r"[A-Za-z0-9_-]{20,}"
 MIXED_HAS = ("[A-Z]", "[a-z]", "[0-9]")
 MAX_OWNERS = 2  # a value that more owners hold is a widely copied example
+MAX_REPOSITORIES = 20  # and so is one that more repositories hold, be they of one owner
 
 
 def _matches(text: Column, kind: int, pattern: str, value_group: int, good) -> Column:
@@ -101,19 +102,24 @@ def scan(
     owner_col: str = "source",
     repository_col: str = "doc_id",
     max_owners: int = MAX_OWNERS,
+    max_repositories: int = MAX_REPOSITORIES,
 ) -> DataFrame:
     """Rows (id, spans) for every document: an array of (start, kind, end, live), in order.
 
     The three base kinds are always returned. Their values, and those of runs that mix
     digits and both cases, are counted by distinct owners and repositories over all documents;
-    ``live`` tells values that at most ``max_owners`` owners hold from widely copied examples. A
+    ``live`` tells values that at most ``max_owners`` owners hold in at most ``max_repositories``
+    repositories from widely copied examples: many holders of either kind make one. A
     mixed run that is live and overlaps no base span is returned as kind ``owned``.
     Places count code points, ends exclusive. Only digests of the values are moved. Null texts
-    are empty; empty texts have no spans; repeated rows are scanned and counted each.
+    are empty; empty texts have no spans; repeated rows are scanned each and counted as one holder.
+    Only the four columns named are read, so others may have any name. A text of any length is
+    one row, searched whole; its matches are one array until they are numbered.
     """
     found = written(candidates(docs, id_col, text_col, owner_col, repository_col), "secret-candidates")
     spans = written(places(found), "secret-places")
-    known = written(ownership(spans).withColumn("live", F.col("n_owners") <= max_owners), "secret-owners")
+    few = (F.col("n_owners") <= max_owners) & (F.col("n_repositories") <= max_repositories)
+    known = written(ownership(spans).withColumn("live", few), "secret-owners")
     marked = spans.join(known.select("value", "live").hint("merge"), "value")
     marked = marked.where("kind < 3 OR live").select("row", F.struct("start", "kind", "end", "live").alias("span"))
     listed = marked.groupBy("row").agg(F.sort_array(F.collect_list("span")).alias("spans"))

@@ -218,3 +218,19 @@ def test_secrets_of_repeated_rows_and_nothing(spark):
     docs = spark.createDataFrame([(1, "password=abcdefgh", "s"), (1, "password=abcdefgh", "s")], "doc_id bigint, text string, source string")
     assert [len(r["spans"]) for r in secrets.scan(docs).collect()] == [1, 1]
     assert secrets.scan(docs.limit(0)).count() == 0
+
+
+def test_secrets_copied_inside_one_owner(spark):
+    wide, own, long = "Zz9" + "kLm4_" * 4, "Hh7" + "pQr2-" * 4, "Vv5" + "nOp3_" * 4
+    rows = [(i, f"see {wide} here", "a") for i in range(30)] + [(i, f"use {own}", "a") for i in range(30, 40)]
+    rows += [(40, "x y " * 700_000 + long, "b")]  # one very long text
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    # columns with names that the operator uses inside
+    docs = docs.selectExpr("*", "1 AS id", "2 AS row", "3 AS value", "4 AS owner", "5 AS repository", "6 AS matches", "7 AS spans")
+    found = {r["id"]: [(s["start"], s["kind"], s["end"]) for s in r["spans"]] for r in secrets.scan(docs).collect()}
+    assert not any(found[i] for i in range(30))  # one owner, but more repositories than MAX_REPOSITORIES
+    assert all(found[i] == [(4, 3, 4 + len(own))] for i in range(30, 40))
+    assert found[40] == [(2_800_000, 3, 2_800_000 + len(long))]
+    looser = secrets.scan(docs, max_repositories=30).where("id = 0").first()
+    assert [s["kind"] for s in looser["spans"]] == [3]
+    assert not any(r["spans"] for r in secrets.scan(docs, max_owners=0).where("id < 40").collect())
