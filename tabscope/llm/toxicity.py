@@ -22,6 +22,7 @@ BASE = 2048  # bytes of the dictionary of ordinary text
 MARKS = 1024  # bytes of toxic strings put after it
 FIT_ROWS = (3000, 1500)  # ordinary and toxic rows that the dictionaries are trained on
 FIT_CHARS = 20_000  # rows with longer texts are not drawn for that
+FIT_WINDOWS = 20_000  # windows that the ordinary dictionary is trained on, evenly from all drawn rows
 CALIBRATION_ROWS = 4000  # of each label, whole texts
 
 
@@ -181,7 +182,8 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
 
     The ids are drawn from the labels, and only these few documents are fetched. The
     dictionaries are made on the driver from up to FIT_ROWS of their texts, of which those over
-    FIT_CHARS characters are left out. The threshold is calibrated on up to CALIBRATION_ROWS other rows of each label; their
+    FIT_CHARS characters are left out; the ordinary one from every k-th of their windows, the smallest k
+    that leaves at most FIT_WINDOWS. The threshold is calibrated on up to CALIBRATION_ROWS other rows of each label; their
     whole texts are compressed in tasks and six numbers a row come back. Both bounds are
     constants. Which rows are drawn depends on their ids alone. Without rows of both labels
     every text scores 1 or 0, as the only label has it (0 without any).
@@ -203,8 +205,9 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     if not ordinary or not toxic:
         return Model(b"", b"", tail, constant=float(bool(toxic)))
     samples = [w for t in ordinary for w in windows(t) if len(w) >= 32]
+    even = samples[:: max(1, -(-len(samples) // FIT_WINDOWS))]
     try:
-        base = zstd.train_dictionary(BASE, samples[:20_000], k=64, d=6).as_bytes()
+        base = zstd.train_dictionary(BASE, even, k=64, d=6).as_bytes()
     except zstd.ZstdError:  # too little text to train on
         base = b"".join(samples)[-BASE:]
     marks = toxic_strings(ordinary, toxic)
