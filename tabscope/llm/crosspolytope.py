@@ -10,13 +10,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabscope.llm.common import components, written
-from tabscope.llm.pairing import Links, deal, neighbours, pieces
+from tabscope.llm.pairing import BLOCK, Links, deal, gathered, hot_keys, neighbours, pieces
 
 TABLES = 8
 FACTORS = 2  # cross-polytopes that make up one bucket
 PROBES = 3  # buckets of a table that a vector is put in
 SEED = 20_240
-PAIRS = 1 << 18  # pairs whose cosines are held at once
+PAIRS = 1 << 12  # pairs that are compared at once
 
 
 def hadamard(rows: np.ndarray) -> np.ndarray:
@@ -87,24 +87,115 @@ def unit(vectors: np.ndarray) -> np.ndarray:
     return vectors / np.sqrt((vectors * vectors).sum(1, keepdims=True))
 
 
+def layout(dims: int) -> tuple[int, int, np.dtype]:
+    """Of vectors this long: the padded width, the coordinates of a sketch, the type of a bucket number."""
+    width = 1 << max(1, (dims - 1).bit_length())
+    numbers = (2 * width) ** FACTORS
+    return width, width // 2, np.dtype(np.uint16 if numbers <= 1 << 16 else np.uint32 if numbers <= 1 << 32 else np.int64)
+
+
+def marks(vectors: np.ndarray, found: np.ndarray) -> list[bytes]:
+    """What the screening needs of unit vectors and their buckets, as bytes.
+
+    A further rotation of the vector, of which half of the coordinates are kept to a byte each: their scale, the
+    length of the rest, the coordinates. Then the numbers of the buckets inside their tables.
+    """
+    count, dims = vectors.shape
+    width, kept, kind = layout(dims)
+    padded = np.zeros((count, width))
+    padded[:, :dims] = vectors
+    part = hadamard(padded * np.random.default_rng([SEED, dims, 1]).choice([-1.0, 1.0], width))[:, :kept]
+    up = np.float32(np.inf)
+    scale = np.nextafter(np.maximum(np.abs(part).max(1), 1e-6).astype(np.float32), up)
+    rest = np.nextafter((np.sqrt(np.maximum(0, 1 - (part * part).sum(1))) + 1e-7).astype(np.float32), up)
+    levels = np.rint(part / scale[:, None].astype(np.float64) * 127).astype(np.int8)
+    base = np.arange(found.shape[1], dtype=np.int64)[None, :, None] * (2 * width) ** FACTORS
+    own = (found - base).astype(kind).reshape(count, -1)
+    whole = [scale[:, None].view(np.uint8), rest[:, None].view(np.uint8), levels.view(np.uint8), own.view(np.uint8)]
+    return [row.tobytes() for row in np.concatenate(whole, axis=1)]
+
+
+class Marks:
+    """The marks of rows with vectors of one length, read back."""
+
+    def __init__(self, packed: list[bytes], dims: int):
+        width, kept, kind = layout(dims)
+        rows = np.frombuffer(b"".join(packed), np.uint8).reshape(len(packed), -1)
+        self.scale, self.rest = (rows[:, k : k + 4].copy().view(np.float32)[:, 0].astype(np.float64) for k in (0, 4))
+        self.levels = rows[:, 8 : 8 + kept].view(np.int8).astype(np.float32)
+        own = rows[:, 8 + kept :].copy().view(kind).astype(np.int64).reshape(len(rows), TABLES, PROBES)
+        self.own = own + np.arange(TABLES, dtype=np.int64)[None, :, None] * (2 * width) ** FACTORS
+        self.off = np.sqrt(kept) / 2 * self.scale / 127  # rounding moved the kept part no further than this
+
+    def highest(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """No cosine is above this: that of the rounded parts, what rounding and the rest may add."""
+        near = (self.levels[a] * self.levels[b]).sum(1) * self.scale[a] * self.scale[b] / 127**2
+        off_a, off_b = self.off[a], self.off[b]
+        return near + self.rest[a] * self.rest[b] + off_a + off_b + 3 * off_a * off_b + 1e-5
+
+    def first_shared(self, a: np.ndarray, b: np.ndarray, place: np.ndarray) -> np.ndarray:
+        """Whether the bucket at ``place`` of ``a`` is the lowest that both are in."""
+        shared = (self.own[a][:, :, :, None] == self.own[b][:, :, None, :]).any(3)
+        lowest = np.where(shared, self.own[a], np.iinfo(np.int64).max).min((1, 2))
+        return lowest == self.own[a, place[a] // PROBES, place[a] % PROBES]
+
+
 def hashed(classes: DataFrame) -> DataFrame:
-    """Adds ``buckets`` to rows (rep, n, dims, vector); vectors of unlike length never meet."""
+    """Adds ``buckets`` and ``marks`` to rows (rep, n, dims, vector); vectors of unlike length never meet."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for start in range(0, batch.num_rows, 2048):
                 some = batch.slice(start, 2048)
                 dims = some.column("dims").to_numpy()
-                found = np.empty((len(dims), TABLES * PROBES), np.int64)
+                found, packed = np.empty((len(dims), TABLES * PROBES), np.int64), np.empty(len(dims), object)
                 for d in np.unique(dims):
                     own = np.flatnonzero(dims == d)
                     vectors = unit(matrix(some.column("vector").take(pa.array(own)), int(d)))
-                    found[own] = buckets(vectors).reshape(len(own), -1)
+                    numbers = buckets(vectors)
+                    found[own] = numbers.reshape(len(own), -1)
+                    packed[own] = marks(vectors, numbers)
                 lists = pa.ListArray.from_arrays(np.arange(0, found.size + 1, TABLES * PROBES, dtype=np.int32), found.ravel())
-                yield pa.RecordBatch.from_arrays([*some.columns, lists], [*some.schema.names, "buckets"])
+                columns = [*some.columns, lists, pa.array(packed, pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, [*some.schema.names, "buckets", "marks"])
 
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in classes.schema)
-    return classes.mapInArrow(run, f"{schema}, buckets array<bigint>")
+    return classes.mapInArrow(run, f"{schema}, buckets array<bigint>, marks binary")
+
+
+def _pairs(rows: pa.Table, piece: np.ndarray) -> Iterator[tuple[np.ndarray, Marks, np.ndarray, np.ndarray]]:
+    """Pairs of rows to compare, a bounded number at a time, length by length: the rows, their marks, both sides."""
+    dims = rows.column("dims").to_numpy()
+    for d in np.unique(dims):
+        at = np.flatnonzero(dims == d)
+        some = rows.take(pa.array(at))
+        read = Marks(some.column("marks").to_pylist(), int(d))
+        sides = [some.column(c).to_numpy() for c in ("first", "second", "side")]
+        for left, right in neighbours(piece[at], *sides):
+            for k in range(0, len(left), PAIRS):
+                yield at, read, left[k : k + PAIRS], right[k : k + PAIRS]
+
+
+def screen(entries: DataFrame, cosine: float) -> DataFrame:
+    """The rows of dealt buckets that may have a link there, by their marks alone.
+
+    A row stays if the bound on its cosine with another row to be compared reaches ``cosine`` and this is
+    the first bucket that both are in. Marks leave without being needed again, so only rows (key, first,
+    second, side, rep, place) go on.
+    """
+    columns = ["key", "first", "second", "side", "rep", "place"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows, piece in pieces(batches, "key"):
+            place, stay = rows.column("place").to_numpy(), np.zeros(rows.num_rows, bool)
+            for at, read, a, b in _pairs(rows, piece):
+                close = read.highest(a, b) >= cosine
+                a, b = a[close], b[close]
+                mine = read.first_shared(a, b, place[at])
+                stay[at[a[mine]]] = stay[at[b[mine]]] = True
+            yield from rows.select(columns).filter(pa.array(stay)).to_batches()
+
+    return entries.mapInArrow(run, "key bigint, first int, second int, side int, rep bigint, place int")
 
 
 def compare(entries: DataFrame, cosine: float) -> DataFrame:
@@ -117,36 +208,20 @@ def compare(entries: DataFrame, cosine: float) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, piece in pieces(batches, "key"):
-            rep, n = rows.column("rep").to_numpy(), rows.column("n").to_numpy()
-            place, sides = rows.column("place").to_numpy(), [rows.column(c).to_numpy() for c in ("first", "second", "side")]
-            dims = rows.column("dims").to_numpy()
-            starts = np.cumsum(dims) - dims
-            values = np.asarray(rows.column("vector").combine_chunks().flatten().to_numpy(zero_copy_only=False), np.float64)
-            own = matrix(rows.column("buckets"), TABLES * PROBES).astype(np.int64)
-            units = np.empty_like(values)
-            for d in np.unique(dims):
-                at = (starts[dims == d][:, None] + np.arange(d)).ravel()
-                units[at] = unit(values[at].reshape(-1, d)).ravel()
+            rep, n, place = (rows.column(c).to_numpy() for c in ("rep", "n", "place"))
             counts, forest = np.zeros(len(rep), np.int64), Links(len(rep))
-            for left, right in neighbours(piece, *sides):
-                for k in range(0, len(left), PAIRS // 64 + 1):
-                    a, b = left[k : k + PAIRS // 64 + 1], right[k : k + PAIRS // 64 + 1]
-                    a, b = a[dims[a] == dims[b]], b[dims[a] == dims[b]]
-                    close = np.zeros(len(a), bool)
-                    for d in np.unique(dims[a]):
-                        same = dims[a] == d
-                        x = units[starts[a[same]][:, None] + np.arange(d)]
-                        y = units[starts[b[same]][:, None] + np.arange(d)]
-                        close[same] = (x * y).sum(1) >= cosine
-                    a, b = a[close], b[close]
-                    shared = (own[a][:, :, None] == own[b][:, None, :]).any(2)
-                    # the lowest of the buckets that both are in
-                    lowest = np.where(shared, own[a], np.iinfo(np.int64).max).min(1)
-                    mine = lowest == own[a, place[a]]
-                    a, b = a[mine], b[mine]
-                    np.add.at(counts, a, n[b])
-                    np.add.at(counts, b, n[a])
-                    forest.add(a, b)
+            lengths, units, held = rows.column("dims").to_numpy(), np.empty((0, 0)), None
+            for at, read, a, b in _pairs(rows, piece):
+                if held is not read:
+                    units = unit(matrix(rows.column("vector").take(pa.array(at)), int(lengths[at[0]])))
+                    held = read
+                close = (units[a] * units[b]).sum(1) >= cosine
+                a, b = a[close], b[close]
+                mine = read.first_shared(a, b, place[at])
+                a, b = at[a[mine]], at[b[mine]]
+                np.add.at(counts, a, n[b])
+                np.add.at(counts, b, n[a])
+                forest.add(a, b)
             child, parent = forest.forest()
             some = np.flatnonzero(counts)
             yield pa.RecordBatch.from_arrays(
@@ -173,6 +248,10 @@ def near_duplicates(
     every candidate pair is verified in double precision, so no link is wrong, and a link is
     missed only if the pair shares no bucket. A bucket with many vectors is compared in blocks by
     several tasks; per bucket at most two rows a vector come back, however many links there are.
+    What meets in every bucket is not the vector but its marks, about a byte for every two components;
+    they bound the cosine from above, and only rows that may have a link in a bucket meet there as vectors.
+    Repeated rows are copies, whatever their ids; ties at ``cosine`` are links; other columns are not
+    read; a table without rows gives none. A vector of any length is one row.
     """
     rows = vectors.select(F.col(id_col).alias("id"), F.col(vector_col).alias("vector"))
     valid = F.expr("id IS NOT NULL AND " + VALID.format("vector"))
@@ -183,9 +262,12 @@ def near_duplicates(
     classes = good.groupBy("vector").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("n"))
     classes = classes.select(F.col("rep").cast("bigint").alias("rep"), "n", F.size("vector").alias("dims"), "vector")
     table = written(hashed(classes), "vector-buckets")
-    entries = table.select("rep", "n", "dims", "vector", "buckets", F.posexplode("buckets").alias("place", "bucket"))
+    entries = table.select("rep", "dims", "marks", F.posexplode("buckets").alias("place", "bucket"))
     entries = entries.withColumn("key", F.xxhash64("dims", "bucket")).drop("bucket")
-    found = written(compare(deal(entries, "key", "rep"), cosine), "vector-links")
+    hot = written(hot_keys(entries, "key", BLOCK), "vector-hot")
+    near = written(screen(deal(entries, "key", "rep", BLOCK, hot), cosine), "vector-screened")
+    meeting = gathered(near.join(table.select("rep", "n", "dims", "vector", "marks"), "rep"), "key", "rep")
+    found = written(compare(meeting, cosine), "vector-links")
     linked = found.where("other IS NULL").groupBy("node").agg(F.sum("n").alias("links"))
     groups = components(found.where("other IS NOT NULL").selectExpr("node AS a", "other AS b"), "vector-components")
     named = table.select("rep", "n", "vector").join(linked.withColumnRenamed("node", "rep"), "rep", "left")

@@ -12,7 +12,13 @@ from pyspark.sql import functions as F
 BLOCK = 2048  # rows of a bucket that are compared in one piece
 
 
-def deal(rows: DataFrame, key: str, member: str, limit: int = BLOCK) -> DataFrame:
+def hot_keys(rows: DataFrame, key: str, limit: int = BLOCK) -> DataFrame:
+    """The buckets of more than ``limit`` rows and the blocks they are cut into, by partial sums."""
+    hot = rows.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > limit)
+    return hot.select(key, F.ceil(F.col("_n") / limit).cast("int").alias("_blocks"))
+
+
+def deal(rows: DataFrame, key: str, member: str, limit: int = BLOCK, hot: DataFrame | None = None) -> DataFrame:
     """Brings the rows of each bucket together, in pieces of about two blocks at most.
 
     A bucket of more than ``limit`` rows is cut into blocks by a digest of the member, and every
@@ -20,10 +26,10 @@ def deal(rows: DataFrame, key: str, member: str, limit: int = BLOCK) -> DataFram
     block, marked by ``side``. Two rows of a bucket meet in exactly one piece, or with both rows on
     the same side and ``first`` unlike ``second``, where they are not to be compared. The other buckets
     are one piece (0, 0). Sizes are counted with partial sums; the join with the
-    hot buckets is left to the optimizer. No row is dropped.
+    hot buckets is left to the optimizer, which knows their size where ``hot`` gives them as a
+    written table, and then moves the rows once. No row is dropped.
     """
-    hot = rows.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > limit)
-    hot = hot.select(key, F.ceil(F.col("_n") / limit).cast("int").alias("_blocks"))
+    hot = hot_keys(rows, key, limit) if hot is None else hot
     zero = F.lit(0)
     cold = rows.join(hot, key, "left_anti").withColumns({"first": zero, "second": zero, "side": zero})
     cut = rows.join(hot, key).withColumn("_own", F.pmod(F.xxhash64(member), F.col("_blocks")).cast("int"))
@@ -35,8 +41,13 @@ def deal(rows: DataFrame, key: str, member: str, limit: int = BLOCK) -> DataFram
             "side": (F.col("_own") > F.col("_other")).cast("int"),
         }
     ).drop("_blocks", "_own", "_other")
+    return gathered(cold.unionByName(cut), key, member)
+
+
+def gathered(rows: DataFrame, key: str, member: str) -> DataFrame:
+    """Dealt rows, or some of them, brought together by their pieces."""
     piece = [key, "first", "second"]
-    return cold.unionByName(cut).repartition(*piece).sortWithinPartitions(*piece, member)
+    return rows.repartition(*piece).sortWithinPartitions(*piece, member)
 
 
 def pieces(batches: Iterable[pa.RecordBatch], key: str) -> Iterator[tuple[pa.Table, np.ndarray]]:

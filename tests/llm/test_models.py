@@ -1,6 +1,7 @@
 """Models and encoders: exact agreement where there is one, held-out accuracy elsewhere."""
 
 import html
+import os
 import random
 
 import numpy as np
@@ -11,7 +12,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tabscope.llm import bpe, crosspolytope, htmltext, langid, pairing, toxicity
+from tabscope.llm import bpe, crosspolytope, htmltext, langid, toxicity
 from tests.conftest import SF
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
@@ -312,8 +313,7 @@ def test_registered_pages(spark):
 
 @pytest.mark.parametrize("limit", [7, 2048])
 def test_embeddings(spark, limit, monkeypatch):
-    dealt = pairing.deal
-    monkeypatch.setattr(crosspolytope, "deal", lambda rows, key, member: dealt(rows, key, member, limit))
+    monkeypatch.setattr(crosspolytope, "BLOCK", limit)
     rng = np.random.default_rng(3)
     base = rng.normal(size=(40, 48))
     rows = [b + rng.normal(scale=s, size=48) for b in base for s in (0, 0.05, 0.1, 0.2, 0.4)]
@@ -349,6 +349,36 @@ def test_embeddings(spark, limit, monkeypatch):
     assert crosspolytope.near_duplicates(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("dims", [1, 2, 3, 48, 64, 300])
+def test_sketches_bound_cosines(dims):
+    rng = np.random.default_rng(dims)
+    base = rng.normal(size=(30, dims))
+    base[0], base[1] = np.eye(dims)[0], -np.eye(dims)[0]
+    rows = crosspolytope.unit(np.concatenate([base + rng.normal(scale=s, size=base.shape) for s in (0, 0.01, 0.1, 0.3)]))
+    found = crosspolytope.buckets(rows)
+    read = crosspolytope.Marks(crosspolytope.marks(rows, found), dims)
+    assert np.array_equal(read.own, found)
+    a, b = (x.ravel() for x in np.indices((len(rows), len(rows))))
+    cosines = (rows[a] * rows[b]).sum(1)
+    assert (read.highest(a, b) >= cosines).all()
+    if dims >= 48:  # and tell most pairs apart
+        assert (read.highest(a, b) < 0.9).sum() > 0.9 * (cosines < 0.6).sum()
+
+
+@pytest.mark.skipif(not os.path.exists("/root/testdata/check_s/embeddings.parquet"), reason="needs the check tables")
+def test_embeddings_of_the_check_table(spark):
+    rows = spark.read.parquet("/root/testdata/check_s/embeddings.parquet").select("vec_id", "embedding")
+    good = {r["vec_id"]: r["embedding"] for r in rows.collect() if r["embedding"] and None not in r["embedding"]}
+    good = {i: v for i, v in good.items() if len(v) == 64 and np.isfinite(v).all() and np.any(v)}
+    ids = np.array(list(good))
+    units = crosspolytope.unit(np.array([good[i] for i in ids], np.float64))
+    wanted = {int(i): int(((units @ u) >= 0.9).sum()) - 1 for i, u in zip(ids, units)}
+    found = {r["id"]: r["n_links"] for r in crosspolytope.near_duplicates(rows).collect()}
+    links = sum(wanted.values())
+    assert links and all(found[i] <= wanted[i] for i in wanted)
+    assert sum(found[i] for i in wanted) >= 0.999 * links
+
+
 def test_rotation_keeps_lengths():
     rows = np.random.default_rng(0).normal(size=(5, 64))
     turned = crosspolytope.hadamard(rows)
