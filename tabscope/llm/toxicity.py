@@ -234,7 +234,9 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Rows (id, score) for every document: whole texts, null as empty, from 0 to 1.
 
-    There is no shuffle; a task holds a few megabytes of text at a time.
+    There is no shuffle; a task holds a few megabytes of text at a time, or one longer text. Equal texts
+    score alike; a text far longer than all that the threshold was calibrated on is extrapolated; columns other than the two named are not read; a table
+    without rows gives none.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -3,6 +3,7 @@
 import html
 import os
 import random
+import re
 
 import numpy as np
 import public_tokenizers
@@ -142,6 +143,45 @@ def test_presence_kernel():
     assert langid.kernel(held[:1], held[:1])[0, 0] == pytest.approx(1)
 
 
+def test_language_like_plain_python(spark):
+    words = {"x1": "der und ein von zu mit", "x2": "the of and to in that", "x3": "le de un les et des"}
+    rng = random.Random(2)
+    rows = [(i, " ".join(rng.choice(words[k].split()) for _ in range(30)), k) for i, k in enumerate(sorted(words) * 20)]
+    model = langid.fit(spark.createDataFrame(rows, "id bigint, text string, lang string"))
+    long = "the and that of " * 200_000
+    others = [(100, "Und der EIN, von!", 1), (101, "les et des un", 1), (102, long, 1), (103, long, 1), (103, "qq", 1), (None, None, 1)]
+    docs = spark.createDataFrame(others, "doc_id bigint, text string, lang int")
+    docs = docs.selectExpr("*", "1 AS id", "2 AS lang_pred", "3 AS score", "4 AS held_out")  # names it returns itself
+    found = {(r["id"], r["lang_pred"], round(r["score"], 4)) for r in langid.identify(docs, model).collect()}
+
+    def plain(text):
+        presence = langid.Presence()
+        runs = re.sub(r"[^a-z]", " ", (text or "").lower())
+        if not runs.strip():
+            return "und", 0.0
+        # every string of one to three letters by itself, its place found by hashing it alone
+        places = set()
+        for order in (1, 2, 3):
+            for gram in {runs[k : k + order] for k in range(len(runs) - order + 1)}:
+                held, _ = presence.matrix([gram])
+                smaller = [presence.matrix([gram[k : k + n]])[0] for n in range(1, order) for k in range(order - n + 1)]
+                places |= set(np.flatnonzero(held[0]))
+                assert all(set(np.flatnonzero(x[0])) <= set(np.flatnonzero(held[0])) for x in smaller)
+        row = np.zeros(langid.WIDTH)
+        row[list(places)] = 1 / np.sqrt(len(places))
+        outputs = row @ model.weights + model.bias
+        return model.languages[int(np.argmax(outputs))], round(float(np.clip(outputs.max(), 0, 1)), 4)
+
+    wanted = {(i, *plain(t)) for i, t, _ in others}
+    assert {x[:2] for x in found} == {x[:2] for x in wanted}
+    for i, name, score in found:
+        assert any(w[:2] == (i, name) and abs(w[2] - score) < 1e-3 for w in wanted)
+    assert {n for i, n, _ in found if i in (100, 101, 102)} == {"x1", "x3", "x2"}
+    # a tie goes to the first language by name
+    even = langid.Model(["b", "c"], np.zeros((langid.WIDTH, 2), np.float32), np.array([0.5, 0.5]))
+    assert {r["lang_pred"] for r in langid.identify(docs.where("text IS NOT NULL"), even).collect()} == {"b"}
+
+
 # --- toxicity -------------------------------------------------------------------------
 
 
@@ -165,6 +205,20 @@ def test_toxicity(spark):
     scores = [r["score"] for r in toxicity.score(odd, model, "id").collect()]
     assert len(set(scores)) == 1 and 0 <= scores[0] < 0.5
     assert toxicity.score(odd.limit(0), model, "id").count() == 0
+    # very long texts, repeated rows, and columns with the names that scores have
+    long = text(0) + " "
+    wide = [(1, long * 3000), (1, long * 3000), (2, long * 1500 + "vexgrob zwolfik hjupdak " * 40 + long * 1500)]
+    wide = spark.createDataFrame(wide, "doc_id bigint, text string").selectExpr("*", "1 AS id", "2 AS score", "3 AS label")
+    first, again, marked = [r["score"] for r in toxicity.score(wide, model).orderBy("id").collect()]
+    assert first == again and 0 <= first <= 1 and 0 <= marked <= 1
+    # what each window saves is what the two dictionaries' lengths say, window by window
+    scorer, some = toxicity.Scorer(model), text(1)
+    saved = []
+    for window in toxicity.windows(toxicity.fold(some)):
+        sizes = [len(c.compress(window + model.tail)) for c in toxicity.Scorer(model).pair]
+        saved.append(sizes[0] - sizes[1])
+    assert scorer.features(some)[0] == min(max(saved), 8) and scorer.features(some)[4] == float(max(saved) >= 2)
+    assert toxicity.fit(docs.limit(0), docs.limit(0).selectExpr("id", "toxic AS label")).constant == 0.0
     nobody = toxicity.fit(docs, docs.where("toxic = 0").selectExpr("id", "toxic AS label"))
     assert [r["score"] for r in toxicity.score(odd, nobody, "id").collect()] == [0.0] * 3
 
