@@ -34,26 +34,30 @@ def spread_join(
     it they are counted, which reads the facts once more. Groups with over ``SPREAD_OVER`` rows get their figures by a
     broadcast of at most ``SPREAD_GROUPS`` of them, the largest, so that its size is bounded and any other group holds less than
     one in ``SPREAD_GROUPS`` of the rows. Their rows, and rows without a key, are then dealt by
-    ``spread_by``, where no figures wait for them; all others meet theirs by key. One row of figures
-    per group; ``how``: inner or left.
+    ``spread_by``, where no figures wait for them; all others meet theirs by key. Counted groups are spread
+    whether they have figures or not; with ``rows``, a group without figures has no known size, so name it
+    only where every large group has them. One row of figures per group; ``how``: inner or left.
     """
     keys = [col(c) for c in on]
     kept = [c for c in per_group.columns if c not in on]
-    if rows is None:
-        sizes = facts.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-        per_group, rows = per_group.join(sizes, list(on)), "_rows"
-    # both sides of the figures hold the same columns, so that one aggregate serves both
-    figures = per_group.select(*keys, F.struct(F.col(rows).alias("_size"), *[col(c) for c in kept]).alias("_cold"))
-    size = F.col("_cold._size")
-    hot = figures.where(size > SPREAD_OVER).orderBy(size.desc(), *keys).limit(SPREAD_GROUPS)
     unmatched = reduce(lambda a, b: a | b, [k.isNull() for k in keys])  # matches nothing, so any salt
+    known = per_group.withColumn("_known", F.lit(True))
+    figures = F.struct("_known", *[col(c) for c in kept])
+    # zero, but as a constant it would be taken out of the join's keys
+    if rows is None:
+        sizes = facts.where(~unmatched).groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+        sized, rows, zero = sizes.join(known, list(on), "left"), "_rows", F.xxhash64(*keys).bitwiseAND(F.lit(0))
+    else:
+        # of the size, so that both sides of the figures hold the same columns and one aggregate serves both
+        sized, zero = known, F.least(col(rows), F.lit(0)).cast("bigint")
+    largest = sized.where(col(rows) > SPREAD_OVER).orderBy(col(rows).desc(), *keys).limit(SPREAD_GROUPS)
+    hot = largest.select(*keys, figures.alias("_hot"))
     salt = F.when(F.col("_hot").isNotNull() | unmatched, F.pmod(F.xxhash64(*[col(c) for c in spread_by]), F.lit(1 << 30)) + 1)
-    dealt = facts.join(F.broadcast(hot.withColumnRenamed("_cold", "_hot")), list(on), "left").withColumn(
-        "_salt", F.coalesce(salt, F.lit(0).cast("bigint"))
-    )
-    zero = F.least(size, F.lit(0)).cast("bigint")  # as a constant it would be taken out of the join's keys
-    joined = dealt.join(figures.withColumn("_salt", zero), [*on, "_salt"], "left")
-    joined = joined.withColumn("_cold", F.coalesce("_hot", "_cold"))
+    dealt = facts.join(F.broadcast(hot), list(on), "left").withColumn("_salt", F.coalesce(salt, F.lit(0).cast("bigint")))
+    if how == "inner":
+        dealt = dealt.where("_hot IS NULL OR _hot._known")
+    cold = known.select(*keys, figures.alias("_cold"), zero.alias("_salt"))
+    joined = dealt.join(cold, [*on, "_salt"], "left").withColumn("_cold", F.coalesce("_hot", "_cold"))
     if how == "inner":
         joined = joined.where("_cold IS NOT NULL")
     return joined.select(*[col(c) for c in facts.columns], *[F.col("_cold").getField(c).alias(c) for c in kept])

@@ -268,32 +268,30 @@ def score_charts(df: DataFrame, files: DataFrame | None, key: str = "id") -> Dat
     """Chart lists ``charts ARRAY<STRING>`` against ``files (path)``, the charts on disk.
 
     Existence is an equi-join of the exploded paths with the listing, spread so that a path
-    named in very many lists does not pile up; paths are matched as written. Without a
-    listing nothing exists. Equal lists are looked up once, whatever ids they belong to.
+    named in very many lists does not pile up, on disk or not; paths are matched as written.
+    Without a listing nothing exists. Equal lists are looked up once, whatever ids they belong to;
+    the rows of a list that very many share are dealt by ``key`` to meet what was found.
     """
     n = F.greatest(F.coalesce(F.size("charts"), F.lit(0)), F.lit(0))
-    lists = df.select("charts").distinct()
-    paths = lists.select("charts", F.explode("charts").alias("path"))
+    # file names have no slash and no kind has one, so one text of a list tells what its names hold
+    names = F.array_join(F.transform("charts", lambda c: F.lower(F.substring_index(c, "/", -1))), "/")
+    kinds = _count([F.coalesce(F.col("_names").contains(kind), F.lit(False)) for kind in CHART_TYPES])
+    typed = df.withColumn("_names", names).withColumn("_types", kinds).drop("_names")
     if files is None:
-        paths = paths.withColumn("_there", F.lit(0))
+        counted = typed.withColumn("_existing", F.lit(0))
     else:
-        listed = files.select("path").distinct().withColumn("_there", F.lit(1))
-        paths = spread_join(paths, listed, ["path"], ["charts"], "left")
-    name = F.lower(F.substring_index("path", "/", -1))
-    per_list = paths.groupBy("charts").agg(
-        F.count_if(F.col("_there") == 1).alias("_existing"),
-        *[F.bool_or(name.contains(kind)).alias(f"_has_{kind}") for kind in CHART_TYPES],
-    )
-    added = [c for c in per_list.columns if c != "charts"]
-    counted = df.join(per_list, "charts", "left").select(*df.columns, *added)
-    types = _count([F.coalesce(f"_has_{kind}", F.lit(False)) for kind in CHART_TYPES])
+        paths = df.select("charts").distinct().select("charts", F.explode("charts").alias("path"))
+        there = spread_join(paths, files.select("path").distinct(), ["path"], ["charts"])
+        per_list = there.groupBy("charts").agg(F.count(F.lit(1)).alias("_existing"))
+        counted = spread_join(typed, per_list, ["charts"], [key if key in df.columns else "charts"], "left")
+    types = F.col("_types")
     existing = F.coalesce("_existing", F.lit(0)).cast("double")
     values = {
         "chart_count": F.when(n.between(3, 5), 1.0).otherwise(clamp(n / F.lit(3.0))),
         "files_exist": ratio(existing, n.cast("double")),
         "type_diversity": F.when(types > 0, clamp(types / F.lit(3.0))).otherwise(0.3),
     }
-    return _scored(counted, "visualizer", CHART_WEIGHTS, values, n == 0).drop(*added)
+    return _scored(counted, "visualizer", CHART_WEIGHTS, values, n == 0).drop("_types", "_existing")
 
 
 def _matches(text: Column, pattern: str, traces: tuple[str, ...]) -> Column:

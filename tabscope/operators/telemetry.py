@@ -119,10 +119,11 @@ def timeline(spans: DataFrame, bounds: DataFrame | None = None) -> DataFrame:
         bounds = traces(spans)
     size = "total_spans" if "total_spans" in bounds.columns else None
     known = ["trace_id", "trace_start", "total_duration_ms", *([size] if size else [])]
-    lengths = bounds.where("total_duration_ms > 0").select(*known)
     total = F.col("total_duration_ms")
     offset = (F.col("start_time") - F.col("trace_start")) * 1000
-    return spread_join(spans, lengths, ["trace_id"], ["seq"], rows=size).select(
+    # traces without length are left out last, for a long one of them has to be spread as well
+    met = spread_join(spans, bounds.select(*known), ["trace_id"], ["seq"], rows=size)
+    return met.where("total_duration_ms > 0").select(
         "trace_id",
         "seq",
         "node_name",

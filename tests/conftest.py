@@ -3,9 +3,12 @@ import sys
 
 import pytest
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
+from tabscope.functions import stats  # noqa: E402
+
 SF = "/root/testdata/sf0.001"
 
 
@@ -51,3 +54,27 @@ def keyed(df, key, value):
 
 def plan_of(df):
     return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.fixture
+def sixteen(spark, monkeypatch):
+    """Groups of over 1000 rows are hot, and every shuffle has 16 partitions as they are dealt."""
+    monkeypatch.setattr(stats, "SPREAD_OVER", 1000)
+    settings = {"adaptive.enabled": "false", "shuffle.partitions": "16", "autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(f"spark.sql.{k}") for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(f"spark.sql.{k}", v)
+    yield
+    for k, v in before.items():
+        spark.conf.set(f"spark.sql.{k}", v)
+
+
+def written(df, path):
+    """Read back, so that the optimizer does not know the values."""
+    df.write.parquet(str(path))
+    return df.sparkSession.read.parquet(str(path))
+
+
+def most_in_a_partition(df, value):
+    """Of the rows with the same value, which keeps the join in the plan."""
+    return df.groupBy(F.spark_partition_id(), value).count().agg(F.max("count")).first()[0]

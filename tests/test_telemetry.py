@@ -2,9 +2,10 @@ import json
 
 import pytest
 
+from tabscope.functions import stats
 from tabscope.operators import scoring, telemetry
 from tabscope.sources import otlp, sinks
-from tests.conftest import keyed
+from tests.conftest import keyed, most_in_a_partition, written
 
 SPAN = (
     "trace_id string, seq int, node_name string, start_time double, end_time double, "
@@ -235,3 +236,18 @@ def test_usage_that_is_null(spark):
     texts = ['{"usage_metadata": null, "usage": {"input_tokens": 5}}', '{"usage": {"input_tokens": 5}}', '{"usage_metadata": {}, "usage": {"input_tokens": 5}}']
     df = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "k int, response string")
     assert {r["k"]: r["prompt_tokens"] for r in telemetry.usage_tokens(df).collect()} == {1: 5, 2: 0}
+
+
+def test_a_long_trace_without_length_is_spread(spark, sixteen, monkeypatch, tmp_path):
+    spans = spark.range(0, 16_000, 1, 4).selectExpr(
+        "IF(id < 15000, 0, id) AS trace_id", "id AS seq", "'n' AS node_name", "1D AS start_time",
+        "IF(id < 15000, 1D, 2D) AS end_time", "IF(id < 15000, 0D, 1000D) AS duration_ms", "'success' AS status")
+    dealt = []
+
+    def joined(*args, **rest):
+        dealt.append(stats.spread_join(*args, **rest))
+        return dealt[-1]
+
+    monkeypatch.setattr(telemetry, "spread_join", joined)
+    assert telemetry.timeline(written(spans, tmp_path / "spans")).count() == 1000
+    assert most_in_a_partition(dealt[0].where("trace_id = 0"), "total_duration_ms") < 2000
